@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from presscheck import constants as K
 from presscheck.functions import text as X
+from presscheck.operators.once import compute_once
 
 
 def length_error(headline: Column, article: Column) -> Column:
@@ -56,18 +57,14 @@ def check_articles(articles: DataFrame) -> DataFrame:
     limits are rejected on the raw columns and never cleaned, which also bounds
     the cleaning work of a single row.
 
-    The cleaned text leaves through a generator, below which Catalyst cannot push
-    a later filter on the outcome. Otherwise it would clean once for the filter
-    and once for the output.
     """
     headline, article = X.text_or_empty(F.col("headline")), X.text_or_empty(F.col("article"))
     too_long, cleaned, words = F.col("_too_long"), F.col("clean_text"), F.col("word_count")
+    joined = articles.withColumn("_too_long", length_error(headline, article)).withColumn(
+        "_joined", F.when(too_long.isNull(), X.join_headline(headline, article))
+    )
     return (
-        articles.withColumn("_too_long", length_error(headline, article))
-        .withColumn("_joined", F.when(too_long.isNull(), X.join_headline(headline, article)))
-        .withColumn("_clean", X.clean_news_text(F.col("_joined")))
-        .drop("_joined")
-        .select("*", F.explode(F.array("_clean")).alias("clean_text"))
+        compute_once(joined, {"clean_text": X.clean_news_text(F.col("_joined"))})
         .withColumn("word_count", X.word_count(cleaned))
         .withColumn(
             "code",
@@ -76,7 +73,7 @@ def check_articles(articles: DataFrame) -> DataFrame:
             ),
         )
         .withColumn("reason", F.coalesce(too_long, text_error(cleaned, words)))
-        .drop("_too_long", "_clean")
+        .drop("_too_long", "_joined")
     )
 
 

@@ -34,8 +34,8 @@ STEPS = {
     ),
     "controls": (X.blank_controls, lambda t: re.sub(r"[\x00-\x1f\x7f]", " ", t)),
     "blanks": (
-        X.collapse_blanks,
-        lambda t: re.sub(r"\s+", " ", re.sub(r"[\x00-\x1f\x7f]", " ", t)),
+        lambda c: X.collapse_blanks(X.blank_controls(X.decode_entities(c))),
+        lambda t: re.sub(r"\s+", " ", STEPS["controls"][1](STEPS["decode"][1](t))),
     ),
     "lower": (F.lower, str.lower),
     "strip": (X.strip, str.strip),
@@ -44,13 +44,13 @@ STEPS = {
         lambda t: unicodedata.normalize("NFKC", html.unescape(t)),
     ),
 }
-ORDER = "decode tags urls emails agency credits controls lower blanks strip".split()
+ORDER = "decode tags urls emails agency credits controls lower".split()
 
 
 def cleaned(text):
     for name in ORDER:
         text = STEPS[name][1](text)
-    return text
+    return re.sub(r"\s+", " ", text).strip()
 
 
 def joined(headline, article):
