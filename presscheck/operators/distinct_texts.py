@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presscheck.session import materialise
+
 HOT_COPIES = 100_000
 # Most hot texts to broadcast; one takes 12 bytes.
 MAX_HOT_TEXTS = 1_000_000
@@ -34,13 +36,15 @@ def score_distinct(
     hashed = articles.withColumn("_hash", F.xxhash64(text))
     rows = articles.select(F.count(F.lit(1)).alias("n")).scalar()
     limit = F.greatest(F.lit(hot_copies), F.ceil(rows / MAX_HOT_TEXTS))
-    hot = F.broadcast(
+    hot = (
         hashed.where(present)
         .groupBy("_hash")
         .agg(F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > limit)
         .select("_hash", F.ceil(F.col("_copies") / limit).cast("int").alias("_salts"))
     )
+    # Stored as both sides of the join use it.
+    hot = F.broadcast(materialise(hot, "hot"))
 
     scored = score(articles.where(present).select(text).distinct())
     added = [c for c in scored.columns if c != text]

@@ -15,6 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from presscheck import constants as K
 from presscheck.functions.text import first_words, text_or_empty
@@ -118,7 +119,7 @@ class BatchScorer:
             return tolerant(predict)
 
         logits = predict_batch_udf(
-            make_predict, return_type="array<double>", batch_size=self.batch_size
+            make_predict, return_type=ArrayType(DoubleType()), batch_size=self.batch_size
         )
         scored = df.withColumn(RAW, logits(text_or_empty(F.col(text))))
         return compute_once(scored, {out: logits_prediction(F.col(RAW), self.name)}).drop(RAW)

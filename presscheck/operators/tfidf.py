@@ -26,15 +26,21 @@ def fit_vocabulary(articles: DataFrame, text: str, min_df: int = 1) -> DataFrame
     """``(term, df, idf)`` for terms in at least ``min_df`` articles.
 
     Each article gives a term once and counts are added up before the shuffle, so
-    a frequent term sends one row per task.
+    a frequent term sends one row per task. The empty term, which no article can
+    contain, is added to each to count the articles in the same pass. The counts
+    are stored in the shared folder.
     """
-    documents = articles.select(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        articles.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    terms = F.array_append(F.array_distinct(tokens(F.col(text))), F.lit(""))
+    counted = materialise(
+        articles.select(F.explode(terms).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
-        .where(F.col("df") >= min_df)
-        .withColumn("idf", smoothed_idf(documents, F.col("df")))
+        .where((F.col("df") >= min_df) | (F.col("term") == "")),
+        "terms",
+    )
+    documents = counted.where(F.col("term") == "").select("df").scalar()
+    return counted.where(F.col("term") != "").withColumn(
+        "idf", smoothed_idf(documents, F.col("df"))
     )
 
 
@@ -57,8 +63,7 @@ def weigh(counts: DataFrame, keys: list[str], vocabulary: DataFrame) -> DataFram
     """``(keys, term, weight)`` for the terms of the vocabulary.
 
     A vocabulary of up to ``BROADCAST_TERMS`` rows goes to every task. A larger one
-    is joined by shuffle, where AQE splits the partitions of frequent terms. The
-    rows are counted first, so pass a stored vocabulary.
+    is joined by shuffle, where AQE splits the partitions of frequent terms.
     """
     terms = vocabulary.select("term", "idf")
     if terms.count() <= BROADCAST_TERMS:

@@ -151,12 +151,12 @@ def request_bodies(spark, folder):
 
 
 def _vocabulary(texts: DataFrame) -> DataFrame:
-    return materialise(tfidf.fit_vocabulary(texts, "clean_text", MIN_DF), "vocabulary")
+    return tfidf.fit_vocabulary(texts, "clean_text", MIN_DF)
 
 
 def document_vocabulary(spark, folder):
     texts = _cleaned(A.document_articles(documents(spark, folder)), DOC)
-    return tfidf.fit_vocabulary(texts, "clean_text", MIN_DF).select(
+    return _vocabulary(texts).select(
         "term", "df", F.round("idf", 6).alias("idf")
     )
 
@@ -422,6 +422,8 @@ def stream_scores(spark, folder):
         .option("pathGlobFilter", "documents.parquet" if single else "*.parquet")
         .parquet(folder if single else f"{folder}/documents.parquet")
     )
+    if single:
+        source = source.repartition(spark.sparkContext.defaultParallelism, *DOC)
     path = scratch_path(spark, "feed")
     query = start_feed(
         A.document_articles(source),

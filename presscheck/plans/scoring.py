@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from presscheck import constants as K
 from presscheck.operators.contract import result_ok
 from presscheck.operators.decision import final_prediction
+from presscheck.operators.distinct_texts import HOT_COPIES, score_distinct
 from presscheck.operators.once import compute_once
 from presscheck.operators.report import RESULT_COLUMNS, result_columns
 from presscheck.operators.scorers import Scorer
 from presscheck.operators.validation import check_articles
+from presscheck.session import materialise
 from presscheck.sources.results import REJECTED, SCORED, write_results
 
 METRICS_SCHEMA = (
@@ -23,30 +25,34 @@ METRICS_SCHEMA = (
 )
 
 
-def score_checked(checked: DataFrame, keys: list[str], first: Scorer, second: Scorer) -> DataFrame:
-    """Results and rejects of :func:`check_articles` output in one frame.
-
-    ``outcome`` tells them apart. Rejected rows go through the scorers as empty
-    texts, which costs little, so that the input is read and cleaned only once for
-    both outputs. A row whose result breaks the contract is rejected as well.
-    """
-    accepted = F.col("code").isNull()
-    text = checked.select(
+def scorable(checked: DataFrame, keys: list[str]) -> DataFrame:
+    """:func:`check_articles` output with the text of rejected rows blanked to null."""
+    return checked.select(
         *keys,
         "code",
         "reason",
         "word_count",
-        F.when(accepted, F.col("clean_text")).alias("clean_text"),
+        F.when(F.col("code").isNull(), F.col("clean_text")).alias("clean_text"),
     )
-    scored = second.score(first.score(text, "clean_text", "_first"), "clean_text", "_second")
-    first_verdict, second_verdict = F.col("_first"), F.col("_second")
-    results = compute_once(scored, {"_final": final_prediction(first_verdict, second_verdict)})
-    results = results.select(
+
+
+def add_verdicts(texts: DataFrame, first: Scorer, second: Scorer) -> DataFrame:
+    return second.score(first.score(texts, "clean_text", "_first"), "clean_text", "_second")
+
+
+def assemble(judged: DataFrame, keys: list[str]) -> DataFrame:
+    """Decision, nested result and outcome from both verdicts.
+
+    A row whose result breaks the contract is rejected as well.
+    """
+    first, second = F.col("_first"), F.col("_second")
+    results = compute_once(judged, {"_final": final_prediction(first, second)}).select(
         *keys,
         "code",
         "reason",
-        *result_columns(F.col("word_count"), first_verdict, second_verdict, F.col("_final")),
+        *result_columns(F.col("word_count"), first, second, F.col("_final")),
     )
+    accepted = F.col("code").isNull()
     ok = result_ok(F.col("input.word_count"), F.col("models"), F.col("final"))
     results = compute_once(results, {"_broken": accepted & ~ok})
     broken = F.col("_broken")
@@ -61,8 +67,29 @@ def score_checked(checked: DataFrame, keys: list[str], first: Scorer, second: Sc
 
 
 def score_articles(articles: DataFrame, keys: list[str], first: Scorer, second: Scorer) -> DataFrame:
-    """``(keys, outcome, code, reason, input, models, final)`` for every article."""
-    return score_checked(check_articles(articles), keys, first, second)
+    """``(keys, outcome, code, reason, input, models, final)`` for every article.
+
+    Scored and rejected rows come out of one pass. Rejected rows go through the
+    scorers as empty texts, which costs little, so that the input is read and
+    cleaned once for both.
+    """
+    texts = scorable(check_articles(articles), keys)
+    return assemble(add_verdicts(texts, first, second), keys)
+
+
+def score_articles_once(
+    articles: DataFrame, keys: list[str], first: Scorer, second: Scorer, hot_copies: int = HOT_COPIES
+) -> DataFrame:
+    """:func:`score_articles`, but with each distinct cleaned text scored once.
+
+    Worth its shuffles where scoring is costly or copies are many. The cleaned
+    texts are stored first, as they are read several times.
+    """
+    texts = materialise(scorable(check_articles(articles), keys), "checked")
+    judged = score_distinct(
+        texts, "clean_text", lambda distinct: add_verdicts(distinct, first, second), hot_copies
+    )
+    return assemble(judged, keys)
 
 
 def scored(results: DataFrame, keys: list[str]) -> DataFrame:

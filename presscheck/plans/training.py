@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
@@ -34,8 +35,8 @@ class TrainingOptions:
     vocabulary_size: int = 1 << 14
     trees: int = 50
     depth: int = 10
-    linear_features: int = 1 << 16
-    linear_iterations: int = 30
+    linear_features: int = 1 << 15
+    linear_iterations: int = 20
     seed: int = 42
 
 
@@ -83,7 +84,9 @@ def fit_forest(labelled: DataFrame, text: str, options: TrainingOptions = Traini
     vectorizer = CountVectorizer(
         inputCol=S.TERMS, outputCol=S.COUNTS, minDF=options.min_df, vocabSize=options.vocabulary_size
     ).fit(terms)
-    counts = vectorizer.transform(terms)
+    # Kept while fitting, which passes over the vectors several times.
+    counts = vectorizer.transform(terms).select("label", "weight", S.COUNTS)
+    counts.persist(StorageLevel.MEMORY_AND_DISK)
     idf = IDF(inputCol=S.COUNTS).fit(counts).idf.toArray() + 1.0
     scaler = ElementwiseProduct(
         inputCol=S.COUNTS, outputCol=S.SCALED, scalingVec=Vectors.dense(idf)
@@ -100,6 +103,7 @@ def fit_forest(labelled: DataFrame, text: str, options: TrainingOptions = Traini
         maxDepth=options.depth,
         seed=options.seed,
     ).fit(normalizer.transform(scaler.transform(counts)))
+    counts.unpersist()
     model = PipelineModel([tokenizer, vectorizer, scaler, normalizer, forest])
     return ForestScorer(_stored(model, labelled.sparkSession))
 

@@ -59,7 +59,10 @@ def load_forest(spark: SparkSession, path: str, name: str = K.FOREST_NAME) -> Fo
 
     A bare model without its feature list is accepted and checked by size alone.
     """
-    model = PipelineModel.load(f"{path}/model")
+    try:
+        model = PipelineModel.load(f"{path}/model")
+    except Exception as error:
+        raise ArtefactError(f"{name} model not found: {path}") from error
     try:
         features = spark.read.schema("index int, term string").parquet(f"{path}/features")
     except AnalysisException:

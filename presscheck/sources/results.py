@@ -8,8 +8,20 @@ from pyspark.sql import functions as F
 SCORED, REJECTED = "scored", "rejected"
 
 
-def write_results(results: DataFrame, path: str, mode: str = "errorifexists", fmt: str = "parquet") -> None:
-    """Writes scored and rejected rows to two partitions of one table in one pass."""
+def write_results(
+    results: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    fmt: str = "parquet",
+    rebalance: bool = True,
+) -> None:
+    """Writes scored and rejected rows to two partitions of one table in one pass.
+
+    Results are far smaller than the texts they come from, so a scan of many files
+    would leave tiny ones behind. Rebalancing lets AQE gather them to full files.
+    """
+    if rebalance:
+        results = results.hint("rebalance")
     results.write.mode(mode).partitionBy("outcome").format(fmt).save(path)
 
 
