@@ -30,8 +30,10 @@ def _join(headline: str, article: str) -> str:
 
 
 def _decode_page(text: str) -> str:
-    for entity, character in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{character}')"
+    # The semicolon of these names is optional. The ampersand comes last, as one
+    # pass decodes "&amp;copy;" to "&copy;" and no further.
+    for entity, character in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity};?', '{character}', 'g')"
     return text
 
 
@@ -42,21 +44,25 @@ _SHORT = (
     "'News contains only ' || word_count || ' words. Please enter at least 20 words. "
     "A complete article is recommended.'"
 )
-_CODE = "CASE WHEN word_count < 20 THEN 400 END"
-_REASON = f"CASE WHEN clean_text = '' THEN 'News text cannot be empty.' WHEN word_count < 20 THEN {_SHORT} END"
+_CODE = "CASE WHEN too_long THEN 422 WHEN word_count < 20 THEN 400 END"
+_REASON = (
+    "CASE WHEN too_long THEN 'String should have at most 100000 characters' "
+    f"WHEN clean_text = '' THEN 'News text cannot be empty.' WHEN word_count < 20 THEN {_SHORT} END"
+)
+_ACCEPTED = "NOT too_long AND word_count >= 20"
 
 
-def _counted(keys: str, text: str, table: str) -> str:
-    """Common tables ``cleaned`` and ``counted``: key, clean_text, word_count."""
+def _counted(keys: str, article: str, text: str, table: str) -> str:
+    """Common tables ``cleaned`` and ``counted``: key, clean_text, too_long, word_count."""
     return (
-        f"WITH cleaned AS (SELECT {keys}, {text} AS clean_text FROM {table}), "
-        f"counted AS (SELECT *, ({_WORDS})::INT AS word_count FROM cleaned) "
+        f"WITH cleaned AS (SELECT {keys}, {text} AS clean_text, length({article}) > 100000 AS too_long "
+        f"FROM {table}), counted AS (SELECT *, ({_WORDS})::INT AS word_count FROM cleaned) "
     )
 
 
-_DOCUMENTS = _counted("doc_id", _clean("text"), "documents")
-_TURNS = _counted("conv_id, turn", _clean("text"), "conversations")
-_PAGES = _counted("page_id", _PAGE, "pages")
+_DOCUMENTS = _counted("doc_id", "text", _clean("text"), "documents")
+_TURNS = _counted("conv_id, turn", "text", _clean("text"), "conversations")
+_PAGES = _counted("page_id", "html", _PAGE, "pages")
 
 
 def _vocabulary(name: str, texts: str, key: str) -> str:
@@ -135,12 +141,7 @@ def _model_json(label: str, name: str, confidence: str, rest: str) -> str:
     )
 
 
-_JS_WORDS = (
-    "(role || ' ' || text)"
-)
-_RAW_WORDS = (
-    rf"len(list_filter(string_split_regex({_JS_WORDS}, '\s+'), lambda w: w <> ''))"
-)
+_RAW_WORDS = r"len(list_filter(string_split_regex(role || ' ' || text, '\s+'), lambda w: w <> ''))"
 
 _OVER = "length(text) > 1000"
 _BODY = "repeat(text, 5)"
@@ -157,20 +158,18 @@ ORACLES = {
     "escaped_documents": "SELECT doc_id, "
     + _clean("""('<p class="x">' || text || '</p> end.')""")
     + " AS clean_text FROM documents",
-    "accepted_documents": f"{_DOCUMENTS} SELECT doc_id, word_count FROM counted WHERE word_count >= 20",
+    "accepted_documents": f"{_DOCUMENTS} SELECT doc_id, word_count FROM counted WHERE {_ACCEPTED}",
     "rejected_documents": f"{_DOCUMENTS} SELECT doc_id, {_CODE} AS code, {_REASON} AS reason "
-    "FROM counted WHERE word_count < 20",
+    f"FROM counted WHERE NOT ({_ACCEPTED})",
     "rejected_conversations": f"{_TURNS} SELECT conv_id, turn, {_CODE} AS code, {_REASON} AS reason "
-    "FROM counted WHERE word_count < 20",
+    f"FROM counted WHERE NOT ({_ACCEPTED})",
     "oversized_documents": _counted(
-        "doc_id, text", _clean(_join("text", f"CASE WHEN {_BODY_OVER} THEN '' ELSE {_BODY} END")), "documents"
+        "doc_id, text", _BODY, _clean(_join("text", f"CASE WHEN {_BODY_OVER} THEN '' ELSE {_BODY} END")), "documents"
     )
-    + f"""SELECT doc_id, CASE WHEN {_OVER} OR {_BODY_OVER} THEN 422 ELSE {_CODE} END AS code,
-      CASE WHEN {_OVER} AND {_BODY_OVER}
+    + f"""SELECT doc_id, CASE WHEN {_OVER} THEN 422 ELSE {_CODE} END AS code,
+      CASE WHEN {_OVER} AND too_long
              THEN 'String should have at most 1000 characters, String should have at most 100000 characters'
-           WHEN {_OVER} THEN 'String should have at most 1000 characters'
-           WHEN {_BODY_OVER} THEN 'String should have at most 100000 characters'
-           ELSE {_REASON} END AS reason FROM counted""",
+           WHEN {_OVER} THEN 'String should have at most 1000 characters' ELSE {_REASON} END AS reason FROM counted""",
     "raw_precheck_conversations": f"""
       WITH counted AS (SELECT conv_id, turn, {_RAW_WORDS} AS n FROM conversations)
       SELECT conv_id, turn, CASE WHEN n = 0 THEN 'Please enter a news article.'
@@ -232,15 +231,15 @@ ORACLES = {
     "distinct_texts": rf"{_DOCUMENTS} SELECT doc_id, word_count, "
     r"len(regexp_extract_all(clean_text, '[\pL\pN_]{2,}'))::INT AS tokens FROM counted",
     "fallback_results": f"""{_TURNS} SELECT conv_id, turn, {_CODE} AS code, {_REASON} AS reason,
-      CASE WHEN word_count >= 20 THEN word_count END AS word_count, CASE WHEN word_count >= 20 THEN 0 END AS label,
-      CASE WHEN word_count >= 20 THEN 0.5::DOUBLE END AS confidence,
-      CASE WHEN word_count >= 20 THEN true END AS agreement,
-      CASE WHEN word_count >= 20 THEN 'Random Forest + BERT' END AS selected_model FROM counted""",
-    "run_metrics": f"""{_PAGES} SELECT count(*) AS rows_in, count(*) FILTER (WHERE word_count < 20) AS rows_rejected,
-      count(*) FILTER (WHERE word_count >= 20) AS rows_scored, 0::BIGINT AS contract_violations FROM counted""",
+      CASE WHEN {_ACCEPTED} THEN word_count END AS word_count, CASE WHEN {_ACCEPTED} THEN 0 END AS label,
+      CASE WHEN {_ACCEPTED} THEN 0.5::DOUBLE END AS confidence,
+      CASE WHEN {_ACCEPTED} THEN true END AS agreement,
+      CASE WHEN {_ACCEPTED} THEN 'Random Forest + BERT' END AS selected_model FROM counted""",
+    "run_metrics": f"""{_PAGES} SELECT count(*) AS rows_in, count(*) FILTER (WHERE NOT ({_ACCEPTED})) AS rows_rejected,
+      count(*) FILTER (WHERE {_ACCEPTED}) AS rows_scored, 0::BIGINT AS contract_violations FROM counted""",
     "end_to_end_checks": f"{_DOCUMENTS} SELECT doc_id, word_count, true AS models_coherent, true AS forest_first, "
-    "true AS agreement_right, true AS label_right FROM counted WHERE word_count >= 20",
+    f"true AS agreement_right, true AS label_right FROM counted WHERE {_ACCEPTED}",
     "stream_scores": f"""{_DOCUMENTS} SELECT doc_id,
-      CASE WHEN word_count < 20 THEN 'rejected' ELSE 'scored' END AS outcome, {_CODE} AS code, {_REASON} AS reason,
-      CASE WHEN word_count >= 20 THEN word_count END AS word_count FROM counted""",
+      CASE WHEN {_ACCEPTED} THEN 'scored' ELSE 'rejected' END AS outcome, {_CODE} AS code, {_REASON} AS reason,
+      CASE WHEN {_ACCEPTED} THEN word_count END AS word_count FROM counted""",
 }
