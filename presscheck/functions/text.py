@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Class bodies. What Python's \s and \w and JavaScript's \s match.
+# Class bodies. What Python's \s and \w match.
 PY_SPACE = r"\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-JS_SPACE = r"\t-\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
-PY_WORD = r"\p{L}\p{N}_"
+# Java's \w, which is ASCII, is the quick test for most characters of a word.
+PY_WORD = r"\w\p{L}\p{N}"
 
 _W = f"[{PY_WORD}]"
 _RUN = f"[{PY_WORD}.+-]"
@@ -49,7 +49,12 @@ CREDIT = (
 )
 CONTROL = r"[\x00-\x1f\x7f]"
 # The spaces beyond ASCII that NFKC keeps.
-NFKC_SPACES = ("\u0085", "\u1680", "\u2028", "\u2029")
+NFKC_SPACES = "\u0085\u1680\u2028\u2029"
+# The spaces beyond ASCII that JavaScript's \s matches.
+PAGE_SPACES = (
+    "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
 ENDS = f"^{_S}+|{_S}+$"
 TOKEN = f"{_W}{{2,}}"
 
@@ -126,14 +131,19 @@ def collapse_blanks(c: Column) -> Column:
 
     Such a text holds plain spaces and, rarely, one of ``NFKC_SPACES``.
     """
-    odd = reduce(lambda seen, space: seen | c.contains(space), NFKC_SPACES, F.lit(False))
     return (
-        F.when((F.octet_length(c) != F.length(c)) & odd, F.regexp_replace(c, f"{_S}+", " "))
+        F.when(_contains_any(c, NFKC_SPACES), F.regexp_replace(c, f"{_S}+", " "))
         .when(c.contains("  "), F.regexp_replace(c, "  +", " "))
         .otherwise(c)
     )
 
 
+def _contains_any(c: Column, characters: str) -> Column:
+    """True if a text has one of the non-ASCII characters; byte searches only."""
+    found = reduce(lambda seen, ch: seen | c.contains(ch), characters, F.lit(False))
+    return (F.octet_length(c) != F.length(c)) & found
+
+
 def strip(c: Column) -> Column:
     """Python's ``str.strip``."""
     edge = F.substring(c, 1, 1).rlike(_S) | F.right(c, F.lit(1)).rlike(_S)
@@ -181,7 +191,10 @@ def word_count(cleaned: Column) -> Column:
 
 def raw_word_count(c: Column) -> Column:
     """Words of a raw text as the page counts them (JavaScript whitespace)."""
-    return F.regexp_count(c, F.lit(f"[^{JS_SPACE}]+"))
+    plain = bind(
+        c, lambda t: _replace_where(_contains_any(t, PAGE_SPACES), t, f"[{PAGE_SPACES}]")
+    )
+    return F.regexp_count(plain, F.lit(r"[^\t-\r ]+"))
 
 
 def tokens(cleaned: Column) -> Column:

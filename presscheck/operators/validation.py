@@ -55,25 +55,28 @@ def check_articles(articles: DataFrame) -> DataFrame:
 
     ``code`` and ``reason`` are null for accepted rows. Articles over the length
     limits are rejected on the raw columns and never cleaned, which also bounds
-    the cleaning work of a single row.
+    the cleaning work of a single row. So are rows that a column ``malformed`` marks.
 
     """
     headline, article = X.text_or_empty(F.col("headline")), X.text_or_empty(F.col("article"))
-    too_long, cleaned, words = F.col("_too_long"), F.col("clean_text"), F.col("word_count")
-    joined = articles.withColumn("_too_long", length_error(headline, article)).withColumn(
-        "_joined", F.when(too_long.isNull(), X.join_headline(headline, article))
+    unfit, cleaned, words = F.col("_unfit"), F.col("clean_text"), F.col("word_count")
+    schema_error = length_error(headline, article)
+    if "malformed" in articles.columns:
+        schema_error = F.when(F.col("malformed"), K.INVALID_REQUEST).otherwise(schema_error)
+    joined = articles.withColumn("_unfit", schema_error).withColumn(
+        "_joined", F.when(unfit.isNull(), X.join_headline(headline, article))
     )
     return (
         compute_once(joined, {"clean_text": X.clean_news_text(F.col("_joined"))})
         .withColumn("word_count", X.word_count(cleaned))
         .withColumn(
             "code",
-            F.when(too_long.isNotNull(), K.CODE_SCHEMA).when(
+            F.when(unfit.isNotNull(), K.CODE_SCHEMA).when(
                 (cleaned == "") | (words < K.MIN_WORDS), K.CODE_TEXT
             ),
         )
-        .withColumn("reason", F.coalesce(too_long, text_error(cleaned, words)))
-        .drop("_too_long", "_joined")
+        .withColumn("reason", F.coalesce(unfit, text_error(cleaned, words)))
+        .drop("_unfit", "_joined")
     )
 
 
@@ -83,7 +86,7 @@ def accepted(checked: DataFrame) -> DataFrame:
 
 def rejected(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("code").isNotNull()).drop(
-        "headline", "article", "clean_text", "word_count"
+        "headline", "article", "malformed", "clean_text", "word_count"
     )
 
 

@@ -143,6 +143,8 @@ def _model_json(label: str, name: str, confidence: str, rest: str) -> str:
 
 _RAW_WORDS = r"len(list_filter(string_split_regex(role || ' ' || text, '\s+'), lambda w: w <> ''))"
 
+_MALFORMED = "(doc_id % 7 = 0 OR (doc_id % 17 = 0 AND doc_id % 11 <> 0 AND doc_id % 13 <> 0))"
+_NO_LANG = "(doc_id % 13 = 0 AND doc_id % 11 <> 0)"
 _OVER = "length(text) > 1000"
 _BODY = "repeat(text, 5)"
 _BODY_OVER = "length(text) * 5 > 100000"
@@ -179,9 +181,14 @@ ORACLES = {
       SELECT conv_id, turn, CASE WHEN role = 'system' THEN role WHEN turn % 3 = 0 THEN 'Prediction failed.'
         WHEN turn % 2 = 0 THEN 'Invalid request, ' || role ELSE role || ', ' || role END AS message
       FROM conversations""",
-    "request_bodies": """
-      SELECT doc_id, doc_id % 7 = 0 AS malformed, CASE WHEN doc_id % 7 = 0 THEN '' ELSE lang END AS headline,
-        (CASE WHEN doc_id % 7 = 0 THEN 0 ELSE length(text) END)::INT AS article_chars FROM documents""",
+    "request_bodies": _counted(
+        "doc_id, text, lang", "text", _clean(_join(f"CASE WHEN {_NO_LANG} THEN '' ELSE lang END", "text")), "documents"
+    )
+    + f"""SELECT doc_id, {_MALFORMED} AS malformed,
+        CASE WHEN {_MALFORMED} OR {_NO_LANG} THEN '' ELSE lang END AS headline,
+        (CASE WHEN {_MALFORMED} THEN 0 ELSE length(text) END)::INT AS article_chars,
+        CASE WHEN {_MALFORMED} THEN 422 ELSE {_CODE} END AS code,
+        CASE WHEN {_MALFORMED} THEN 'Invalid request' ELSE {_REASON} END AS reason FROM counted""",
     "document_vocabulary": f"{_DOC_TERMS} SELECT term, df, round(idf, 6) AS idf FROM doc_vocabulary",
     "tfidf_documents": f"{_DOC_TERMS}{_WEIGHTS} SELECT doc_id, term, round(raw / norm, 6) AS weight FROM weighed",
     "indexed_terms": f"{_DOC_TERMS} SELECT index, term FROM doc_index",

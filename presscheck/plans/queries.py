@@ -137,12 +137,19 @@ def error_messages(spark, folder):
 
 
 def request_bodies(spark, folder):
-    """Documents as JSON request bodies, every seventh cut short."""
-    body = F.to_json(F.struct(F.col("lang").alias("headline"), F.col("text").alias("article")))
-    cut = F.when(F.col("doc_id") % 7 == 0, F.left(body, F.length(body) - 1)).otherwise(body)
-    requests = documents(spark, folder).select("doc_id", cut.alias("body"))
-    return A.parse_requests(requests, "body").select(
-        "doc_id", "malformed", "headline", F.length("article").alias("article_chars")
+    """Documents as JSON request bodies: some cut short, some with a null, some without a field."""
+    doc, text = F.col("doc_id"), F.col("text")
+    whole = F.to_json(F.struct(F.col("lang").alias("headline"), text.alias("article")))
+    body = (
+        F.when(doc % 7 == 0, F.left(whole, F.length(whole) - 1))
+        .when(doc % 11 == 0, F.concat(F.left(whole, F.length(whole) - 1), F.lit(',"article2":null}')))
+        .when(doc % 13 == 0, F.to_json(F.struct(text.alias("article"))))
+        .when(doc % 17 == 0, F.concat(F.lit('{"headline":null,"article":'), F.to_json(F.array(text)), F.lit("}")))
+        .otherwise(whole)
+    )
+    requests = documents(spark, folder).select("doc_id", body.alias("body"))
+    return check_articles(A.parse_requests(requests, "body")).select(
+        "doc_id", "malformed", "headline", F.length("article").alias("article_chars"), "code", "reason"
     )
 
 

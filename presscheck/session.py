@@ -25,17 +25,22 @@ def builder(app_name: str = "presscheck") -> SparkSession.Builder:
     )
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the checkpoint folder that all executors share.
+def _shared_folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    # One machine, as in tests: any folder is shared.
+    folder = tempfile.mkdtemp(prefix="presscheck-")
+    context.setCheckpointDir(folder)
+    return folder
 
-    A temporary folder of this machine is used only when the session names none,
-    as in tests.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="presscheck-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the checkpoint folder that all executors share."""
+    return f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -9,7 +9,6 @@ from presscheck import constants as K
 from presscheck.functions.text import text_or_empty
 
 ARTICLE_SCHEMA = "id long, headline string, article string"
-REQUEST_SCHEMA = "headline string, article string"
 DOCUMENT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 TITLE = r"(?is)<title>(.*?)</title>"
 
@@ -39,22 +38,28 @@ def stream_articles(
 def parse_requests(requests: DataFrame, body: str) -> DataFrame:
     """Headline and body from a column of JSON request bodies.
 
-    ``malformed`` marks bodies that are no JSON object with text fields.
+    A field may be missing, but not null or anything else than text. ``malformed``
+    marks the bodies that break this rule or are no JSON object;
+    :func:`presscheck.operators.validation.check_articles` rejects them.
     """
-    schema = f"{REQUEST_SCHEMA}, _broken string"
-    parsed = F.from_json(
-        F.col(body), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    )
+    parsed, fields = F.col("_parsed"), ("headline", "article")
     kept = [c for c in requests.columns if c != body]
-    malformed = F.col("_parsed").isNull() | F.col("_parsed._broken").isNotNull()
+
+    def is_text(name: str) -> Column:
+        kind = F.schema_of_variant(F.variant_get(parsed, f"$.{name}", "variant"))
+        return F.coalesce(kind == "STRING", F.lit(True))
+
+    an_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    malformed = ~(an_object & is_text("headline") & is_text("article"))
 
     def field(name: str) -> Column:
-        return text_or_empty(F.when(~F.col("malformed"), F.col(f"_parsed.{name}"))).alias(name)
+        value = F.variant_get(parsed, f"$.{name}", "string")
+        return text_or_empty(F.when(~F.col("malformed"), value)).alias(name)
 
     return (
-        requests.withColumn("_parsed", parsed)
+        requests.withColumn("_parsed", F.try_parse_json(body))
         .withColumn("malformed", malformed)
-        .select(*kept, field("headline"), field("article"), "malformed")
+        .select(*kept, *map(field, fields), "malformed")
     )
 
 

@@ -81,7 +81,7 @@ def test_outcome_filter_cleans_once(spark):
 
 def test_page_precheck_counts_raw_words(spark):
     raw = " ".join(WORDS[:15] + ["http://x.y"] * 10)
-    frame = articles(spark, [("", raw), ("one", None), (None, None), (" a﻿b ", "c\x1cd")])
+    frame = articles(spark, [("", raw), ("one", None), (None, None), (" a\ufeffb ", "c\x1cd")])
     rows = frame.orderBy("id").select(
         page_precheck(F.col("headline"), F.col("article")).alias("m"),
         word_count_label(F.col("headline"), F.col("article")).alias("n"),

@@ -10,7 +10,8 @@ from presscheck import constants as K
 from presscheck import session
 from presscheck.operators import scorers as S
 from presscheck.operators.scorers import BatchScorer, FallbackScorer, ForestScorer
-from presscheck.plans import queries, scoring, training
+from presscheck.operators.validation import check_articles
+from presscheck.plans import scoring, training
 from presscheck.sources import artefacts
 from presscheck.sources import articles as A
 from presscheck.sources.results import read_rejected, read_scored
@@ -57,11 +58,17 @@ def test_read_articles_fills_missing_fields(spark, tmp_path):
 
 
 def test_parse_requests(spark):
-    bodies = ['{"headline":"h","article":"a"}', "{}", '{"article":"b"', "[1]", None, '{"article":null}']
+    good = [('{"headline":"h","article":"a"}', "h", "a"), ("{}", "", ""), ('{"article":"b\\n","x":1}', "", "b\n")]
+    bad = ['{"article":"b"', "[1]", None, "", '"text"', '{"article":null}', '{"headline":5}', '{"article":["a"]}']
+    bodies = [g[0] for g in good] + bad
     frame = spark.createDataFrame(list(enumerate(bodies)), "id long, body string")
-    rows = A.parse_requests(frame, "body").orderBy("id").collect()
-    assert [(r.headline, r.article) for r in rows] == [("h", "a")] + [("", "")] * 5
-    assert [r.malformed for r in rows] == [False, False, True, True, True, False]
+    parsed = A.parse_requests(frame, "body")
+    rows = parsed.orderBy("id").collect()
+    assert [(r.headline, r.article) for r in rows] == [g[1:] for g in good] + [("", "")] * len(bad)
+    assert [r.malformed for r in rows] == [False] * len(good) + [True] * len(bad)
+    checked = check_articles(parsed).orderBy("id").collect()
+    assert [r.code for r in checked] == [400] * len(good) + [422] * len(bad)
+    assert checked[-1].reason == K.INVALID_REQUEST
 
 
 def test_scratch_is_the_shared_folder(spark):
@@ -71,6 +78,19 @@ def test_scratch_is_the_shared_folder(spark):
     assert stored.count() == 5 and all(f.startswith("file:") and root in f for f in stored.inputFiles())
 
 
+def test_a_cluster_must_name_the_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_path(Session, "x")
+
+
 def test_spread_leaves_large_tables_alone(spark, tables):
     assert session.spread(tables["documents"], "doc_id").rdd.getNumPartitions() == 4
     many = spark.range(0, 100, 1, 16)
