@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from presscheck import constants as K
-from presscheck.functions.text import first_words, text_or_empty
+from presscheck.functions.text import first_words, text_or_empty, tokens
 from presscheck.operators.once import compute_once
 from presscheck.operators.scores import (
     fallback_prediction,
@@ -27,9 +27,9 @@ from presscheck.operators.scores import (
 )
 
 # Columns inside the saved models.
-TEXT, TERMS, COUNTS, SCALED, FEATURES = "text_", "terms_", "counts_", "scaled_", "features_"
+TERMS, COUNTS, SCALED, FEATURES = "terms_", "counts_", "scaled_", "features_"
 RAW, PROBABILITY, PREDICTED = "raw_", "probability_", "predicted_"
-_INNER = (TEXT, TERMS, COUNTS, SCALED, FEATURES, RAW, PROBABILITY, PREDICTED)
+_INNER = (TERMS, COUNTS, SCALED, FEATURES, RAW, PROBABILITY, PREDICTED)
 
 
 class Scorer(Protocol):
@@ -39,13 +39,13 @@ class Scorer(Protocol):
 
 
 class ForestScorer:
-    """TF-IDF and a random forest, kept in one pipeline so their indices agree."""
+    """TF-IDF of the tokens and a random forest, in one pipeline so their indices agree."""
 
     def __init__(self, model: PipelineModel, name: str = K.FOREST_NAME):
         self.model, self.name = model, name
 
     def score(self, df: DataFrame, text: str, out: str) -> DataFrame:
-        scored = self.model.transform(df.withColumn(TEXT, text_or_empty(F.col(text))))
+        scored = self.model.transform(df.withColumn(TERMS, tokens(text_or_empty(F.col(text)))))
         scored = scored.withColumn(RAW, vector_to_array(PROBABILITY))
         verdict = forest_prediction(F.col(PREDICTED), F.col(RAW), self.name)
         return compute_once(scored, {out: verdict}).drop(*_INNER)

@@ -13,14 +13,13 @@ from pyspark.ml.feature import (
     ElementwiseProduct,
     HashingTF,
     Normalizer,
-    RegexTokenizer,
 )
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presscheck import constants as K
-from presscheck.functions.text import TOKEN, first_words
+from presscheck.functions.text import first_words, tokens
 from presscheck.operators import scorers as S
 from presscheck.operators.scorers import ForestScorer, LinearScorer
 from presscheck.operators.validation import accepted, check_articles
@@ -76,11 +75,7 @@ def fit_forest(labelled: DataFrame, text: str, options: TrainingOptions = Traini
     Spark's IDF stage omits the ``+ 1`` of the smoothed weight, so the fitted
     values plus one are applied as an element-wise product.
     """
-    texts = labelled.select("label", "weight", F.col(text).alias(S.TEXT))
-    tokenizer = RegexTokenizer(
-        inputCol=S.TEXT, outputCol=S.TERMS, pattern=TOKEN, gaps=False, toLowercase=False
-    )
-    terms = tokenizer.transform(texts)
+    terms = labelled.select("label", "weight", tokens(F.col(text)).alias(S.TERMS))
     vectorizer = CountVectorizer(
         inputCol=S.TERMS, outputCol=S.COUNTS, minDF=options.min_df, vocabSize=options.vocabulary_size
     ).fit(terms)
@@ -104,7 +99,7 @@ def fit_forest(labelled: DataFrame, text: str, options: TrainingOptions = Traini
         seed=options.seed,
     ).fit(normalizer.transform(scaler.transform(counts)))
     counts.unpersist()
-    model = PipelineModel([tokenizer, vectorizer, scaler, normalizer, forest])
+    model = PipelineModel([vectorizer, scaler, normalizer, forest])
     return ForestScorer(_stored(model, labelled.sparkSession))
 
 
