@@ -64,14 +64,14 @@ class LinearScorer:
         return compute_once(scored, {out: logits_prediction(F.col(RAW), self.name)}).drop(*_INNER)
 
 
-def tolerant(predict: Callable[[list[str]], np.ndarray]) -> Callable[[np.ndarray], np.ndarray]:
-    """Batch logits that are NaN where there is no text or the model fails.
+def tolerant(load: Callable[[], Callable[[list[str]], np.ndarray]]):
+    """A loader whose model answers NaN where there is no text or it fails.
 
     A batch that fails is tried text by text, so one bad text does not take its
-    neighbours down.
+    neighbours down. The functions are nested so that they travel by value.
     """
 
-    def run(texts: list[str]) -> np.ndarray:
+    def run(predict, texts: list[str]) -> np.ndarray:
         try:
             logits = np.asarray(predict(texts), dtype=np.float64)
             if logits.shape == (len(texts), 2):
@@ -80,16 +80,24 @@ def tolerant(predict: Callable[[list[str]], np.ndarray]) -> Callable[[np.ndarray
             pass
         if len(texts) == 1:
             return np.full((1, 2), np.nan)
-        return np.concatenate([run([text]) for text in texts])
+        return np.concatenate([run(predict, [text]) for text in texts])
 
-    def run_batch(batch: np.ndarray) -> np.ndarray:
-        logits = np.full((len(batch), 2), np.nan)
-        filled = [i for i, text in enumerate(batch) if text]
-        if filled:
-            logits[filled] = run([batch[i] for i in filled])
-        return logits
+    def make_predict():
+        try:
+            predict = load()
+        except Exception:  # noqa: BLE001 - a model that does not load is no scorer
+            predict = None
+
+        def run_batch(batch: np.ndarray) -> np.ndarray:
+            logits = np.full((len(batch), 2), np.nan)
+            filled = [i for i, text in enumerate(batch) if text]
+            if filled and predict is not None:
+                logits[filled] = run(predict, [batch[i] for i in filled])
+            return logits
+
+        return run_batch
 
-    return run_batch
+    return make_predict
 
 
 class BatchScorer:
@@ -109,17 +117,10 @@ class BatchScorer:
         self.load, self.name, self.batch_size = load, name, batch_size
 
     def score(self, df: DataFrame, text: str, out: str) -> DataFrame:
-        load = self.load
-
-        def make_predict():
-            try:
-                predict = load()
-            except Exception:  # noqa: BLE001 - a model that does not load is no scorer
-                return lambda batch: np.full((len(batch), 2), np.nan)
-            return tolerant(predict)
-
         logits = predict_batch_udf(
-            make_predict, return_type=ArrayType(DoubleType()), batch_size=self.batch_size
+            tolerant(self.load),
+            return_type=ArrayType(DoubleType()),
+            batch_size=self.batch_size,
         )
         scored = df.withColumn(RAW, logits(text_or_empty(F.col(text))))
         return compute_once(scored, {out: logits_prediction(F.col(RAW), self.name)}).drop(RAW)

@@ -113,6 +113,15 @@ cards AS (
          CASE WHEN label = 0 THEN rest ELSE confidence END AS real_probability
   FROM models)
 """
+# Softmax over ``logits`` with the fallback for unusable rows.
+_ANSWERS = """
+  , answers AS (
+    SELECT doc_id, CASE WHEN NOT usable OR z0 > z1 THEN 0 ELSE 1 END AS label,
+      CASE WHEN usable THEN 1 / (1 + exp(z1 - z0)) ELSE 0.5 END AS p0,
+      CASE WHEN usable THEN 1 / (1 + exp(z0 - z1)) ELSE 0.5 END AS p1 FROM logits)
+  SELECT doc_id, 'BERT' AS model, label, CASE WHEN label = 0 THEN 'Fake' ELSE 'Real' END AS prediction,
+    round(greatest(p0, p1), 9) AS confidence, round(p0, 9) AS fake_probability,
+    round(p1, 9) AS real_probability FROM answers"""
 _NAME = "CASE WHEN label = 0 THEN 'Fake' ELSE 'Real' END"
 
 
@@ -198,19 +207,15 @@ ORACLES = {
     + _vocabulary("page", "pages_cleaned", "page_id")
     + " SELECT index, d.term AS saved_term, p.term AS current_term FROM doc_index d "
     "FULL JOIN page_index p USING (index) WHERE d.term IS DISTINCT FROM p.term",
-    "scorer_b_postprocess": """
+    "scorer_b_postprocess": f"""
       WITH logits AS (
         SELECT doc_id, (doc_id * 37 % 2001 - 1000) / 250.0::DOUBLE AS z0,
           CASE WHEN doc_id % 10 = 0 THEN (doc_id * 37 % 2001 - 1000) / 250.0::DOUBLE
                ELSE (doc_id * 91 % 2001 - 1000) / 250.0::DOUBLE END AS z1,
-          doc_id % 11 <> 0 AND doc_id % 13 <> 0 AS usable FROM documents),
-      answers AS (
-        SELECT doc_id, CASE WHEN NOT usable OR z0 > z1 THEN 0 ELSE 1 END AS label,
-          CASE WHEN usable THEN 1 / (1 + exp(z1 - z0)) ELSE 0.5 END AS p0,
-          CASE WHEN usable THEN 1 / (1 + exp(z0 - z1)) ELSE 0.5 END AS p1 FROM logits)
-      SELECT doc_id, 'BERT' AS model, label, CASE WHEN label = 0 THEN 'Fake' ELSE 'Real' END AS prediction,
-        round(greatest(p0, p1), 9) AS confidence, round(p0, 9) AS fake_probability,
-        round(p1, 9) AS real_probability FROM answers""",
+          doc_id % 11 <> 0 AND doc_id % 13 <> 0 AS usable FROM documents) {_ANSWERS}""",
+    "batch_model_scores": f"""{_DOCUMENTS}, logits AS (
+        SELECT doc_id, (word_count % 7)::DOUBLE AS z0, (word_count % 5)::DOUBLE AS z1,
+          word_count % 11 <> 0 AS usable FROM counted WHERE {_ACCEPTED}) {_ANSWERS}""",
     "decide_documents": f"{_DERIVED} SELECT doc_id, label, {_NAME} AS prediction, confidence, agreement, "
     "selected_model, decision_method FROM decided",
     "response_flat": f"{_DERIVED} SELECT doc_id, position, model, label, prediction, confidence, "

@@ -14,7 +14,7 @@ from presscheck.operators.contract import result_ok
 from presscheck.operators.decision import final_prediction
 from presscheck.operators.distinct_texts import score_distinct
 from presscheck.operators.once import compute_once
-from presscheck.operators.scorers import FallbackScorer
+from presscheck.operators.scorers import BatchScorer, FallbackScorer
 from presscheck.operators.scores import logits_prediction, prediction
 from presscheck.operators.validation import (
     accepted,
@@ -216,16 +216,31 @@ def scorer_b_postprocess(spark, folder):
     verdict = compute_once(
         documents(spark, folder).select("doc_id"), {"v": logits_prediction(logits, K.SEQUENCE_NAME)}
     )
-    return verdict.select(
-        "doc_id",
-        "v.model",
-        "v.label",
-        "v.prediction",
-        *[
-            F.round(F.col(f"v.{c}"), 9).alias(c)
-            for c in ("confidence", "fake_probability", "real_probability")
-        ],
-    )
+    return verdict.select("doc_id", *_rounded_verdict("v"))
+
+
+def batch_model_scores(spark, folder):
+    """Accepted documents through a batch model that fails on some of them."""
+
+    def load():
+        def predict(texts):
+            words = [len(text.split(" ")) for text in texts]
+            if any(n % 11 == 0 for n in words):
+                raise ValueError("not scorable")
+            return [[n % 7, n % 5] for n in words]
+
+        return predict
+
+    texts = accepted(check_articles(A.document_articles(documents(spark, folder))))
+    scored = BatchScorer(load).score(texts, "clean_text", "v")
+    return scored.select("doc_id", *_rounded_verdict("v"))
+
+
+def _rounded_verdict(verdict: str) -> list[Column]:
+    shares = ("confidence", "fake_probability", "real_probability")
+    return [F.col(f"{verdict}.{c}") for c in ("model", "label", "prediction")] + [
+        F.round(F.col(f"{verdict}.{c}"), 9).alias(c) for c in shares
+    ]
 
 
 def _derived_results(spark, folder) -> DataFrame:
@@ -465,6 +480,7 @@ QUERIES = {
         aligned_documents,
         feature_mismatches,
         scorer_b_postprocess,
+        batch_model_scores,
         decide_documents,
         response_flat,
         response_json,
