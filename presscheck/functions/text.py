@@ -55,7 +55,7 @@ PAGE_SPACES = (
     "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
-ENDS = f"^{_S}+|{_S}+$"
+ENDS = f"^{_S}+|(?<!{_S}){_S}+\\z"
 TOKEN = f"{_W}{{2,}}"
 
 
@@ -103,7 +103,11 @@ def decode_entities(c: Column) -> Column:
 
 
 def remove_tags(c: Column) -> Column:
-    return _replace_where(c.contains("<") & c.contains(">"), c, TAG)
+    # Behind the last ">" there are no tags, and a "<" there would search in vain.
+    rest = F.substring_index(c, ">", -1)
+    tagged = F.left(c, F.length(c) - F.length(rest))
+    bare = F.concat(F.regexp_replace(tagged, TAG, " "), rest)
+    return F.when(c.contains("<") & c.contains(">"), bare).otherwise(c)
 
 
 def remove_urls(c: Column) -> Column:

@@ -178,11 +178,13 @@ def test_null_reads_as_empty(spark):
         ("a." * 50000 + "@", "a." * 50000 + "@"),
         ("@" + "x.y" * 30000, "@" + "x.y" * 30000),
         ("<" * 30000 + ">", ""),
+        ("<b>x" + "<" * 200000, "x" + "<" * 200000),
+        ("a" + " " * 200000 + "b ", "a b"),
         ("\u4e2d" * 100000 + "@b.com", ""),
         ("\n" * 100000 + "x" + "\n" * 100000, "x"),
     ],
-    ids=["dotted-run", "dotted-domain", "open-brackets", "unbroken-script", "newlines"],
+    ids=["dotted-run", "dotted-domain", "open-brackets", "unclosed-brackets", "inner-blanks", "unbroken-script", "newlines"],
 )
 def test_hostile_texts_finish(spark, text, want):
     frame = spark.createDataFrame([(text,)], "t string")
-    assert frame.select(X.clean_news_text(F.col("t"))).first()[0] == want
+    assert frame.select(X.build_news_text(F.col("t"), F.lit(""))).first()[0] == want
