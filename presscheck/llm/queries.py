@@ -4,8 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presscheck.llm import decontamination
-from presscheck.llm.tables import table
+from presscheck.llm import decontamination, packing, token_files
+from presscheck.llm.tables import scratch_path, table
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark, folder):
+    sequences = packing.pack(table(spark, folder, "documents"), _vocabulary("byte_bpe_50k.json"))
+    return packing.piece_digests(sequences)
 
 
 def op7_benchmark_decontamination(spark, folder):
@@ -23,7 +34,20 @@ def op7_benchmark_decontamination(spark, folder):
     )
 
 
-QUERIES = {q.__name__: q for q in (op7_benchmark_decontamination,)}
+def op8_token_files(spark, folder):
+    path = scratch_path(spark, "tokens")
+    token_files.write(table(spark, folder, "documents"), path, _vocabulary("word_bpe_49k.json"))
+    return token_files.digests(token_files.read(spark, path))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op5_packing,
+        op7_benchmark_decontamination,
+        op8_token_files,
+    )
+}
 
 # SQL for DuckDB.
 

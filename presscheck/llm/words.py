@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from presscheck.llm.worker import kept
+
 # Odd, so that it has an inverse modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
 
@@ -87,17 +89,15 @@ def _inverse(base: int) -> int:
     return pow(base, -1, 1 << 64)
 
 
-_powers: dict[int, np.ndarray] = {}
-
-
 def powers(base: int, count: int) -> np.ndarray:
     """The first powers of ``base`` modulo 2^64, kept from call to call."""
-    out = _powers.get(base, np.ones(1, np.uint64))
+    known = kept("powers", dict)
+    out = known.get(base, np.ones(1, np.uint64))
     while len(out) < count:
         step = np.uint64(pow(base, len(out), 1 << 64))
         out = np.concatenate([out, out * step])
     if len(out) <= 1 << 22:  # a single very long text makes its own
-        _powers[base] = out
+        known[base] = out
     return out[:count]
 
 
