@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presscheck.llm import decontamination, packing, token_files
+from presscheck.llm import decontamination, near_duplicates, packing, token_files
 from presscheck.llm.tables import scratch_path, table
 
 
@@ -40,12 +40,17 @@ def op8_token_files(spark, folder):
     return token_files.digests(token_files.read(spark, path))
 
 
+def op9_near_duplicates(spark, folder):
+    return near_duplicates.find(table(spark, folder, "documents"), width=2, percent=80)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op5_packing,
         op7_benchmark_decontamination,
         op8_token_files,
+        op9_near_duplicates,
     )
 }
 
@@ -78,4 +83,23 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op7_benchmark_decontamination": _OP7}
+_OP9 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, w[i] || coalesce(' ' || w[i + 1], '') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 1, least(len(w), 1)))) AS i FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON reach.other = edge.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) m USING (doc_id)
+"""
+
+ORACLES = {"op7_benchmark_decontamination": _OP7, "op9_near_duplicates": _OP9}
