@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presscheck.llm import decontamination, near_duplicates, packing, token_files
+from presscheck.llm import decontamination, line_dedup, near_duplicates, packing, token_files
 from presscheck.llm.tables import scratch_path, table
 
 
@@ -14,6 +14,19 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_line_dedup(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("whole"))
+    lines = F.size(F.split("whole", "\n", -1))
+    removed = F.aggregate("runs", F.lit(0), lambda n, run: n + run["end"] - run["start"])
+    return line_dedup.remove_repeats(documents, runs="runs").select(
+        "doc_id",
+        F.when(F.col("whole").isNotNull(), lines).cast("long").alias("n_lines"),
+        F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.when(F.col("runs").isNotNull(), F.size("runs")), F.lit(0)).cast("long").alias("n_runs"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op5_packing(spark, folder):
     sequences = packing.pack(table(spark, folder, "documents"), _vocabulary("byte_bpe_50k.json"))
     return packing.piece_digests(sequences)
@@ -47,6 +60,7 @@ def op9_near_duplicates(spark, folder):
 QUERIES = {
     q.__name__: q
     for q in (
+        op4_line_dedup,
         op5_packing,
         op7_benchmark_decontamination,
         op8_token_files,
@@ -56,6 +70,28 @@ QUERIES = {
 
 # SQL for DuckDB.
 
+_OP4 = r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+win AS (
+  SELECT doc_id, i, 3 AS n, array_to_string(l[i:i + 2], chr(10)) AS k
+  FROM (SELECT doc_id, l, unnest(generate_series(1, len(l) - 2)) AS i FROM d)
+  UNION ALL
+  SELECT doc_id, i, 1, l[i] FROM (SELECT doc_id, l, unnest(generate_series(1, len(l))) AS i FROM d)
+  WHERE octet_length(encode(l[i])) >= 200),
+seen AS (SELECT *, row_number() OVER (PARTITION BY n, k ORDER BY doc_id, i) AS r FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + n - 1)) AS j FROM seen WHERE r > 1),
+runs AS (
+  SELECT doc_id, count(*) AS n_removed, count(DISTINCT g) AS n_runs
+  FROM (SELECT doc_id, j, j - row_number() OVER (PARTITION BY doc_id ORDER BY j) AS g FROM gone) GROUP BY 1),
+kept AS (
+  SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS t
+  FROM (SELECT doc_id, i, l[i] AS x FROM (SELECT doc_id, l, unnest(generate_series(1, len(l))) AS i FROM d)) a
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = a.doc_id AND gone.j = a.i) GROUP BY 1)
+SELECT d.doc_id, len(l) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+  CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS kept_sha256
+FROM d LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 _OP7 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -102,4 +138,4 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.co
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) m USING (doc_id)
 """
 
-ORACLES = {"op7_benchmark_decontamination": _OP7, "op9_near_duplicates": _OP9}
+ORACLES = {"op4_line_dedup": _OP4, "op7_benchmark_decontamination": _OP7, "op9_near_duplicates": _OP9}
