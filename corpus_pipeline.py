@@ -1,21 +1,53 @@
-"""Cleans a document table in stages; each stage's rows are stored and read by the next."""
+"""Turns a document table into training sequences in five stages.
+
+Each stage works on all rows that the one before kept. All stages but the last return
+the columns of ``documents``; between stages the rows are stored as Parquet in the
+shared folder and read again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presscheck.llm import decontamination
+from presscheck.llm import decontamination, line_dedup, near_duplicates, packing, toxicity
+from presscheck.llm.queries import vocabulary
 from presscheck.llm.tables import materialise, table
 
 
-def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are more likely toxic than not go. The model is fitted on ``docs``."""
+    return toxicity.remove_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of lines that an earlier document or place has are cut out of the texts."""
+    return line_dedup.remove_repeats(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: five-word shingles, similarity of 0.8 or more."""
+    return near_duplicates.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share ten words in a row with a benchmark text go."""
     return decontamination.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("benchmark_decontamination", decontaminate)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of at most 2048 ids, with the pieces of documents in them."""
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("packing", pack),
+]
 
-# Fitted models and sketches take part, which SQL cannot express.
+# Fitted models, sketches and token ids take part, which SQL cannot express.
 ORACLE_SQL = None
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from presscheck.llm.tables import slices, text_bytes
+from presscheck.llm.tables import share, shared, slices, text_bytes
 from presscheck.llm.words import Words, alphanumeric, lower_table, ngram_hashes, whole_ngrams
 
 WIDTH = 10
@@ -82,7 +82,7 @@ def _marker(windows, text: str, carried: list[str], out: str):
     """Adds one block's hits to the hits of the blocks before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, lower, is_word = windows.value, lower_table(), alphanumeric()
+        index, lower, is_word = shared(windows), lower_table(), alphanumeric()
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         fields = [("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.int64()))]
         for batch in batches:
@@ -138,14 +138,13 @@ def find(
     were read.
     """
     carry = [c for c in (documents.columns if carry is None else carry) if c != out]
-    context = documents.sparkSession.sparkContext
     columns = [*[c for c in carry if c != text], text]
     frame = documents.select(*columns)
     indexes = [Windows(b, width) for b in _blocks(benchmark, item_key, item_text)] or [Windows([], width)]
     for i, index in enumerate(indexes):
         kept = columns if i + 1 < len(indexes) else carry
         schema = StructType(documents.select(*kept).schema.fields).add(out, DataType.fromDDL(FOUND_TYPE))
-        frame = frame.mapInArrow(_marker(context.broadcast(index), text, kept, out), schema)
+        frame = frame.mapInArrow(_marker(share(documents.sparkSession, index), text, kept, out), schema)
     return frame
 
 

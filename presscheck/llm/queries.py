@@ -4,16 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presscheck.llm import decontamination, line_dedup, near_duplicates, packing, token_files
+from presscheck.llm import decontamination, line_dedup, near_duplicates, packing, token_files, toxicity
 from presscheck.llm.tables import scratch_path, table
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def op2_toxicity(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, folder, "labels"))
+    return toxicity.score(documents, model, carry=["doc_id"]).withColumn(
+        "rejected", F.col("toxic_probability") >= 0.5
+    )
+
+
 def op4_line_dedup(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("whole"))
     lines = F.size(F.split("whole", "\n", -1))
@@ -28,7 +36,7 @@ def op4_line_dedup(spark, folder):
 
 
 def op5_packing(spark, folder):
-    sequences = packing.pack(table(spark, folder, "documents"), _vocabulary("byte_bpe_50k.json"))
+    sequences = packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
     return packing.piece_digests(sequences)
 
 
@@ -49,7 +57,7 @@ def op7_benchmark_decontamination(spark, folder):
 
 def op8_token_files(spark, folder):
     path = scratch_path(spark, "tokens")
-    token_files.write(table(spark, folder, "documents"), path, _vocabulary("word_bpe_49k.json"))
+    token_files.write(table(spark, folder, "documents"), path, vocabulary("word_bpe_49k.json"))
     return token_files.digests(token_files.read(spark, path))
 
 
@@ -60,6 +68,7 @@ def op9_near_duplicates(spark, folder):
 QUERIES = {
     q.__name__: q
     for q in (
+        op2_toxicity,
         op4_line_dedup,
         op5_packing,
         op7_benchmark_decontamination,

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from presscheck.session import materialise, scratch_path
 
-__all__ = ["table", "materialise", "scratch_path", "slices", "text_bytes"]
+__all__ = ["table", "materialise", "scratch_path", "share", "shared", "slices", "text_bytes"]
 
 # Text that one step of a vectorised scan holds at once. Its arrays take up to
 # about 30 times as much.
@@ -20,6 +21,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def share(spark: SparkSession, value):
+    """A broadcast of an object together with its class, for workers without this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(broadcast):
+    """The object of :func:`share`, on a worker."""
+    import pickle
+
+    return pickle.loads(broadcast.value)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of an Arrow batch with about ``limit`` bytes of text each, one row at least."""
     lengths = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_numpy(

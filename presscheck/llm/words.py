@@ -76,7 +76,7 @@ class Words:
 
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        return span_hashes(self.data, self.start, self.end, seed)
+        return Spans(self.data, seed).hashes(self.start, self.end)
 
     def text(self, i: int, j: int | None = None) -> bytes:
         """Word ``i``, or the words from ``i`` to before ``j`` with single blanks between."""
@@ -101,19 +101,22 @@ def powers(base: int, count: int) -> np.ndarray:
     return out[:count]
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+class Spans:
     """Hashes of byte spans from sums over prefixes: equal spans have equal hashes, wherever they lie."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    base = (_BASE + 2 * seed * 0x5851F42D4C957F2D) & (2**64 - 1)
-    scramble = mix(np.arange(256, dtype=np.uint64), seed + 1)
-    # Powers fall along the data, so a span's sum is brought to its start by a rising power.
-    n = len(data)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(scramble[data] * powers(base, n), out=total[1:])
-    back = powers(_inverse(base), n)
-    value = (total[end] - total[start]) * back[start]
-    return mix(value ^ (np.uint64(seed) + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+    def __init__(self, data: np.ndarray, seed: int = 0):
+        base = (_BASE + 2 * seed * 0x5851F42D4C957F2D) & (2**64 - 1)
+        scramble = mix(np.arange(256, dtype=np.uint64), seed + 1)
+        # Powers rise along the data; the inverse power brings a span's sum to its start.
+        self.seed, self.back = np.uint64(seed), powers(_inverse(base), len(data))
+        self.total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(scramble[data] * powers(base, len(data)), out=self.total[1:])
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if not len(start):
+            return np.zeros(0, np.uint64)
+        value = (self.total[end] - self.total[start]) * self.back[start]
+        return mix(value ^ (self.seed + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
