@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presscheck.llm import decontamination, line_dedup, near_duplicates, packing, token_files, toxicity
+from presscheck.llm import decontamination, fingerprints, line_dedup, near_duplicates, packing, token_files, toxicity
 from presscheck.llm.tables import scratch_path, table
+from presscheck.operators.once import compute_once
 
 
 def vocabulary(name: str) -> str:
@@ -14,6 +15,25 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_fingerprints(spark, folder):
+    """Documents against themselves with the last third replaced by their neighbour's start."""
+    rows = fingerprints.with_next(table(spark, folder, "documents"), "doc_id", "text")
+    third = F.floor(F.length("text") / 3).cast("int")
+    edited = F.concat(F.left("text", F.length("text") - third), F.left("next_text", third))
+    rows = compute_once(rows, {"edited": edited})
+    rows = compute_once(rows, {"edited_sketch": fingerprints.fingerprint(F.col("edited"))})
+    return rows.select(
+        F.col("_key").alias("doc_id"),
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprints.shingle_count(F.col("sketch")).alias("n_shingles_estimate"),
+    )
+
+
 def op2_toxicity(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.fit(documents, table(spark, folder, "labels"))
@@ -68,6 +88,7 @@ def op9_near_duplicates(spark, folder):
 QUERIES = {
     q.__name__: q
     for q in (
+        op1_fingerprints,
         op2_toxicity,
         op4_line_dedup,
         op5_packing,
