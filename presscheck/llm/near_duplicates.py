@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 
 from presscheck.llm.components import components
 from presscheck.llm.shingles import band_hashes, fast_sketches, set_keys, shingle_sets
-from presscheck.llm.tables import materialise, slices, text_bytes
+from presscheck.llm.tables import free_name, materialise, slices, text_bytes
 
 WIDTH = 5
 PERCENT = 80
 BANDS, ROWS = 40, 6
-# Members that are held at once while the others stream past them.
+# Members of about that number are held at once while the others stream past them.
 BLOCK = 512
 
 
@@ -173,12 +173,13 @@ def links(texts: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     # The best centre of each member, and the comparison with it.
     ranked = buckets.join(met, "node").select("bucket", "node", F.struct("met", "node").alias("rank"))
     centre = ranked.groupBy("bucket").agg(F.max("rank").alias("centre"))
-    best = (
+    best = materialise(
         ranked.join(centre, "bucket")
         .where(F.col("node") != F.col("centre.node"))
         .groupBy("node")
         .agg(F.max("centre").alias("centre"))
-        .select(F.col("node").alias("a"), F.col("centre.node").alias("b"))
+        .select(F.col("node").alias("a"), F.col("centre.node").alias("b")),
+        "centres",
     )
     of_centre = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_centre"))
     compared = best.join(of_centre, "b").join(sets.withColumnRenamed("node", "a"), "a")
@@ -198,16 +199,21 @@ def links(texts: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
         .select("bucket")
     )
     open_rows = materialise(placed.join(open_buckets, "bucket"), "open")
-    nodes = open_rows.select("node", "component").distinct()
-    count = nodes.count()
-    blocks = max(1, -(-count // BLOCK))
-    block = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
-    of_bucket = open_rows.groupBy("bucket").agg(F.collect_set(block).alias("blocks"))
+    # Members with the same centre share a block, or several if they are many, so that
+    # few members have partners in many blocks.
+    centred = open_rows.select("node").distinct().join(best, F.col("node") == F.col("a"), "left")
+    centred = centred.select("node", F.coalesce("b", "node").alias("centre"))
+    parts = centred.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    homes = centred.join(parts, "centre").select(
+        "node", F.xxhash64("centre", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("home")
+    )
+    open_rows = materialise(open_rows.join(homes, "node"), "open")
+    of_bucket = open_rows.groupBy("bucket").agg(F.collect_set("home").alias("blocks"))
     sent = (
         open_rows.join(of_bucket, "bucket")
-        .groupBy("node", "component")
+        .groupBy("node", "component", "home")
         .agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks"))
-        .select("node", "component", F.explode("blocks").alias("block"), block.alias("home"))
+        .select("node", "component", "home", F.explode("blocks").alias("block"))
     )
     bands = classes.select("node", "bands")
     streamed = (
@@ -253,5 +259,6 @@ def find(
 
 def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without all but the smallest key of each group of near duplicates."""
-    gone = find(documents, key, text, **options).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone"))
-    return documents.join(gone, documents[key].cast("long") == F.col("_gone"), "left_anti")
+    name = free_name("_gone", documents)
+    gone = find(documents, key, text, **options).where("not kept and doc_id is not null").select(F.col("doc_id").alias(name))
+    return documents.join(gone, documents[key].cast("long") == F.col(name), "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from presscheck.session import materialise, scratch_path
 
-__all__ = ["table", "materialise", "scratch_path", "share", "shared", "slices", "text_bytes"]
+__all__ = ["free_name", "table", "materialise", "scratch_path", "share", "shared", "slices", "text_bytes"]
 
 # Text that one step of a vectorised scan holds at once. Its arrays take up to
 # about 30 times as much.
@@ -21,6 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(name: str, frame: DataFrame) -> str:
+    """The name, with as many ``_`` behind it as needed to be no column of the frame."""
+    while name.lower() in map(str.lower, frame.columns):
+        name += "_"
+    return name
+
+
 def share(spark: SparkSession, value):
     """A broadcast of an object together with its class, for workers without this package."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
