@@ -20,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of lines that an earlier document or place has are cut out of the texts."""
-    return line_dedup.remove_repeats(docs)
+    """Runs of lines that an earlier document or place has are cut out; emptied documents go."""
+    return line_dedup.remove_repeats(docs, drop_emptied=True)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from presscheck.llm.tables import share, shared, slices, text_bytes
+from presscheck.llm.tables import free_name, share, shared, slices, text_bytes
 from presscheck.llm.words import Words, alphanumeric, lower_table, ngram_hashes, whole_ngrams
 
 WIDTH = 10
@@ -171,22 +171,15 @@ def _cutter(text: str, columns: list[str], out: str):
     return run
 
 
-def _free_name(taken: list[str]) -> str:
-    name = FOUND
-    while name in taken:
-        name += "_"
-    return name
-
-
 def remove_spans(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents with the text of each span of hit words cut out."""
-    out = _free_name(documents.columns)
+    out = free_name(FOUND, documents)
     found = find(documents, benchmark, text, out=out, **options)
     return found.mapInArrow(_cutter(text, documents.columns, out), documents.schema)
 
 
 def remove_documents(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents that share no window with the benchmark."""
-    out = _free_name(documents.columns)
+    out = free_name(FOUND, documents)
     found = find(documents, benchmark, text, out=out, **options)
     return found.where(F.col(out)["n_hit"] == 0).select(*documents.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from presscheck.llm.tables import materialise
+from presscheck.llm.tables import free_name, materialise
 from presscheck.operators.once import compute_once
 
 RUN = 3
@@ -102,14 +102,26 @@ def _without(text: Column, runs: Column) -> Column:
 
 
 def remove_repeats(
-    documents: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, long: int = LONG, runs: str | None = None
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    run: int = RUN,
+    long: int = LONG,
+    runs: str | None = None,
+    drop_emptied: bool = False,
 ) -> DataFrame:
     """The documents with the lines of later repeated runs cut out of their texts.
 
-    With ``runs``, a column of that name tells which lines went.
+    With ``runs``, a column of that name tells which lines went. With ``drop_emptied``,
+    documents of which nothing but line ends is left go altogether.
     """
-    found = repeated_runs(documents, key, text, run, long).select(F.col(key).alias("_key"), F.col("runs").alias("_runs"))
-    joined = documents.join(found, documents[key] == F.col("_key"), "left")
-    cut = F.when(F.col("_runs").isNull(), F.col(text)).otherwise(_without(F.col(text), F.col("_runs")))
+    own_key, own_runs = free_name("_key", documents), free_name("_runs", documents)
+    found = repeated_runs(documents, key, text, run, long)
+    found = found.select(F.col(key).alias(own_key), F.col("runs").alias(own_runs))
+    joined = documents.join(found, documents[key] == F.col(own_key), "left")
+    cut = F.when(F.col(own_runs).isNull(), F.col(text)).otherwise(_without(F.col(text), F.col(own_runs)))
     columns = [cut.alias(text) if c == text else F.col(c) for c in documents.columns if c != runs]
-    return joined.select(*columns, *([F.col("_runs").alias(runs)] if runs else []))
+    done = joined.select(*columns, F.col(own_runs))
+    if drop_emptied:
+        done = done.where(F.col(own_runs).isNull() | (F.ltrim(F.col(text), F.lit("\n")) != ""))
+    return done.withColumnRenamed(own_runs, runs) if runs else done.drop(own_runs)
