@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presscheck.llm import decontamination, fingerprints, line_dedup, near_duplicates, packing, token_files, toxicity
+from presscheck.llm import (
+    decontamination,
+    fingerprints,
+    language_model,
+    line_dedup,
+    near_duplicates,
+    packing,
+    token_files,
+    toxicity,
+)
 from presscheck.llm.tables import scratch_path, table
 from presscheck.operators.once import compute_once
 
@@ -85,6 +94,26 @@ def op9_near_duplicates(spark, folder):
     return near_duplicates.find(table(spark, folder, "documents"), width=2, percent=80)
 
 
+def _remainder(divisor: int):
+    """The checksum of the key, as text, by a divisor."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def op10_language_model(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = language_model.fit(documents.where(_remainder(7) != 2))
+    scored = language_model.score(documents, model, carry=["doc_id"])
+    return scored.select(
+        "doc_id",
+        (_remainder(7) == 2).alias("held_out"),
+        "lm.n_tokens",
+        "lm.n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "lm.base_score",
+        "lm.score",
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -95,6 +124,7 @@ QUERIES = {
         op7_benchmark_decontamination,
         op8_token_files,
         op9_near_duplicates,
+        op10_language_model,
     )
 }
 
