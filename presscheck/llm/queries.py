@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from presscheck.llm import (
     decontamination,
     fingerprints,
+    language,
     language_model,
     line_dedup,
     near_duplicates,
@@ -69,6 +70,18 @@ def op5_packing(spark, folder):
     return packing.piece_digests(sequences)
 
 
+def op6_language(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(documents.where(_remainder(3) != 1))
+    found = language.detect(documents.select("doc_id", "text"), model, carry=["doc_id"])
+    return found.select(
+        "doc_id",
+        (_remainder(3) == 1).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        "language.score",
+    )
+
+
 def op7_benchmark_decontamination(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
     found = decontamination.find(documents, table(spark, folder, "benchmark"), carry=["doc_id"])
@@ -121,6 +134,7 @@ QUERIES = {
         op2_toxicity,
         op4_line_dedup,
         op5_packing,
+        op6_language,
         op7_benchmark_decontamination,
         op8_token_files,
         op9_near_duplicates,

@@ -105,12 +105,16 @@ class Spans:
     """Hashes of byte spans from sums over prefixes: equal spans have equal hashes, wherever they lie."""
 
     def __init__(self, data: np.ndarray, seed: int = 0):
+        """``data`` holds bytes, or code points as larger numbers."""
         base = (_BASE + 2 * seed * 0x5851F42D4C957F2D) & (2**64 - 1)
-        scramble = mix(np.arange(256, dtype=np.uint64), seed + 1)
+        if data.dtype == np.uint8:
+            values = mix(np.arange(256, dtype=np.uint64), seed + 1)[data]
+        else:
+            values = mix(data.astype(np.uint64), seed + 1)
         # Powers rise along the data; the inverse power brings a span's sum to its start.
         self.seed, self.back = np.uint64(seed), powers(_inverse(base), len(data))
         self.total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(scramble[data] * powers(base, len(data)), out=self.total[1:])
+        np.cumsum(values * powers(base, len(data)), out=self.total[1:])
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         if not len(start):
