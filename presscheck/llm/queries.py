@@ -12,6 +12,7 @@ from presscheck.llm import (
     line_dedup,
     near_duplicates,
     packing,
+    suffixes,
     token_files,
     toxicity,
 )
@@ -52,6 +53,11 @@ def op2_toxicity(spark, folder):
     )
 
 
+def op3_suffix_dedup(spark, folder):
+    kept = suffixes.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_line_dedup(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("whole"))
     lines = F.size(F.split("whole", "\n", -1))
@@ -132,6 +138,7 @@ QUERIES = {
     for q in (
         op1_fingerprints,
         op2_toxicity,
+        op3_suffix_dedup,
         op4_line_dedup,
         op5_packing,
         op6_language,
