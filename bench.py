@@ -22,6 +22,8 @@ WARMED = (
     "distinct_texts",
     "decide_documents",
     "report_cards",
+    "page_articles",
+    "aligned_documents",
     "forest_scores",
     "scorer_b_scores",
     "end_to_end",
@@ -56,6 +58,7 @@ def main():
             times["fit_scorers"] = time.monotonic() - started
         run(spark, folder, name)
         times[name] = run(spark, folder, name)
+    session.remove_scratch(spark)
     spark.stop()
     print(
         json.dumps(

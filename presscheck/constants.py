@@ -33,6 +33,7 @@ SCORER_FAILED = "Scorer returned an invalid result."
 CODE_SCHEMA = 422
 CODE_TEXT = 400
 CODE_SCORER = 500
+CODE_UNAVAILABLE = 503
 
 # The sequence scorer reads this many tokens and answers this
 # probability when it cannot score.

@@ -29,12 +29,10 @@ _W = f"[{PY_WORD}]"
 _RUN = f"[{PY_WORD}.+-]"
 _DOMAIN = f"[{PY_WORD}.-]"
 _S = f"[{PY_SPACE}]"
-# Python's ignore-case also pairs i with dotless and dotted i, s with long s.
-_I = "[iIıİ]"
-_ING = f"{_I}[nN][gG]"
 
+# The patterns of the contract.
 TAG = r"<[^>]+>"
-URL = f"(?:[hH][tT][tT][pP][sSſ]?://|[wW]{{3}}\\.)[^{PY_SPACE}]+"
+URL = f"(?iu)https?://[^{PY_SPACE}]+|www\\.[^{PY_SPACE}]+"
 # Group 1 is punctuation in front of the address, which stays. A run of address
 # characters is tried once, from its first word character (or from the end of
 # the previous match), so the search stays linear in the text.
@@ -43,10 +41,7 @@ EMAIL = (
     f"{_RUN}*@{_DOMAIN}+\\.[A-Za-z]{{2,}}(?!{_W})"
 )
 AGENCY = f"(?iu)^{_S}*(?:REUTERS|AP|AFP){_S}*[-–—:]{_S}*"
-CREDIT = (
-    f"(?s)(?<!{_W})(?:(?:[aA][dD][dD]{_I}[tT]{_I}[oO][nN][aA][lL] )?"
-    f"[rR][eE][pP][oO][rR][tT]|[eE][dD]{_I}[tT]){_ING} [bB][yY](?!{_W}).*"
-)
+CREDIT = f"(?isu)(?<!{_W})(?:reporting by|additional reporting by|editing by)(?!{_W}).*"
 CONTROL = r"[\x00-\x1f\x7f]"
 # The spaces beyond ASCII that NFKC keeps.
 NFKC_SPACES = "\u0085\u1680\u2028\u2029"

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from presscheck.functions.text import tokens
 from presscheck.session import materialise
 
-# A vocabulary row takes well under 200 bytes in memory, so a broadcast stays
-# under 200 MB.
+# Most terms to send to every task, and their most bytes: terms can be long where a
+# script has no spaces. A row takes about 150 bytes besides its term.
 BROADCAST_TERMS = 1_000_000
+BROADCAST_BYTES = 200 << 20
+_ROW_BYTES = 150
 
 
 def smoothed_idf(documents: Column, document_frequency: Column) -> Column:
@@ -59,18 +61,53 @@ def term_counts(articles: DataFrame, keys: list[str], text: str) -> DataFrame:
     )
 
 
-def weigh(counts: DataFrame, keys: list[str], vocabulary: DataFrame) -> DataFrame:
-    """``(keys, term, weight)`` for the terms of the vocabulary.
+def _most_frequent(vocabulary: DataFrame) -> Column:
+    """True for the terms to broadcast: all, or the most frequent within both bounds.
+
+    Frequencies are told apart by their power of two, of which there are few.
+    """
+    power = F.floor(F.log2(F.greatest(F.col("df"), F.lit(1)))).cast("int")
+    sizes = vocabulary.groupBy(power.alias("power")).agg(
+        F.count(F.lit(1)).alias("terms"), F.sum(F.octet_length("term") + _ROW_BYTES).alias("bytes")
+    )
+    lowest, terms, size = 64, 0, 0
+    for row in sorted(sizes.collect(), key=lambda r: -r.power):
+        terms, size = terms + row.terms, size + row.bytes
+        if terms > BROADCAST_TERMS or size > BROADCAST_BYTES:
+            break
+        lowest = row.power
+    return power >= lowest
+
 
-    A vocabulary of up to ``BROADCAST_TERMS`` rows goes to every task. A larger one
-    is joined by shuffle, where AQE splits the partitions of frequent terms.
+def _attach(rows: DataFrame, vocabulary: DataFrame, wanted: list[str]) -> DataFrame:
+    """``rows`` whose ``term`` is known, with the ``wanted`` columns of the vocabulary.
+
+    The most frequent terms, which nearly all rows hold, are joined where the rows are.
+    Only rows of rarer terms move, and none of these is hot.
     """
-    terms = vocabulary.select("term", "idf")
-    if terms.count() <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
+    terms = vocabulary.select("term", *wanted)
+    if "df" not in vocabulary.columns:
+        bounded = vocabulary.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term") + _ROW_BYTES), F.lit(0))).head()
+        small = bounded[0] <= BROADCAST_TERMS and bounded[1] <= BROADCAST_BYTES
+        return rows.join(F.broadcast(terms) if small else terms, "term")
+    frequent = _most_frequent(vocabulary)
+    rare = vocabulary.where(~frequent).select("term", *wanted)
+    common = vocabulary.where(frequent).select("term", *wanted)
+    if rare.isEmpty():
+        return rows.join(F.broadcast(common), "term")
+    here = F.broadcast(common.select("term"))
+    return rows.join(F.broadcast(common), "term").unionByName(
+        rows.join(here, "term", "left_anti").join(rare, "term")
+    )
+
+
+def weigh(counts: DataFrame, keys: list[str], vocabulary: DataFrame) -> DataFrame:
+    """``(keys, term, weight)`` for the terms of the vocabulary, and ``index`` if it has one."""
+    index = [c for c in ("index",) if c in vocabulary.columns]
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(W.partitionBy(*keys)))
-    return counts.join(terms, "term").select(*keys, "term", (raw / norm).alias("weight"))
+    known = _attach(counts, vocabulary, ["idf", *index])
+    return known.select(*keys, "term", (raw / norm).alias("weight"), *index)
 
 
 def tfidf(articles: DataFrame, keys: list[str], text: str, vocabulary: DataFrame) -> DataFrame:
@@ -78,15 +115,14 @@ def tfidf(articles: DataFrame, keys: list[str], text: str, vocabulary: DataFrame
 
 
 def index_terms(vocabulary: DataFrame) -> DataFrame:
-    """``(index, term)``: the terms in order, counted from 0.
+    """``index`` and the columns of the vocabulary: the terms in order, counted from 0.
 
     Terms are cut into ranges, numbered within their range and shifted by the size
     of the ranges before it, so no task sees them all. The ranges are stored first;
     their bounds come from a sample and could differ between two evaluations.
     """
     ranged = materialise(
-        vocabulary.select("term")
-        .repartitionByRange("term")
+        vocabulary.repartitionByRange("term")
         .withColumn("_range", F.spark_partition_id()),
         "terms",
     )
@@ -98,20 +134,22 @@ def index_terms(vocabulary: DataFrame) -> DataFrame:
     )
     place = F.row_number().over(W.partitionBy("_range").orderBy("term")) - 1
     return ranged.join(F.broadcast(starts), "_range").select(
-        (F.col("_start") + place).alias("index"), "term"
+        (F.col("_start") + place).alias("index"), *vocabulary.columns
     )
 
 
-def align(weights: DataFrame, keys: list[str], features: DataFrame) -> DataFrame:
+def align(weights: DataFrame, keys: list[str], features: DataFrame | None = None) -> DataFrame:
     """Weights in the order a model was trained with.
 
-    ``features`` is ``(index, term)``. Terms unknown to the model are dropped; the
-    result is ``(keys, indices, weights)``, sorted by index, one row per article.
+    ``features`` is ``(index, term)``; weights from an indexed vocabulary have their index
+    already. Terms unknown to the model are dropped; the result is ``(keys, indices,
+    weights)``, sorted by index, one row per article.
     """
+    if features is not None:
+        weights = _attach(weights.drop("index"), features, ["index"])
     entries = F.array_sort(F.collect_list(F.struct("index", "weight")))
     return (
-        weights.join(features, "term")
-        .groupBy(*keys)
+        weights.groupBy(*keys)
         .agg(entries.alias("entries"))
         .select(
             *keys,

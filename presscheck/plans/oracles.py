@@ -2,7 +2,8 @@
 
 RE2 has no lookaround and DuckDB neither decodes entities nor normalises, so the
 e-mail pattern keeps the character before the address and the few entities of the
-tables are replaced one by one. NFKC changes none of the tables.
+tables are replaced one by one. NFKC changes none of the tables. Messages, names and
+patterns are fixed values of the contract.
 """
 
 from __future__ import annotations
@@ -84,6 +85,49 @@ _WEIGHTS = (
     "FROM doc_counts JOIN doc_vocabulary USING (term)) "
 )
 
+# Verdicts of a whole run of the two scorers that count.
+_LOGITS = r"""(word_count % 7) / 2.0::DOUBLE AS a0,
+  (len(regexp_extract_all(clean_text, '[\pL\pN_]{2,}')) % 5) / 2.0::DOUBLE AS a1"""
+_FIRST_WORDS = "string_split(clean_text, ' ')[1:256]"
+
+
+def _run(keys: str, condition: str) -> str:
+    """Common tables ``pairs`` to ``cards`` over the accepted rows of ``counted``."""
+    return f"""
+, logits AS (
+  SELECT {keys}, word_count, {_LOGITS}, (len({_FIRST_WORDS}) % 5)::DOUBLE AS b0,
+    (length(array_to_string({_FIRST_WORDS}, ' ')) % 7)::DOUBLE AS b1,
+    length(array_to_string({_FIRST_WORDS}, ' ')) % 11 <> 0 AS usable FROM counted WHERE {condition}),
+pairs AS (
+  SELECT *, CASE WHEN a0 > a1 THEN 0 ELSE 1 END AS a_label, CASE WHEN NOT usable OR b0 > b1 THEN 0 ELSE 1 END AS b_label,
+    1 / (1 + exp(-abs(a0 - a1))) AS a_conf,
+    CASE WHEN usable THEN 1 / (1 + exp(-abs(b0 - b1))) ELSE 0.5 END AS b_conf FROM logits),
+sided AS (
+  SELECT *, a_label = b_label AS agreement, b_conf >= a_conf AS b_wins,
+         1 - a_conf AS a_rest, 1 - b_conf AS b_rest FROM pairs),
+{_DECIDED}"""
+
+
+_DECIDED = """decided AS (
+  SELECT *, CASE WHEN agreement OR NOT b_wins THEN a_label ELSE b_label END AS label,
+         CASE WHEN agreement THEN (a_conf + b_conf) / 2 WHEN b_wins THEN b_conf ELSE a_conf END AS confidence,
+         CASE WHEN agreement THEN 'Random Forest + BERT' WHEN b_wins THEN 'BERT' ELSE 'Random Forest' END AS selected_model,
+         CASE WHEN agreement THEN 'Both models agree'
+              ELSE 'Models disagree - higher-confidence prediction selected' END AS decision_method
+  FROM sided),
+models AS (
+  SELECT *, 0 AS position, 'Random Forest' AS model, a_label AS own_label, a_conf AS own_confidence, a_rest AS rest FROM decided
+  UNION ALL
+  SELECT *, 1, 'BERT', b_label, b_conf, b_rest FROM decided),
+cards AS (
+  SELECT * EXCLUDE (label, confidence), own_label AS label, CASE WHEN own_label = 0 THEN 'Fake' ELSE 'Real' END AS prediction,
+         own_confidence AS confidence,
+         CASE WHEN own_label = 0 THEN own_confidence ELSE rest END AS fake_probability,
+         CASE WHEN own_label = 0 THEN rest ELSE own_confidence END AS real_probability
+  FROM models)
+"""
+_RUN = _DOCUMENTS + _run("doc_id", "NOT too_long AND word_count >= 20")
+
 # Verdicts on derived scores.
 _DERIVED = """
 WITH pairs AS (
@@ -126,7 +170,6 @@ _NAME = "CASE WHEN label = 0 THEN 'Fake' ELSE 'Real' END"
 
 
 def _percent(value: str) -> str:
-    # Scores are multiples of 1/2000 here, so two decimals are exact.
     return f"printf('%.2f%%', round({value} * 100, 2))"
 
 
@@ -216,42 +259,80 @@ ORACLES = {
     "batch_model_scores": f"""{_DOCUMENTS}, logits AS (
         SELECT doc_id, (word_count % 7)::DOUBLE AS z0, (word_count % 5)::DOUBLE AS z1,
           word_count % 11 <> 0 AS usable FROM counted WHERE {_ACCEPTED}) {_ANSWERS}""",
-    "decide_documents": f"{_DERIVED} SELECT doc_id, label, {_NAME} AS prediction, confidence, agreement, "
-    "selected_model, decision_method FROM decided",
-    "response_flat": f"{_DERIVED} SELECT doc_id, position, model, label, prediction, confidence, "
-    "fake_probability, real_probability FROM cards",
+    "forest_features": _DOCUMENTS.replace(
+        "FROM documents)", "FROM documents JOIN labels USING (doc_id) WHERE quality IN (0, 1))"
+    )
+    + f", accepted AS (SELECT * FROM counted WHERE {_ACCEPTED}), "
+    + _vocabulary("doc", "accepted", "doc_id")
+    + f"{_WEIGHTS} SELECT doc_id, index, round(raw / norm, 6) AS weight FROM weighed JOIN doc_index USING (term)",
+    "decide_documents": f"{_RUN} SELECT doc_id, label, {_NAME} AS prediction, round(confidence, 9) AS confidence, "
+    "agreement, selected_model, decision_method FROM decided",
+    "scored_once": f"{_RUN} SELECT doc_id, label, {_NAME} AS prediction, round(confidence, 9) AS confidence, "
+    "agreement, selected_model, decision_method FROM decided",
+    "verdict_quality": f"""{_RUN}, said AS (
+        SELECT model, doc_id, label AS predicted FROM cards UNION ALL SELECT 'final', doc_id, label FROM decided),
+      sums AS (
+        SELECT model, count(*) AS n, count(*) FILTER (WHERE predicted = quality) AS ok,
+          count(*) FILTER (WHERE predicted = 0 AND quality = 0) AS hit, count(*) FILTER (WHERE predicted = 0) AS said,
+          count(*) FILTER (WHERE quality = 0) AS was
+        FROM said JOIN labels USING (doc_id) WHERE quality IN (0, 1) GROUP BY model)
+      SELECT model, n, round(ok / n, 9) AS accuracy, round(hit / said, 9) AS fake_precision,
+        round(hit / was, 9) AS fake_recall, round(2 * hit / (said + was), 9) AS fake_f1 FROM sums""",
+    "edge_articles": """SELECT conv_id, turn,
+        CASE turn % 5 WHEN 0 THEN 'five 1⁄2 ful' WHEN 4 THEN 'one two' WHEN 3 THEN NULL ELSE '' END AS start,
+        CASE turn % 5 WHEN 0 THEN 23 + len(list_filter(string_split(cleaned, ' '), lambda w: w <> ''))
+          WHEN 4 THEN 2 WHEN 3 THEN NULL ELSE 0 END AS word_count,
+        CASE turn % 5 WHEN 0 THEN NULL WHEN 3 THEN 422 ELSE 400 END AS code,
+        CASE turn % 5 WHEN 0 THEN NULL WHEN 3 THEN 'String should have at most 100000 characters'
+          WHEN 4 THEN 'News contains only 2 words. Please enter at least 20 words. A complete article is recommended.'
+          ELSE 'News text cannot be empty.' END AS reason
+      FROM (SELECT conv_id, turn, """
+    + _clean("text")
+    + """ AS cleaned FROM conversations)""",
+    "edge_prechecks": """SELECT conv_id, turn,
+        CASE turn % 3 WHEN 0 THEN 'Please enter a news article.'
+          WHEN 1 THEN 'Please enter at least 20 words. Current input contains 1 words.' END AS message,
+        CASE turn % 3 WHEN 0 THEN '0 words' WHEN 1 THEN '1 word' ELSE '25 words' END AS label FROM conversations""",
+    "response_flat": f"{_RUN} SELECT doc_id, position, model, label, prediction, round(confidence, 9) AS confidence, "
+    "round(fake_probability, 9) AS fake_probability, round(real_probability, 9) AS real_probability FROM cards",
     "response_json": f"""{_DERIVED} SELECT doc_id, '{{"input":{{"word_count":' || word_count || '}},"models":[' ||
       {_model_json('a_label', 'Random Forest', 'a_conf', 'a_rest')} || ',' ||
       {_model_json('b_label', 'BERT', 'b_conf', 'b_rest')} || '],"final":{{"label":' || label ||
       ',"prediction":"' || {_NAME} || '","confidence":' || confidence || ',"agreement":' || agreement ||
       ',"selected_model":"' || selected_model || '","decision_method":"' || decision_method || '"}}}}' AS response
       FROM decided""",
-    "report_columns": f"""{_DERIVED} SELECT doc_id, upper({_NAME}) AS verdict,
+    "report_columns": f"""{_RUN} SELECT doc_id, upper({_NAME}) AS verdict,
       CASE WHEN label = 1 THEN 'real-result' ELSE 'fake-result' END AS card_class,
       {_percent('confidence')} AS confidence_text, selected_model,
       CASE WHEN agreement THEN 'Yes' ELSE 'No' END AS agreement_text, decision_method, word_count,
       {_duration('doc_id * 7 % 2500')} AS time_text FROM decided""",
-    "report_cards": f"""{_DERIVED} SELECT doc_id, position, lower(prediction) AS badge,
+    "report_cards": f"""{_RUN} SELECT doc_id, position, lower(prediction) AS badge,
       {_percent('confidence')} AS confidence_text, {_percent('fake_probability')} AS fake_text,
       {_percent('real_probability')} AS real_text, {_duration('doc_id * 11 % 2500')} AS time_text,
       round(least(greatest(confidence * 100, 0), 100), 6) AS confidence_width,
       round(least(greatest(fake_probability * 100, 0), 100), 6) AS fake_width,
       round(least(greatest(real_probability * 100, 0), 100), 6) AS real_width FROM cards""",
-    "contract_violations": """
-      SELECT doc_id, false AS contract_ok FROM documents
+    "contract_violations": f"""{_RUN}
+      SELECT doc_id, false AS contract_ok FROM decided
       WHERE doc_id % 17 = 0 OR doc_id % 19 = 0 OR doc_id % 23 = 0 OR doc_id % 29 = 0 OR doc_id % 31 = 0""",
     "distinct_texts": rf"{_DOCUMENTS} SELECT doc_id, word_count, "
     r"len(regexp_extract_all(clean_text, '[\pL\pN_]{2,}'))::INT AS tokens FROM counted",
-    "fallback_results": f"""{_TURNS} SELECT conv_id, turn, {_CODE} AS code, {_REASON} AS reason,
-      CASE WHEN {_ACCEPTED} THEN word_count END AS word_count, CASE WHEN {_ACCEPTED} THEN 0 END AS label,
-      CASE WHEN {_ACCEPTED} THEN 0.5::DOUBLE END AS confidence,
-      CASE WHEN {_ACCEPTED} THEN true END AS agreement,
-      CASE WHEN {_ACCEPTED} THEN 'Random Forest + BERT' END AS selected_model FROM counted""",
+    "fallback_results": f"""{_TURNS}, logits AS (
+        SELECT conv_id, turn, word_count, {_LOGITS} FROM counted WHERE {_ACCEPTED}),
+      pairs AS (SELECT *, a0 > a1 AS agreement, 1 / (1 + exp(-abs(a0 - a1))) AS a_conf FROM logits)
+      SELECT conv_id, turn, {_CODE} AS code, {_REASON} AS reason, NULL AS word_count, NULL AS label,
+        NULL AS confidence, NULL AS agreement, NULL AS selected_model FROM counted WHERE NOT ({_ACCEPTED})
+      UNION ALL
+      SELECT conv_id, turn, NULL, NULL, word_count, CASE WHEN agreement OR a_conf <= 0.5 THEN 0 ELSE 1 END,
+        round(CASE WHEN agreement THEN (a_conf + 0.5) / 2 ELSE a_conf END, 9), agreement,
+        CASE WHEN agreement THEN 'Random Forest + BERT' WHEN a_conf <= 0.5 THEN 'BERT' ELSE 'Random Forest' END FROM pairs""",
     "run_metrics": f"""{_PAGES} SELECT count(*) AS rows_in, count(*) FILTER (WHERE NOT ({_ACCEPTED})) AS rows_rejected,
-      count(*) FILTER (WHERE {_ACCEPTED}) AS rows_scored, 0::BIGINT AS contract_violations FROM counted""",
+      count(*) FILTER (WHERE {_ACCEPTED}) AS rows_scored, 0::BIGINT AS contract_violations,
+      count(*) FILTER (WHERE {_ACCEPTED}) AS rows_fallback FROM counted""",
     "end_to_end_checks": f"{_DOCUMENTS} SELECT doc_id, word_count, true AS models_coherent, true AS forest_first, "
     f"true AS agreement_right, true AS label_right FROM counted WHERE {_ACCEPTED}",
-    "stream_scores": f"""{_DOCUMENTS} SELECT doc_id,
+    "stream_scores": f"""{_RUN} SELECT doc_id,
       CASE WHEN {_ACCEPTED} THEN 'scored' ELSE 'rejected' END AS outcome, {_CODE} AS code, {_REASON} AS reason,
-      CASE WHEN {_ACCEPTED} THEN word_count END AS word_count FROM counted""",
+      CASE WHEN {_ACCEPTED} THEN word_count END AS word_count, d.label, round(d.confidence, 9) AS confidence, d.selected_model
+      FROM counted LEFT JOIN (SELECT doc_id, label, confidence, selected_model FROM decided) d USING (doc_id)""",
 }

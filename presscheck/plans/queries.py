@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from presscheck.operators.contract import result_ok
 from presscheck.operators.decision import final_prediction
 from presscheck.operators.distinct_texts import score_distinct
 from presscheck.operators.once import compute_once
-from presscheck.operators.scorers import BatchScorer, FallbackScorer
+from presscheck.operators.scorers import FEATURES, TERMS, BatchScorer, FallbackScorer
 from presscheck.operators.scores import logits_prediction, prediction
 from presscheck.operators.validation import (
     accepted,
@@ -32,7 +32,33 @@ from presscheck.streaming.feed import start_feed
 
 DOC, PAGE, TURN = ["doc_id"], ["page_id"], ["conv_id", "turn"]
 MIN_DF = 2
-FOREST_OPTIONS = training.TrainingOptions(trees=20, depth=6)
+
+
+
+class CountScorer:
+    """Logits from counts of a text, so that SQL can say what a run must give."""
+
+    def __init__(self, name: str, logits: Callable[[Column], Column]):
+        self.name, self.logits = name, logits
+
+    def score(self, df: DataFrame, text: str, out: str) -> DataFrame:
+        verdict = logits_prediction(self.logits(X.text_or_empty(F.col(text))), self.name)
+        return compute_once(df, {out: verdict})
+
+
+def _counted_words(text: Column) -> Column:
+    return F.array(X.word_count(text) % 7 / 2.0, F.size(X.tokens(text)) % 5 / 2.0)
+
+
+def _counted_start(text: Column) -> Column:
+    """From the first words; some texts have no answer."""
+    words = X.first_words(text, K.MAX_TOKENS)
+    size = F.length(F.array_join(words, " "))
+    return F.when(size % 11 != 0, F.array(F.size(words) % 5 / 1.0, size % 7 / 1.0))
+
+
+FIRST = CountScorer(K.FOREST_NAME, _counted_words)
+SECOND = CountScorer(K.SEQUENCE_NAME, _counted_start)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -168,24 +194,21 @@ def document_vocabulary(spark, folder):
     )
 
 
-def _weights(spark, folder) -> tuple[DataFrame, DataFrame]:
-    texts = materialise(_cleaned(A.document_articles(documents(spark, folder)), DOC), "texts")
-    vocabulary = _vocabulary(texts)
-    return tfidf.tfidf(texts, DOC, "clean_text", vocabulary), vocabulary
-
-
 def tfidf_documents(spark, folder):
-    weights, _ = _weights(spark, folder)
+    texts = materialise(_cleaned(A.document_articles(documents(spark, folder)), DOC), "texts")
+    weights = tfidf.tfidf(texts, DOC, "clean_text", _vocabulary(texts))
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 def indexed_terms(spark, folder):
-    return tfidf.index_terms(_vocabulary(_cleaned(A.document_articles(documents(spark, folder)), DOC)))
+    texts = _cleaned(A.document_articles(documents(spark, folder)), DOC)
+    return tfidf.index_terms(_vocabulary(texts)).select("index", "term")
 
 
 def aligned_documents(spark, folder):
-    weights, vocabulary = _weights(spark, folder)
-    vectors = tfidf.align(weights, DOC, tfidf.index_terms(vocabulary))
+    texts = materialise(_cleaned(A.document_articles(documents(spark, folder)), DOC), "texts")
+    weights = tfidf.tfidf(texts, DOC, "clean_text", tfidf.index_terms(_vocabulary(texts)))
+    vectors = tfidf.align(weights, DOC)
     entries = F.explode(F.arrays_zip("indices", "weights")).alias("e")
     return vectors.select("doc_id", entries).select(
         "doc_id", F.col("e.indices").alias("index"), F.round("e.weights", 6).alias("weight")
@@ -199,6 +222,18 @@ def feature_mismatches(spark, folder):
     return tfidf.feature_mismatches(tfidf.index_terms(of_documents), tfidf.index_terms(of_pages))
 
 
+def forest_features(spark, folder):
+    """What the forest reads of every labelled document, with all terms fitted."""
+    labelled = training.training_table(documents(spark, folder), _table(spark, folder, "labels"))
+    features = training.fit_features(labelled, "clean_text")
+    texts = labelled.select("doc_id", X.tokens(F.col("clean_text")).alias(TERMS))
+    entry = F.unwrap_udt(FEATURES)
+    pairs = F.explode(F.arrays_zip(entry["indices"].alias("i"), entry["values"].alias("w"))).alias("e")
+    return features.transform(texts).select("doc_id", pairs).select(
+        "doc_id", F.col("e.i").alias("index"), F.round("e.w", 6).alias("weight")
+    )
+
+
 # Verdicts on scores derived from the keys, in steps of 1/1000.
 
 
@@ -271,12 +306,74 @@ def _derived_results(spark, folder) -> DataFrame:
     )
 
 
+def _results(spark, folder) -> DataFrame:
+    """A whole run over the documents: stored and read back."""
+    path = scratch_path(spark, "results")
+    scoring.run_batch(A.document_articles(documents(spark, folder)), DOC, path, FIRST, SECOND)
+    return read_scored(spark, path)
+
+
 def decide_documents(spark, folder):
-    return _derived_results(spark, folder).select("doc_id", "final.*")
+    decided = _results(spark, folder).select("doc_id", "final.*")
+    return decided.withColumn("confidence", F.round("confidence", 9))
 
 
 def response_flat(spark, folder):
-    return report.model_rows(_derived_results(spark, folder), *DOC)
+    rows = report.model_rows(_results(spark, folder), *DOC)
+    shares = ("confidence", "fake_probability", "real_probability")
+    return rows.withColumns({c: F.round(c, 9) for c in shares})
+
+
+def verdict_quality(spark, folder):
+    """Scorers and decision against the labels."""
+    labels = _table(spark, folder, "labels")
+    articles = A.labelled_articles(documents(spark, folder), labels)
+    done = scoring.scored(scoring.score_articles(articles, ["doc_id", "label"], FIRST, SECOND), ["doc_id", "label"])
+    rates = ("accuracy", "fake_precision", "fake_recall", "fake_f1")
+    return training.quality(training.confusion(done)).withColumns({c: F.round(c, 9) for c in rates})
+
+
+def scored_once(spark, folder):
+    """Every distinct text scored once; the same as scoring every document."""
+    articles = A.document_articles(documents(spark, folder))
+    done = scoring.scored(scoring.score_articles_once(articles, DOC, FIRST, SECOND), DOC)
+    decided = done.select("doc_id", "final.*")
+    return decided.withColumn("confidence", F.round("confidence", 9))
+
+
+def edge_articles(spark, folder):
+    """Turns dressed as rare cases: characters that NFKC maps, texts that clean to nothing, an
+    overlong body."""
+    kind = F.col("turn") % 5
+    filler = F.concat(F.lit("ﬁve ½ Ｆｕｌｌ "), F.repeat(F.lit("w "), F.lit(20)))
+    body = (
+        F.when(kind == 0, F.concat(filler, F.col("text")))
+        .when(kind == 1, F.lit(""))
+        .when(kind == 2, F.lit("<p></p> https://a.example/b <br/>"))
+        .when(kind == 3, F.repeat(F.lit("w "), F.lit(50001)))
+        .otherwise(F.lit("one two"))
+    )
+    articles = conversations(spark, folder).select(*TURN, F.lit("").alias("headline"), body.alias("article"))
+    checked = check_articles(articles)
+    return checked.select(
+        *TURN,
+        F.left("clean_text", F.lit(12)).alias("start"),
+        "word_count",
+        "code",
+        "reason",
+    )
+
+
+def edge_prechecks(spark, folder):
+    """Blank, one-word and long raw inputs as the page counts them."""
+    text = F.when(F.col("turn") % 3 == 0, F.lit(" \t")).when(F.col("turn") % 3 == 1, F.lit(" one ")).otherwise(
+        F.repeat(F.lit("word "), F.lit(25))
+    )
+    return conversations(spark, folder).select(
+        *TURN,
+        page_precheck(F.lit(""), text).alias("message"),
+        word_count_label(F.lit(""), text).alias("label"),
+    )
 
 
 def response_json(spark, folder):
@@ -285,11 +382,11 @@ def response_json(spark, folder):
 
 def report_columns(spark, folder):
     seconds = F.col("doc_id") * 7 % 2500 / F.lit(1000.0)
-    return _derived_results(spark, folder).select("doc_id", *report.final_columns(seconds))
+    return _results(spark, folder).select("doc_id", *report.final_columns(seconds))
 
 
 def report_cards(spark, folder):
-    rows = report.model_rows(_derived_results(spark, folder), *DOC)
+    rows = report.model_rows(_results(spark, folder), *DOC)
     cards = report.model_cards(rows, F.col("doc_id") * 11 % 2500 / F.lit(1000.0))
     widths = ("confidence_width", "fake_width", "real_width")
     return cards.select(
@@ -305,9 +402,9 @@ def report_cards(spark, folder):
 
 
 def contract_violations(spark, folder):
-    """Derived results, some broken: a label of 2, a probability above 1 or NaN, a null."""
+    """Results, some broken: a label of 2, a probability above 1 or NaN, a null."""
     doc = F.col("doc_id")
-    results = _derived_results(spark, folder)
+    results = _results(spark, folder)
     label = F.when(doc % 17 == 0, 2).otherwise(F.col("final.label"))
     confidence = (
         F.when(doc % 19 == 0, F.lit(1.001))
@@ -342,16 +439,19 @@ def distinct_texts(spark, folder):
 
 
 def fallback_results(spark, folder):
-    """A whole run with neither model available: stored by outcome and read back."""
+    """A whole run without the second model: stored by outcome and read back."""
     path = scratch_path(spark, "results")
     articles = A.conversation_articles(conversations(spark, folder))
-    scoring.run_batch(articles, TURN, path, FallbackScorer(K.FOREST_NAME), FallbackScorer())
+    scoring.run_batch(articles, TURN, path, FIRST, FallbackScorer())
     done = read_scored(spark, path).select(
         *TURN,
         F.lit(None).cast("int").alias("code"),
         F.lit(None).cast("string").alias("reason"),
         "input.word_count",
-        *[f"final.{c}" for c in ("label", "confidence", "agreement", "selected_model")],
+        "final.label",
+        F.round("final.confidence", 9).alias("confidence"),
+        "final.agreement",
+        "final.selected_model",
     )
     return done.unionByName(read_rejected(spark, path).select(*TURN, "code", "reason"), True)
 
@@ -359,9 +459,9 @@ def fallback_results(spark, folder):
 def run_metrics(spark, folder):
     articles = A.page_articles(pages(spark, folder))
     metrics = scoring.run_batch(
-        articles, PAGE, scratch_path(spark, "results"), FallbackScorer(K.FOREST_NAME), FallbackScorer()
+        articles, PAGE, scratch_path(spark, "results"), FIRST, FallbackScorer()
     )
-    return metrics.select("rows_in", "rows_rejected", "rows_scored", "contract_violations")
+    return metrics.select("rows_in", "rows_rejected", "rows_scored", "contract_violations", "rows_fallback")
 
 
 _scorers: dict[tuple[str, str], tuple] = {}
@@ -371,13 +471,12 @@ def scorers(spark, folder):
     """Both scorers, fitted on the labelled documents once per application and folder."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _scorers:
-        table = training.training_table(
-            documents(spark, folder), _table(spark, folder, "labels")
-        )
-        fitted, _ = training.split(table, DOC)
+        articles = A.labelled_articles(documents(spark, folder), _table(spark, folder, "labels"))
+        fitted, _ = training.split(articles, DOC)
+        table = training.prepared(fitted)
         _scorers[key] = (
-            training.fit_forest(fitted, "clean_text", FOREST_OPTIONS),
-            training.fit_linear(fitted, "clean_text", FOREST_OPTIONS),
+            training.fit_forest(table, "clean_text"),
+            training.fit_linear(table, "clean_text"),
         )
     return _scorers[key]
 
@@ -430,32 +529,35 @@ def training_quality(spark, folder):
     """Both scorers and the decision on the held-out labelled documents."""
     labels = _table(spark, folder, "labels")
     _, held_out = training.split(A.labelled_articles(documents(spark, folder), labels), DOC)
-    results = scoring.score_articles(held_out, DOC, *scorers(spark, folder))
-    done = scoring.scored(results, DOC)
-    truth = labels.select("doc_id", F.col("quality").alias("label"))
-    return training.quality(training.confusion(done.join(truth, "doc_id")))
+    keys = ["doc_id", "label"]
+    results = scoring.score_articles(held_out, keys, *scorers(spark, folder))
+    return training.quality(training.confusion(scoring.scored(results, keys)))
 
 
 def stream_scores(spark, folder):
-    """The documents as a stream, run to its end; columns that need no model."""
-    single = os.path.isfile(f"{folder}/documents.parquet")
-    source = (
-        spark.readStream.schema(A.DOCUMENT_SCHEMA)
-        .option("pathGlobFilter", "documents.parquet" if single else "*.parquet")
-        .parquet(folder if single else f"{folder}/documents.parquet")
-    )
-    if single:
-        source = source.repartition(spark.sparkContext.defaultParallelism, *DOC)
+    """The documents as a stream, run to its end."""
+    # The glob finds the table whether it is a file or a folder of files.
+    source = spark.readStream.schema(A.DOCUMENT_SCHEMA).parquet(f"{folder}/documents.parquet*")
     path = scratch_path(spark, "feed")
     query = start_feed(
         A.document_articles(source),
         DOC,
         path,
         scratch_path(spark, "feed-checkpoint"),
-        *scorers(spark, folder),
+        FIRST,
+        SECOND,
     )
     query.awaitTermination()
-    return spark.read.parquet(path).select("doc_id", "outcome", "code", "reason", "input.word_count")
+    return spark.read.parquet(path).select(
+        "doc_id",
+        "outcome",
+        "code",
+        "reason",
+        "input.word_count",
+        "final.label",
+        F.round("final.confidence", 9).alias("confidence"),
+        "final.selected_model",
+    )
 
 
 QUERIES = {
@@ -481,7 +583,12 @@ QUERIES = {
         feature_mismatches,
         scorer_b_postprocess,
         batch_model_scores,
+        forest_features,
         decide_documents,
+        verdict_quality,
+        scored_once,
+        edge_articles,
+        edge_prechecks,
         response_flat,
         response_json,
         report_columns,

@@ -14,17 +14,29 @@ from presscheck.operators.decision import final_prediction
 from presscheck.operators.distinct_texts import HOT_COPIES, score_distinct
 from presscheck.operators.once import compute_once
 from presscheck.operators.report import RESULT_COLUMNS, result_columns
-from presscheck.operators.scorers import Scorer
+from presscheck.operators.scorers import FallbackScorer, Scorer
 from presscheck.operators.validation import check_articles
 from presscheck.session import materialise
 from presscheck.sources.results import REJECTED, SCORED, write_results
 
 METRICS_SCHEMA = (
     "run_id string, rows_in long, rows_rejected long, rows_scored long, "
-    "contract_violations long, seconds double"
+    "contract_violations long, rows_fallback long, seconds double"
 )
 
 
+class ForestMissing(RuntimeError):
+    """The mandatory first scorer is not available (503)."""
+
+    code = K.CODE_UNAVAILABLE
+
+
+def require_forest(first: Scorer) -> None:
+    """Refuses a run, before any work, whose first scorer is a mere stand-in."""
+    if type(first) is FallbackScorer:
+        raise ForestMissing(f"{first.name} is not available")
+
+
 def scorable(checked: DataFrame, keys: list[str]) -> DataFrame:
     """:func:`check_articles` output with the text of rejected rows blanked to null."""
     return checked.select(
@@ -73,6 +85,7 @@ def score_articles(articles: DataFrame, keys: list[str], first: Scorer, second:
     scorers as empty texts, which costs little, so that the input is read and
     cleaned once for both.
     """
+    require_forest(first)
     texts = scorable(check_articles(articles), keys)
     return assemble(add_verdicts(texts, first, second), keys)
 
@@ -85,9 +98,10 @@ def score_articles_once(
     Worth its shuffles where scoring is costly or copies are many. The cleaned
     texts are stored first, as they are read several times.
     """
+    require_forest(first)
     texts = materialise(scorable(check_articles(articles), keys), "checked")
     judged = score_distinct(
-        texts, "clean_text", lambda distinct: add_verdicts(distinct, first, second), hot_copies
+        texts, "clean_text", lambda distinct: add_verdicts(distinct, first, second), hot_copies, keep_text=False
     )
     return assemble(judged, keys)
 
@@ -102,7 +116,9 @@ def rejected(results: DataFrame, keys: list[str]) -> DataFrame:
 
 def run_counts() -> list[Column]:
     """Counters of one run, for ``DataFrame.observe``."""
-    outcome = F.col("outcome")
+    outcome, second = F.col("outcome"), F.get("models", F.lit(1))
+    # Only the fallback is Fake at one half; a tie is Real.
+    fell_back = (second["label"] == K.FAKE) & (second["confidence"] == K.FALLBACK_PROBABILITY)
     return [
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(outcome == REJECTED).alias("rows_rejected"),
@@ -110,6 +126,7 @@ def run_counts() -> list[Column]:
         F.count_if(F.coalesce(F.col("code") == K.CODE_SCORER, F.lit(False))).alias(
             "contract_violations"
         ),
+        F.count_if((outcome == SCORED) & F.coalesce(fell_back, F.lit(False))).alias("rows_fallback"),
     ]
 
 
@@ -123,12 +140,12 @@ def run_batch(
 ) -> DataFrame:
     """Scores a table into ``path`` and returns one row of run metrics.
 
-    One job: the counters are observed while the rows are written.
+    One job: the counters are observed in the stage that writes the rows.
     """
     observation = Observation()
     results = score_articles(articles, keys, first, second)
     started = time.monotonic()
-    write_results(results.observe(observation, *run_counts()), path, mode)
+    write_results(results, path, mode, watch=lambda rows: rows.observe(observation, *run_counts()))
     counts = observation.get
     row = (
         uuid.uuid4().hex,
@@ -136,6 +153,7 @@ def run_batch(
         counts["rows_rejected"],
         counts["rows_scored"],
         counts["contract_violations"],
+        counts["rows_fallback"],
         time.monotonic() - started,
     )
     return articles.sparkSession.createDataFrame([row], METRICS_SCHEMA)

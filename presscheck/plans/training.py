@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     HashingTF,
     Normalizer,
@@ -22,6 +22,7 @@ from presscheck import constants as K
 from presscheck.functions.text import first_words, tokens
 from presscheck.operators import scorers as S
 from presscheck.operators.scorers import ForestScorer, LinearScorer
+from presscheck.operators.tfidf import fit_vocabulary, index_terms
 from presscheck.operators.validation import accepted, check_articles
 from presscheck.session import materialise, scratch_path
 from presscheck.sources.articles import labelled_articles
@@ -30,21 +31,27 @@ from presscheck.sources.articles import labelled_articles
 @dataclass(frozen=True)
 class TrainingOptions:
     min_df: int = 2
-    # The vocabulary lives on the driver and in every task; this bounds it.
-    vocabulary_size: int = 1 << 14
+    # The vocabulary lives on the driver and in every task. A larger one is refused, never cut.
+    max_terms: int = 5_000_000
     trees: int = 50
     depth: int = 10
-    linear_features: int = 1 << 15
+    # Words whose hashes meet share a weight; with so many places few do.
+    linear_features: int = 1 << 20
     linear_iterations: int = 20
     seed: int = 42
 
 
 def training_table(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, label, weight, clean_text)`` of the accepted labelled documents.
+    """``(doc_id, label, weight, clean_text)`` of the accepted labelled documents."""
+    return prepared(labelled_articles(documents, labels))
+
+
+def prepared(articles: DataFrame) -> DataFrame:
+    """Labelled articles cleaned, accepted and weighted.
 
     Stored once in the shared folder, as fitting reads it many times.
     """
-    checked = accepted(check_articles(labelled_articles(documents, labels)))
+    checked = accepted(check_articles(articles))
     return class_weights(materialise(checked.select("doc_id", "label", "clean_text"), "labelled"))
 
 
@@ -69,38 +76,57 @@ def _stored(model: PipelineModel, spark: SparkSession) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def fit_forest(labelled: DataFrame, text: str, options: TrainingOptions = TrainingOptions()) -> ForestScorer:
-    """TF-IDF and forest on ``(label, weight, text)``.
+def fit_vectorizer(labelled: DataFrame, text: str, options: TrainingOptions) -> CountVectorizerModel:
+    """Counts of all terms that enough texts have, in the order of the terms.
+
+    The only limit is ``min_df``. A vocabulary beyond ``max_terms`` is an error.
+    """
+    index = index_terms(fit_vocabulary(labelled, text, options.min_df))
+    count = index.count()
+    if not 0 < count <= options.max_terms:
+        raise ValueError(
+            f"{count} terms are in {options.min_df} or more texts; 1 to {options.max_terms} can be "
+            "fitted. Change min_df."
+        )
+    terms = [row.term for row in index.orderBy("index").toLocalIterator()]
+    return CountVectorizerModel.from_vocabulary(terms, inputCol=S.TERMS, outputCol=S.COUNTS)
+
+
+def fit_features(labelled: DataFrame, text: str, options: TrainingOptions = TrainingOptions()) -> PipelineModel:
+    """From terms to TF-IDF vectors of length one.
 
     Spark's IDF stage omits the ``+ 1`` of the smoothed weight, so the fitted
     values plus one are applied as an element-wise product.
     """
-    terms = labelled.select("label", "weight", tokens(F.col(text)).alias(S.TERMS))
-    vectorizer = CountVectorizer(
-        inputCol=S.TERMS, outputCol=S.COUNTS, minDF=options.min_df, vocabSize=options.vocabulary_size
-    ).fit(terms)
-    # Kept while fitting, which passes over the vectors several times.
-    counts = vectorizer.transform(terms).select("label", "weight", S.COUNTS)
-    counts.persist(StorageLevel.MEMORY_AND_DISK)
+    vectorizer = fit_vectorizer(labelled, text, options)
+    counts = vectorizer.transform(labelled.select(tokens(F.col(text)).alias(S.TERMS))).select(S.COUNTS)
     idf = IDF(inputCol=S.COUNTS).fit(counts).idf.toArray() + 1.0
-    scaler = ElementwiseProduct(
-        inputCol=S.COUNTS, outputCol=S.SCALED, scalingVec=Vectors.dense(idf)
-    )
+    scaler = ElementwiseProduct(inputCol=S.COUNTS, outputCol=S.SCALED, scalingVec=Vectors.dense(idf))
     normalizer = Normalizer(inputCol=S.SCALED, outputCol=S.FEATURES, p=2.0)
-    forest = RandomForestClassifier(
-        labelCol="label",
-        weightCol="weight",
-        featuresCol=S.FEATURES,
-        rawPredictionCol=S.RAW,
-        probabilityCol=S.PROBABILITY,
-        predictionCol=S.PREDICTED,
-        numTrees=options.trees,
-        maxDepth=options.depth,
-        seed=options.seed,
-    ).fit(normalizer.transform(scaler.transform(counts)))
-    counts.unpersist()
-    model = PipelineModel([vectorizer, scaler, normalizer, forest])
-    return ForestScorer(_stored(model, labelled.sparkSession))
+    return PipelineModel([vectorizer, scaler, normalizer])
+
+
+def fit_forest(labelled: DataFrame, text: str, options: TrainingOptions = TrainingOptions()) -> ForestScorer:
+    """TF-IDF and forest on ``(label, weight, text)``."""
+    features = fit_features(labelled, text, options)
+    terms = labelled.select("label", "weight", tokens(F.col(text)).alias(S.TERMS))
+    # Kept while fitting, which passes over the vectors several times.
+    vectors = features.transform(terms).select("label", "weight", S.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        forest = RandomForestClassifier(
+            labelCol="label",
+            weightCol="weight",
+            featuresCol=S.FEATURES,
+            rawPredictionCol=S.RAW,
+            probabilityCol=S.PROBABILITY,
+            predictionCol=S.PREDICTED,
+            numTrees=options.trees,
+            maxDepth=options.depth,
+            seed=options.seed,
+        ).fit(vectors)
+    finally:
+        vectors.unpersist()
+    return ForestScorer(_stored(PipelineModel([*features.stages, forest]), labelled.sparkSession))
 
 
 def fit_linear(labelled: DataFrame, text: str, options: TrainingOptions = TrainingOptions()) -> LinearScorer:

@@ -38,9 +38,21 @@ def _shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """This application's folder in the shared one."""
+    return f"{_shared_folder(spark)}/presscheck-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the checkpoint folder that all executors share."""
-    return f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes what this application has stored. Frames that read it are of no use afterwards."""
+    jvm, context = spark._jvm, spark.sparkContext
+    folder = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.feature import CountVectorizerModel
@@ -76,8 +78,15 @@ def save_linear(scorer: LinearScorer, path: str) -> None:
 
 
 def load_linear(path: str, name: str = K.LINEAR_NAME) -> Scorer:
-    """The second scorer is optional: without it every row gets the fallback answer."""
+    """The second scorer is optional: if there is none, every row gets the fallback answer.
+
+    One that is there but cannot be read is an error.
+    """
     try:
-        return LinearScorer(PipelineModel.load(f"{path}/model"), name)
-    except Exception:  # noqa: BLE001 - scoring goes on without the second scorer
+        SparkSession.active().read.text(f"{path}/model/metadata")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        warnings.warn(f"no {name} model in {path}; its answers fall back", stacklevel=2)
         return FallbackScorer(name)
+    return LinearScorer(PipelineModel.load(f"{path}/model"), name)

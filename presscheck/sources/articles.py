@@ -10,7 +10,10 @@ from presscheck.functions.text import text_or_empty
 
 ARTICLE_SCHEMA = "id long, headline string, article string"
 DOCUMENT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-TITLE = r"(?is)<title>(.*?)</title>"
+# From the first opening tag on; a search from each would take time in the square of the page.
+TITLE = r"(?is)\A(?:(?!<title>).)*+<title>(.*?)</title>"
+# Most label keys to send to every task, of about 100 bytes each in memory.
+BROADCAST_LABELS = 1_000_000
 
 
 def with_defaults(articles: DataFrame) -> DataFrame:
@@ -90,8 +93,13 @@ def conversation_articles(conversations: DataFrame) -> DataFrame:
 
 
 def labelled_articles(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that carry a quality label, read as 0 = Fake and 1 = Real."""
+    """Documents that carry a quality label, read as 0 = Fake and 1 = Real.
+
+    Up to a bound the labels go to the documents, so unlabelled texts do not move.
+    """
     known = labels.where(F.col("quality").isin(K.FAKE, K.REAL)).select(
         "doc_id", F.col("quality").cast("int").alias("label")
     )
+    if known.count() <= BROADCAST_LABELS:
+        known = F.broadcast(known)
     return document_articles(documents).join(known, "doc_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,15 +16,17 @@ def write_results(
     mode: str = "errorifexists",
     fmt: str = "parquet",
     rebalance: bool = True,
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Writes scored and rejected rows to two partitions of one table in one pass.
 
     Results are far smaller than the texts they come from, so a scan of many files
     would leave tiny ones behind. Rebalancing lets AQE gather them to full files.
+    ``watch`` may observe the rows in the stage that writes them, which counts each once.
     """
     if rebalance:
         results = results.hint("rebalance")
-    results.write.mode(mode).partitionBy("outcome").format(fmt).save(path)
+    watch(results).write.mode(mode).partitionBy("outcome").format(fmt).save(path)
 
 
 def read_outcome(spark: SparkSession, path: str, outcome: str) -> DataFrame:

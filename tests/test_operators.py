@@ -303,3 +303,23 @@ def test_each_text_is_scored_once_and_no_row_is_lost(spark, hot_copies):
     assert sorted((r.id, r.t or "") for r in got) == sorted((i, t or "") for i, t in rows)
     assert all((r.n, r.twice) == ((len(r.t), r.t * 2) if r.t else (None, None)) for r in got)
     assert seen.value == 71
+
+
+@pytest.mark.parametrize("budget", [0, 400, 1 << 20])
+def test_tfidf_within_a_byte_budget(spark, monkeypatch, budget):
+    """Some, all or none of the terms are broadcast; the weights stay the same."""
+    monkeypatch.setattr(tfidf, "BROADCAST_BYTES", budget)
+    docs = spark.createDataFrame(DOCS, "id long, text string")
+    vocabulary = tfidf.index_terms(tfidf.fit_vocabulary(docs, "text", 1))
+    weights = tfidf.tfidf(docs, ["id"], "text", vocabulary)
+    want, terms = weights_in_python(DOCS, 1)
+    assert {(r.id, r.term): r.weight for r in weights.collect()} == pytest.approx(want)
+    for vectors in (tfidf.align(weights, ["id"]), tfidf.align(weights, ["id"], vocabulary.select("index", "term"))):
+        got = {(r.id, terms[i]): w for r in vectors.collect() for i, w in zip(r.indices, r.weights)}
+        assert got == pytest.approx(want)
+
+
+def test_scores_join_back_without_the_text(spark):
+    frame = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "b")], "id long, t string")
+    got = score_distinct(frame, "t", lambda d: d.withColumn("n", F.length("t")), keep_text=False)
+    assert got.columns == ["id", "n"] and sorted((r.id, r.n) for r in got.collect()) == [(1, 1), (2, 1), (3, None), (4, 1)]

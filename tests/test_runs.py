@@ -85,6 +85,7 @@ def test_a_cluster_must_name_the_shared_folder():
             get = staticmethod(lambda key, default: default)
 
         class sparkContext:
+            applicationId = "app"
             master = "yarn"
             getCheckpointDir = staticmethod(lambda: None)
 
@@ -290,3 +291,55 @@ def test_quality(spark):
     assert rows["m"].fake_recall == pytest.approx(0.75)
     assert rows["m"].fake_f1 == pytest.approx(6 / 9)
     assert rows["none"].accuracy == 1.0 and rows["none"].fake_f1 is None
+
+
+def test_every_frequent_term_is_fitted(spark):
+    """More terms than any earlier bound, and an error instead of a cut."""
+    words = [f"w{i}" for i in range(20_000)]
+    halves = [" ".join(words[:12_000]), " ".join(words[12_000:]), "rare"]
+    texts = spark.createDataFrame([(t,) for t in halves[:2] * 2 + halves[2:]], "t string")
+    model = training.fit_vectorizer(texts, "t", training.TrainingOptions())
+    assert model.vocabulary == sorted(words)
+    with pytest.raises(ValueError, match="20000 terms"):
+        training.fit_vectorizer(texts, "t", training.TrainingOptions(max_terms=19_999))
+
+
+def test_unlabelled_texts_do_not_move(tables):
+    plan = A.labelled_articles(tables["documents"], tables["labels"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_titles_are_found_in_linear_time(spark):
+    pages = ["<title>" * 200_000, "x <TITLE>a\nb</title> <title>c</title>", "<title>open", "none", "<title></title>"]
+    frame = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    rows = A.page_articles(frame).orderBy("page_id").collect()
+    assert [r.headline for r in rows] == ["", "a\nb", "", "", ""]
+
+
+def test_a_run_without_a_forest_is_refused(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "", "word " * 30)], "id long, headline string, article string")
+    missing = FallbackScorer(K.FOREST_NAME)
+    for run in (scoring.score_articles, scoring.score_articles_once):
+        with pytest.raises(scoring.ForestMissing) as refused:
+            run(frame, ["id"], missing, FallbackScorer())
+        assert refused.value.code == 503
+    with pytest.raises(scoring.ForestMissing):
+        scoring.run_batch(frame, ["id"], str(tmp_path / "out"), missing, FallbackScorer())
+    assert not (tmp_path / "out").exists()
+
+
+def test_a_broken_second_model_is_an_error(spark, tmp_path):
+    (tmp_path / "linear" / "model" / "metadata").mkdir(parents=True)
+    (tmp_path / "linear" / "model" / "metadata" / "part-0").write_text("{")
+    with pytest.raises(Exception):
+        artefacts.load_linear(str(tmp_path / "linear"))
+    with pytest.warns(UserWarning, match="fall back"):
+        artefacts.load_linear(str(tmp_path / "nothing"))
+
+
+def test_scratch_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_shared_folder", lambda spark: str(tmp_path))
+    assert session.materialise(spark.range(5).withColumn("s", F.lit("a")), "t").count() == 5
+    assert any(tmp_path.iterdir())
+    session.remove_scratch(spark)
+    assert not any(p for p in tmp_path.iterdir() if not p.name.startswith("."))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from presscheck.functions import text as X
 
 # Each step restated with Python's own re, html and unicodedata.
+# The patterns of the contract, restated.
 STEPS = {
     "tags": (X.remove_tags, lambda t: re.sub(r"<[^>]+>", " ", t)),
     "urls": (
