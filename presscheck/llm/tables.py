@@ -14,7 +14,7 @@ __all__ = ["free_name", "table", "materialise", "scratch_path", "share", "shared
 
 # Text that one step of a vectorised scan holds at once. Its arrays take up to
 # about 30 times as much.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
