@@ -86,7 +86,7 @@ def _packer(path: str, capacity: int):
         out = _Output(TaskContext.get().partitionId() << 33)
         open_: dict[int, list[tuple]] = {}
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 keys = part["doc_id"].to_pylist()
                 for key, ids in zip(keys, encode(part["text"].to_pylist())):
                     total = len(ids) // 4

@@ -35,7 +35,7 @@ def _tokenizer(path: str, blanks: bool):
 
         encode, part, offset = encoder(path, blanks).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", 2 << 20):
                 found = encode(rows["text"].to_pylist())
                 sizes = np.array([len(ids) // 4 for ids in found], np.int64)
                 ends = np.concatenate([[0], np.cumsum(sizes)])
