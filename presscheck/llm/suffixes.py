@@ -118,11 +118,13 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return np.searchsorted(bounds, low, "right") - 1, anchor, low, high, hashes[anchor]
 
 
-def _firsts(doc: np.ndarray, at: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first entry of each group by document and place, and the entries behind it."""
-    order = np.lexsort((at, doc, group))
-    new = np.ones(len(order), bool)
-    new[1:] = group[order[1:]] != group[order[:-1]]
+def _firsts(doc: np.ndarray, at: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the entries with equal keys, the first by document and place, and those behind it."""
+    order = np.lexsort((at, doc, *keys))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[order[1:]] != key[order[:-1]]
     first = order[new][np.cumsum(new) - 1]
     later = (doc[order] != doc[first]) | (at[order] != at[first])
     return order[new], order[later]
@@ -132,8 +134,7 @@ def _find_anchors(places: int):
     def flush(found: list[tuple]) -> Iterator[pa.RecordBatch]:
         doc, at, before, after, gram, whole = (np.concatenate(x) for x in zip(*found))
         # Anchors of this task with equal windows: one is sent, those behind it are settled.
-        _, group = np.unique(np.stack([gram, whole]), axis=1, return_inverse=True) if len(doc) else (0, doc)
-        kept, gone = _firsts(doc, at, group.ravel())
+        kept, gone = _firsts(doc, at, whole, gram)
         yield from _dealt(2, doc[gone] % places, places, doc[gone], (at - before)[gone], (at - after + LENGTH)[gone])
         kept = kept[np.argsort(gram[kept])]
         range_ = ((gram[kept] >> np.uint64(32)) * np.uint64(places) >> np.uint64(32)).astype(np.int64)

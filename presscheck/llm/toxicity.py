@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from presscheck.llm.tables import materialise, share, shared, slices, text_bytes
+from presscheck.llm.tables import free_name, materialise, share, shared, slices, text_bytes
 from presscheck.llm.words import Spans, Words, alphanumeric, lower_table
 
 # Bound of the labelled documents that the model is fitted on.
@@ -224,6 +224,7 @@ def remove_toxic(documents: DataFrame, model: Model, text: str = "text", limit:
     if len(plain) == len(documents.columns):
         return score(documents, model, text).where(F.col("toxic_probability") < limit).select(*plain)
     # Columns of the result's names are kept aside.
-    aside = documents.select(*plain, F.struct(*[c for c in documents.columns if c in OUT]).alias("_aside"))
+    name = free_name("_aside", documents)
+    aside = documents.select(*plain, F.struct(*[c for c in documents.columns if c in OUT]).alias(name))
     kept = score(aside, model, text).where(F.col("toxic_probability") < limit)
-    return kept.select(*[F.col(f"_aside.{c}").alias(c) if c in OUT else F.col(c) for c in documents.columns])
+    return kept.select(*[F.col(name)[c].alias(c) if c in OUT else F.col(c) for c in documents.columns])
