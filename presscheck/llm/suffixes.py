@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import pickle
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,10 +46,12 @@ GRAM = 32
 # Bytes before an anchor that a window can reach, and bytes of a suffix with its hash.
 REACH = LENGTH - GRAM
 WIDTH = 8 + LENGTH + REACH
-RANGE_BYTES = 16 << 20
-# At most so many exchanges partitions; beyond, ranges grow with the input.
+# Text per range. A task holds the suffixes of one range, a few times as much.
+RANGE_BYTES = 6 << 20
+# Beyond so many, ranges grow with the input.
 MAX_RANGES = 1 << 14
-_FLUSH = 1 << 20
+# Anchors that a task settles among themselves before it deals them out.
+_FLUSH = 1 << 19
 ROWS = "place int, kind int, body binary"
 
 
@@ -187,7 +190,7 @@ def _deal_texts(places: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 4 << 20):
                 data, bounds = text_bytes(part["text"])
                 keyed = part["doc_id"].is_valid().to_numpy(zero_copy_only=False)
                 doc = pa.compute.fill_null(part["doc_id"], 0).to_numpy()
@@ -246,29 +249,32 @@ def _make_runs(places: int):
             rest = own[np.arange(WIDTH) >= shared[:, None]].tobytes()
             yield _row(place, 0, doc[part], at[part], before[part], after[part], shared.astype(np.uint8), rest)
 
+    def one(rows: Iterator[tuple[int, tuple]]) -> Iterator[pa.RecordBatch]:
+        parts, found, wanted = [], [], None
+        for kind, content in rows:
+            if kind == 0:
+                parts.append(content)
+                continue
+            if not parts:
+                continue
+            if wanted is None:
+                wanted = [np.concatenate(x).astype(np.int64) for x in zip(*parts)]
+                order = np.argsort(wanted[0], kind="stable")
+                wanted = [x[order] for x in wanted]
+            doc, keyed, sizes, text = content
+            data, begin = np.frombuffer(text, np.uint8), np.cumsum(sizes) - sizes
+            low, high = (np.searchsorted(wanted[0], doc, side) for side in ("left", "right"))
+            count = np.where(keyed, high - low, 0)
+            pick = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            at = wanted[1][pick] + np.repeat(begin, count)
+            suffixes = _suffixes(data, at, wanted[2][pick], wanted[3][pick])
+            found.append((wanted[0][pick], wanted[1][pick], wanted[2][pick], wanted[3][pick], suffixes))
+        if found and sum(len(x[0]) for x in found):
+            yield from finish(found)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_place(batches):
-            parts, found, wanted = [], [], None
-            for kind, content in rows:
-                if kind == 0:
-                    parts.append(content)
-                    continue
-                if not parts:
-                    continue
-                if wanted is None:
-                    wanted = [np.concatenate(x).astype(np.int64) for x in zip(*parts)]
-                    order = np.argsort(wanted[0], kind="stable")
-                    wanted = [x[order] for x in wanted]
-                doc, keyed, sizes, text = content
-                data, begin = np.frombuffer(text, np.uint8), np.cumsum(sizes) - sizes
-                low, high = (np.searchsorted(wanted[0], doc, side) for side in ("left", "right"))
-                count = np.where(keyed, high - low, 0)
-                pick = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-                at = wanted[1][pick] + np.repeat(begin, count)
-                rows_ = _suffixes(data, at, wanted[2][pick], wanted[3][pick])
-                found.append((wanted[0][pick], wanted[1][pick], wanted[2][pick], wanted[3][pick], rows_))
-            if found and sum(len(x[0]) for x in found):
-                yield from finish(found)
+            yield from one(rows)
 
     return run
 
@@ -373,26 +379,33 @@ def _equal_windows(rows, shared, doc, at, before, after) -> Iterator[tuple[np.nd
 
 
 def _merge(places: int):
+    def one(place: int, rows: Iterator[tuple[int, tuple]]) -> Iterator[pa.RecordBatch]:
+        columns, runs = [], []
+        for kind, content in rows:
+            if kind == 2:
+                yield _row(place, 0, *content)
+                continue
+            *own, shared, rest = content
+            columns.append(own)
+            runs.append((_decoded(shared, rest), shared.tolist()))
+        if runs:
+            begin = np.cumsum([0, *[len(strings) for strings, _ in runs]]).tolist()
+            order, shared = array("q"), array("q")
+            for r, i, n in merge_runs(runs):
+                order.append(begin[r] + i)
+                shared.append(n)
+            text = np.frombuffer(b"".join([s for strings, _ in runs for s in strings]), np.uint8)
+            runs.clear()
+            order, shared = np.array(order), np.array(shared)
+            shared[0] = 0
+            own = [np.concatenate(x)[order] for x in zip(*columns)]
+            for doc, low, high in _equal_windows(text.reshape(-1, WIDTH)[order], shared, *own):
+                yield from _dealt(0, doc % places, places, doc, low, high)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # In a function of its own, so that nothing of a place is held while the next is read.
         for place, rows in _by_place(batches):
-            columns, runs = [], []
-            for kind, content in rows:
-                if kind == 2:
-                    yield _row(place, 0, *content)
-                    continue
-                *own, shared, rest = content
-                columns.append(own)
-                runs.append((_decoded(shared, rest), shared.tolist()))
-            if runs:
-                begin = np.cumsum([0, *[len(strings) for strings, _ in runs]])
-                merged = np.array([(begin[r] + i, n) for r, i, n in merge_runs(runs)], np.int64)
-                order, shared = merged[:, 0], merged[:, 1].copy()
-                shared[0] = 0
-                text = np.frombuffer(b"".join([s for strings, _ in runs for s in strings]), np.uint8)
-                runs.clear()
-                own = [np.concatenate(x)[order] for x in zip(*columns)]
-                for doc, low, high in _equal_windows(text.reshape(-1, WIDTH)[order], shared, *own):
-                    yield from _dealt(0, doc % places, places, doc, low, high)
+            yield from one(place, rows)
 
     return run
 
