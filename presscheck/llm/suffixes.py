@@ -47,11 +47,11 @@ GRAM = 32
 REACH = LENGTH - GRAM
 WIDTH = 8 + LENGTH + REACH
 # Text per range. A task holds the suffixes of one range, a few times as much.
-RANGE_BYTES = 6 << 20
+RANGE_BYTES = 4 << 20
 # Beyond so many, ranges grow with the input.
 MAX_RANGES = 1 << 14
 # Anchors that a task settles among themselves before it deals them out.
-_FLUSH = 1 << 19
+_FLUSH = 1 << 18
 ROWS = "place int, kind int, body binary"
 
 
