@@ -7,7 +7,9 @@ fingerprint occurs more than once are joined by position: all windows with the s
 lines, known by 128 bits of hash, against the first of them. Every window but the first
 is a match. A match is extended up and down, line by line, as long as the windows there
 match as well, and the runs so found are deleted. A line of ``LONG`` bytes or more is a
-run by itself.
+run by itself, and so are one line or fewer than ``RUN`` lines with ``WORDS`` words or
+more in all. Words end at white space. Runs of lines that all are runs by themselves are
+left out, as their lines match whenever they do.
 
 Order is that of the key, then of the line. Windows are judged on the input, so what is
 deleted in one place still counts for another. Null and empty texts have one empty line
@@ -18,6 +20,8 @@ pass through. DataFrame operations only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,10 +31,12 @@ from presscheck.operators.once import compute_once
 
 RUN = 3
 LONG = 200
+WORDS = 50
+WORD = r"[^ \t-\r]+"
 
 
-def _windows(lines: Column, run: int, long: int) -> Column:
-    """An array with a struct for each run of ``run`` lines and for each long line."""
+def _windows(lines: Column, run: int, long: int, words: int) -> Column:
+    """An array with a struct for each run of ``run`` lines, and of fewer lines with enough bytes or words."""
 
     def window(start: Column, count: int) -> Column:
         own = [F.get(lines, start + i) for i in range(count)]
@@ -46,20 +52,37 @@ def _windows(lines: Column, run: int, long: int) -> Column:
         )
 
     count = F.size(lines)
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(count - run, F.lit(0))), lambda s: window(s, run))
-    runs = F.when(count >= run, runs).otherwise(F.slice(runs, 1, 0))
-    long_lines = F.filter(F.sequence(F.lit(0), count - 1), lambda s: F.get(lines, s)["bytes"] >= long)
-    return F.concat(runs, F.transform(long_lines, lambda s: window(s, 1)))
 
+    def alone(x: Column) -> Column:
+        return (x["bytes"] >= long) | (x["words"] >= words)
+
+    def is_run(start: Column, size: int) -> Column:
+        own = [F.get(lines, start + i) for i in range(size)]
+        if size == 1:
+            return alone(own[0]) if run > 1 else F.lit(True)
+        apart = ~reduce(Column.__and__, map(alone, own))
+        return apart if size == run else apart & (reduce(Column.__add__, [x["words"] for x in own]) >= words)
+
+    def runs(size: int) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(count - size, F.lit(0)))
+        return F.transform(F.filter(starts, lambda s: (count >= size) & is_run(s, size)), lambda s: window(s, size))
 
-def repeated_runs(documents: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, long: int = LONG) -> DataFrame:
+    return F.concat(*[runs(size) for size in range(1, run + 1)])
+
+
+def repeated_runs(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, long: int = LONG, words: int = WORDS
+) -> DataFrame:
     """``(key, runs)``: the runs to delete, as structs of first line and line after the last."""
     line = lambda x: F.struct(
-        F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), F.octet_length(x).alias("bytes")
+        F.xxhash64(x).alias("a"),
+        F.xxhash64(F.lit(1), x).alias("b"),
+        F.octet_length(x).alias("bytes"),
+        F.regexp_count(x, F.lit(WORD)).alias("words"),
     )
     hashed = documents.where(F.col(text).isNotNull()).select(F.col(key).alias("doc"), F.col(text).alias("text"))
     hashed = compute_once(hashed, {"lines": F.transform(F.split("text", "\n", -1), line)})
-    windows = materialise(hashed.select("doc", F.inline(_windows(F.col("lines"), run, long))), "windows")
+    windows = materialise(hashed.select("doc", F.inline(_windows(F.col("lines"), run, long, words))), "windows")
 
     # A fingerprint that occurs once has no match. Windows that share one count it once.
     prints = windows.groupBy("print").agg(
@@ -109,6 +132,7 @@ def remove_repeats(
     long: int = LONG,
     runs: str | None = None,
     drop_emptied: bool = False,
+    words: int = WORDS,
 ) -> DataFrame:
     """The documents with the lines of later repeated runs cut out of their texts.
 
@@ -116,7 +140,7 @@ def remove_repeats(
     documents of which nothing but line ends is left go altogether.
     """
     own_key, own_runs = free_name("_key", documents), free_name("_runs", documents)
-    found = repeated_runs(documents, key, text, run, long)
+    found = repeated_runs(documents, key, text, run, long, words)
     found = found.select(F.col(key).alias(own_key), F.col("runs").alias(own_runs))
     joined = documents.join(found, documents[key] == F.col(own_key), "left")
     cut = F.when(F.col(own_runs).isNull(), F.col(text)).otherwise(_without(F.col(text), F.col(own_runs)))
