@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model of a corpus, and scores by it.
+"""Interpolated modified Kneser-Ney models of orders two and three of a corpus, and scores by them.
 
 Counting: each task counts the pairs of neighbouring tokens in its texts and deals them
 out by a hash of the pair, so a frequent word is spread over all buckets. A bucket adds
@@ -7,6 +7,13 @@ on what it knows of each word: how often it occurs, after how many different wor
 often and before how many different words it stands. These are added up by word and
 stored as sorted arrays as well. Only a row of totals for each bucket goes to the driver.
 
+At order three each task counts triples and deals them out by a hash of their first two
+tokens. A bucket adds them up, stores them like pairs, along with how many triples of
+each count follow two tokens that occur together more than once, and passes on each pair
+of last tokens with its count and the number of different tokens before it. The former
+give the model of order two, the latter the middle level of the model of order three.
+Pairs after the start, which nothing stands before, keep their counts at that level.
+
 Scoring: workers map the arrays into memory and look the pairs and words of their texts
 up in sorted batches; the operating system keeps what is in use. The folder of the model
 must therefore be one that all workers can open as files.
@@ -15,7 +22,9 @@ A text is its words, which end at white space, with A-Z lower-cased, and one end
 The first word stands after a start that is no token. A pair's probability is the
 discounted share of the pair among those with the same first word, plus the rest times
 the probability of the second word: its discounted share of all different pairs, plus the
-rest spread evenly over the known tokens and one unknown. All texts count, whatever their
+rest spread evenly over the known tokens and one unknown. At order three, it is the
+discounted share of the triple, plus the rest times the probability of the pair from the
+middle level; a first word has no triple and that probability alone. All texts count, whatever their
 length; null and empty texts are an end token. Repeated rows count and score each. From an
 empty corpus every token is unknown, with probability 1.
 """
@@ -40,11 +49,13 @@ BUCKET_BYTES = 16 << 20
 MAX_BUCKETS = 4096
 # Tokens that a task counts before it deals out pairs.
 _FLUSH = 4_000_000
+_FLUSH_TRIPLES = 2_500_000
+ORDER = 3
 # Words are known by 48 bits of hash. The end and the start have values of their own.
 END, START = np.uint64(1), np.uint64(2)
 _BITS = np.uint64(48)
-WORD_FIELDS = ("occurs", "after", "stands", "before1", "before2", "before3")
-OUT = "struct<n_tokens:long,n_known:long,base_score:double,score:double>"
+WORD_FIELDS = ("occurs", "after", "stands", "before1", "before2", "before3", "middle", "middle1", "middle2", "middle3")
+OUT = "struct<n_tokens:long,n_known:long,base_score:double,score:double,trigram_score:double>"
 
 
 def _tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,6 +74,18 @@ def _pair_hash(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mix(mix(before, 11) + tokens, 12)
 
 
+def _earlier(before: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The tokens before the predecessors."""
+    earlier = np.empty_like(before)
+    earlier[1:] = before[:-1]
+    earlier[first[:-1]] = START
+    return earlier
+
+
+def _triple_hash(pairs: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    return mix(mix(pairs, 13) + tokens, 14)
+
+
 def _bucket_of_pair(pairs: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets are equal ranges of the hash."""
     return ((pairs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -82,6 +105,20 @@ def _from_six_bytes(packed: bytes) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count, and then four for each that is 255 or more."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u4").tobytes()
+
+
+def _unpack_counts(packed: list[bytes], sizes: list[int]) -> np.ndarray:
+    out = []
+    for data, n in zip(packed, sizes):
+        counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+        counts[counts == 255] = np.frombuffer(data, "<u4", offset=n)
+        out.append(counts)
+    return np.concatenate(out)
+
+
 def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys, sorted, and the sums of each value."""
     order = np.argsort(keys, kind="stable")
@@ -96,13 +133,13 @@ def _count_pairs(buckets: int):
         order = np.lexsort((w, u, _bucket_of_pair(_pair_hash(u, w), buckets)))
         w, u = w[order], u[order]
         start = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (u[1:] != u[:-1])]))
-        counts = np.diff(np.append(start, len(w))).astype("<u4")
+        counts = np.diff(np.append(start, len(w)))
         w, u = w[start], u[start]
         edges = np.searchsorted(_bucket_of_pair(_pair_hash(u, w), buckets), np.arange(buckets + 1))
         for bucket, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
             if b > a:
                 arrays = [pa.array([bucket], pa.int32())]
-                arrays += [pa.array([x], pa.binary()) for x in (_six_bytes(u[a:b]), _six_bytes(w[a:b]), counts[a:b].tobytes())]
+                arrays += [pa.array([x], pa.binary()) for x in (_six_bytes(u[a:b]), _six_bytes(w[a:b]), _pack_counts(counts[a:b]))]
                 yield pa.RecordBatch.from_arrays(arrays, ["bucket", "before", "token", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,6 +159,47 @@ def _count_pairs(buckets: int):
     return run
 
 
+def _count_triples(buckets: int):
+    def flush(kept: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        w, u, v = (np.concatenate(x) for x in zip(*kept))
+        kept.clear()
+        # First words have no triple; they are spread, apart from those that begin with the start and such a word.
+        place = np.where(u == START, mix(_pair_hash(u, w), 15), _pair_hash(v, u))
+        order = np.lexsort((w, place))
+        w, u, v, place = w[order], u[order], v[order], place[order]
+        start = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (place[1:] != place[:-1])]))
+        counts = np.diff(np.append(start, len(w)))
+        w, u, v, place = w[start], u[start], v[start], place[start]
+        # The first two tokens are sent once for up to 255 triples.
+        same = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        number = np.arange(len(w)) - np.repeat(same, np.diff(np.append(same, len(w))))
+        bucket = _bucket_of_pair(place, buckets)
+        heads = number % 255 == 0
+        edges = np.searchsorted(bucket, np.arange(buckets + 1))
+        for to, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            if b > a:
+                head = a + np.flatnonzero(heads[a:b])
+                follow = np.diff(np.append(head, b)).astype(np.uint8)
+                packed = [_six_bytes(v[head]), _six_bytes(u[head]), follow.tobytes(), _six_bytes(w[a:b]), _pack_counts(counts[a:b])]
+                arrays = [pa.array([to], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
+                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "earlier", "before", "follow", "token", "times"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, size = [], 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                w, u, first = _tokens(*text_bytes(part["text"]))
+                kept.append((w, u, _earlier(u, first)))
+                size += len(w)
+                if size >= _FLUSH_TRIPLES:
+                    yield from flush(kept)
+                    size = 0
+        if size:
+            yield from flush(kept)
+
+    return run
+
+
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
     """The rows of each bucket; they come together."""
     bucket, rows = None, []
@@ -145,33 +223,97 @@ def _store(folder: str, name: str, values: np.ndarray) -> None:
     os.replace(temporary, f"{folder}/{name}")
 
 
+def _store_counts(folder: str, name: str, bucket: int, counts: np.ndarray) -> None:
+    """A byte for each count; those above 254 are in a list of their own."""
+    large = np.flatnonzero(counts >= 255)
+    _store(folder, f"{name}-{bucket}", np.minimum(counts, 255).astype(np.uint8))
+    _store(folder, f"{name}-large-{bucket}", np.column_stack([large, counts[large]]).astype(np.int64))
+
+
+def _kinds(counts: np.ndarray) -> list[np.ndarray]:
+    """Which counts are 1, 2, and more."""
+    return [(counts == 1).astype(np.int64), (counts == 2).astype(np.int64), (counts > 2).astype(np.int64)]
+
+
+def _seen(counts: np.ndarray) -> list[int]:
+    return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
+
+
+def _sum_triples(folder: str, buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_bucket(batches):
+            follow = np.frombuffer(b"".join(r["follow"] for r in rows), np.uint8)
+            v, u = (np.repeat(_from_six_bytes(b"".join(r[c] for r in rows)), follow) for c in ("earlier", "before"))
+            w = _from_six_bytes(b"".join(r["token"] for r in rows))
+            times = _unpack_counts([r["times"] for r in rows], [len(r["token"]) // 6 for r in rows])
+            rows.clear()
+            triples = _triple_hash(_pair_hash(v, u), w)
+            order = np.argsort(triples, kind="stable")
+            triples = triples[order]
+            start = np.flatnonzero(np.concatenate([[True], triples[1:] != triples[:-1]]))
+            count = np.add.reduceat(times[order], start)
+            triples, at = triples[start], order[start]
+            u, v, w = u[at], v[at], w[at]
+            del order, times, at
+            whole = u != START
+            _store(folder, f"triples-{bucket}", triples[whole])
+            _store_counts(folder, "triple-times", bucket, count[whole])
+            seen = _seen(count[whole])
+            del triples
+            # Two tokens that occur together once have one triple.
+            contexts, stands, *kinds = _summed(_pair_hash(v[whole], u[whole]), count[whole], *_kinds(count[whole]))
+            _store(folder, f"contexts-{bucket}", contexts[stands > 1])
+            _store(folder, f"kinds-{bucket}", np.column_stack(kinds)[stands > 1].astype(np.uint32))
+            del contexts, stands, kinds, v
+            pairs = _pair_hash(u, w)
+            order = np.argsort(pairs, kind="stable")
+            pairs = pairs[order]
+            start = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+            lefts = np.add.reduceat(np.where(whole, 1, count)[order], start)
+            count = np.add.reduceat(count[order], start)
+            pairs, u, w = pairs[start], u[order][start], w[order][start]
+            edges = np.searchsorted(_bucket_of_pair(pairs, buckets), np.arange(buckets + 1))
+            for to, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+                if b > a:
+                    packed = [_six_bytes(u[a:b]), _six_bytes(w[a:b]), _pack_counts(count[a:b]), _pack_counts(lefts[a:b])]
+                    arrays = [pa.array([to], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
+                    arrays.append(pa.array([seen], pa.list_(pa.int64())))
+                    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "before", "token", "times", "lefts", "seen"])
+                    seen = [0, 0, 0, 0]
+
+    return run
+
+
 def _sum_pairs(folder: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_bucket(batches):
             u, w = (_from_six_bytes(b"".join(r[c] for r in rows)) for c in ("before", "token"))
-            times = np.frombuffer(b"".join(r["times"] for r in rows), "<u4").astype(np.int64)
+            sizes = [len(r["token"]) // 6 for r in rows]
+            times = _unpack_counts([r["times"] for r in rows], sizes)
+            triples = "lefts" in rows[0]
+            lefts = _unpack_counts([r["lefts"] for r in rows], sizes) if triples else np.zeros(len(times), np.int64)
+            seen_triples = np.sum([r["seen"] for r in rows], axis=0).tolist() if triples else [0, 0, 0, 0]
             pairs = _pair_hash(u, w)
             rows.clear()
             order = np.argsort(pairs, kind="stable")
             pairs = pairs[order]
             start = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
-            count = np.add.reduceat(times[order], start)
+            count, lefts = (np.add.reduceat(x[order], start) for x in (times, lefts))
             pairs, u, w = pairs[start], u[order][start], w[order][start]
             del order, times
             _store(folder, f"pairs-{bucket}", pairs)
-            # Counts above 254 are in a list of their own.
-            large = np.flatnonzero(count >= 255)
-            _store(folder, f"times-{bucket}", np.minimum(count, 255).astype(np.uint8))
-            _store(folder, f"large-{bucket}", np.column_stack([large, count[large]]).astype(np.int64))
+            _store_counts(folder, "times", bucket, count)
+            if triples:
+                _store_counts(folder, "lefts", bucket, lefts)
             ones = np.ones(len(count), np.int64)
             of_token = _summed(w, count, ones)
-            of_before = _summed(u, count, *[(count == k).astype(np.int64) for k in (1, 2)], (count > 2).astype(np.int64))
+            of_before = _summed(u, count, *_kinds(count), lefts, *_kinds(lefts))
             words = np.concatenate([of_token[0], of_before[0]])
-            fields = np.zeros((6, len(words)), np.int64)
+            fields = np.zeros((len(WORD_FIELDS), len(words)), np.int64)
             fields[:2, : len(of_token[0])] = of_token[1:]
             fields[2:, len(of_token[0]) :] = of_before[1:]
             words, *fields = _summed(words, *fields)
-            seen = [int((count == k).sum()) for k in (1, 2, 3, 4)]
+            seen = [*_seen(count), *_seen(lefts), *seen_triples]
             edges = np.searchsorted(_bucket_of_word(words, buckets), np.arange(buckets + 1))
             for to, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
                 if b > a:
@@ -179,7 +321,7 @@ def _sum_pairs(folder: str, buckets: int):
                     arrays = [pa.array([to], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
                     arrays.append(pa.array([seen], pa.list_(pa.int64())))
                     yield pa.RecordBatch.from_arrays(arrays, ["bucket", "words", "fields", "seen"])
-                    seen = [0, 0, 0, 0]
+                    seen = [0] * 12
 
     return run
 
@@ -188,7 +330,7 @@ def _sum_words(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_bucket(batches):
             words = _from_six_bytes(b"".join(r["words"] for r in rows))
-            parts = [np.frombuffer(r["fields"], "<u4").reshape(6, -1) for r in rows]
+            parts = [np.frombuffer(r["fields"], "<u4").reshape(len(WORD_FIELDS), -1) for r in rows]
             fields = np.concatenate(parts, axis=1).astype(np.int64)
             words, *fields = _summed(words, *fields)
             _store(folder, f"words-{bucket}", words)
@@ -217,12 +359,15 @@ def discounts(seen: list[int]) -> np.ndarray:
 class Model:
     """Where the arrays lie, and the totals."""
 
+    order: int
     folder: str
     buckets: int
     tokens: int
     types: int
     pair_types: int
     pair_discounts: np.ndarray
+    middle_discounts: np.ndarray
+    triple_discounts: np.ndarray
     token_discounts: np.ndarray
     token_rest: float
 
@@ -232,7 +377,7 @@ class Model:
         for bucket in np.flatnonzero(np.diff(edges)).tolist():
             part = slice(edges[bucket], edges[bucket + 1])
             path = f"{self.folder}/{kind}-{bucket}"
-            if os.path.exists(path):
+            if os.path.exists(path) and os.path.getsize(path):
                 stored = np.memmap(path, np.uint64, "r")
                 at = np.searchsorted(stored, keys[part])
                 at[at == len(stored)] = 0
@@ -246,17 +391,48 @@ class Model:
             out[part][known] = stored[at[known]]
         return out
 
-    def pairs(self, keys: np.ndarray) -> np.ndarray:
-        """How often each of the sorted pairs occurs."""
+    def counts(self, kind: str, name: str, keys: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The counts ``name`` of each of the keys, which are sorted in each bucket."""
         out = np.zeros(len(keys), np.int64)
-        for bucket, part, at, known in self._find("pairs", keys, _bucket_of_pair(keys, self.buckets)):
-            stored = np.memmap(f"{self.folder}/times-{bucket}", np.uint8, "r")
-            times = np.where(known, stored[at], 0).astype(np.int64)
-            if (times == 255).any():
-                large = np.fromfile(f"{self.folder}/large-{bucket}", np.int64).reshape(-1, 2)
-                full = np.flatnonzero(times == 255)
-                times[full] = large[np.searchsorted(large[:, 0], at[full]), 1]
-            out[part] = times
+        for bucket, part, at, known in self._find(kind, keys, place):
+            stored = np.memmap(f"{self.folder}/{name}-{bucket}", np.uint8, "r")
+            counts = np.where(known, stored[at], 0).astype(np.int64)
+            if (counts == 255).any():
+                large = np.fromfile(f"{self.folder}/{name}-large-{bucket}", np.int64).reshape(-1, 2)
+                full = np.flatnonzero(counts == 255)
+                counts[full] = large[np.searchsorted(large[:, 0], at[full]), 1]
+            out[part] = counts
+        return out
+
+    def kinds(self, keys: np.ndarray) -> np.ndarray:
+        """How many triples of count 1, 2 and more follow each of the sorted pairs that occur more than once."""
+        out = np.zeros((len(keys), 3), np.int64)
+        for bucket, part, at, known in self._find("contexts", keys, _bucket_of_pair(keys, self.buckets)):
+            stored = np.memmap(f"{self.folder}/kinds-{bucket}", np.uint32, "r").reshape(-1, 3)
+            out[part][known] = stored[at[known]]
+        return out
+
+    def _triples(self, tokens, before, first, times, middle) -> np.ndarray:
+        """Probabilities of order three, from the counts of the pairs and their probabilities at the middle level."""
+        at = np.flatnonzero(before != START)
+        out = middle.copy()
+        if not len(at):
+            return out
+        contexts = _pair_hash(_earlier(before, first)[at], before[at])
+        triples, place = _triple_hash(contexts, tokens[at]), _bucket_of_pair(contexts, self.buckets)
+        order = np.lexsort((triples, place))
+        count = np.empty(len(at), np.int64)
+        count[order] = self.counts("triples", "triple-times", triples[order], place[order])
+        # The pair of the place before is the one that the triple begins with.
+        stands = times[at - 1]
+        kinds = np.zeros((len(at), 3), np.int64)
+        kinds[stands == 1, 0] = 1
+        often = np.flatnonzero(stands > 1)
+        keys, of_key = np.unique(contexts[often], return_inverse=True)
+        kinds[often] = self.kinds(keys)[of_key]
+        rest = np.where(stands > 0, kinds @ self.triple_discounts[1:] / np.maximum(stands, 1), 1.0)
+        share = (count - self.triple_discounts[np.minimum(count, 3)]) / np.maximum(stands, 1)
+        out[at] = share + rest * middle[at]
         return out
 
     def score(self, data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
@@ -265,23 +441,34 @@ class Model:
         fields = self.words(known_words)
         of_token, of_before = place[: len(tokens)], place[len(tokens) :]
         pairs, of_pair = np.unique(_pair_hash(before, tokens), return_inverse=True)
-        times = self.pairs(pairs)[of_pair]
+        place = _bucket_of_pair(pairs, self.buckets)
+        times = self.counts("pairs", "times", pairs, place)[of_pair]
         occurs, after = fields[:, 0], fields[:, 1]
         by_token = self.token_rest / (self.types + 1)
         if self.pair_types:
             by_token = by_token + (after - self.token_discounts[np.minimum(after, 3)]) / self.pair_types
         by_token = np.broadcast_to(by_token, occurs.shape)[of_token]
-        stands = fields[:, 2]
-        rest = np.where(stands > 0, fields[:, 3:] @ self.pair_discounts[1:] / np.maximum(stands, 1), 1.0)
-        share = (times - self.pair_discounts[np.minimum(times, 3)]) / np.maximum(stands, 1)[of_before]
-        logs = np.log10(share + rest[of_before] * by_token)
+
+        def of_pairs(counts: np.ndarray, discounts: np.ndarray, field: int) -> np.ndarray:
+            stands = fields[:, field]
+            rest = np.where(stands > 0, fields[:, field + 1 : field + 4] @ discounts[1:] / np.maximum(stands, 1), 1.0)
+            share = (counts - discounts[np.minimum(counts, 3)]) / np.maximum(stands, 1)[of_before]
+            return share + rest[of_before] * by_token
+
+        logs = np.log10(of_pairs(times, self.pair_discounts, 2))
         base = np.log10((occurs + 1) / (self.tokens + self.types + 1))[of_token]
         add = lambda x: np.add.reduceat(x, first[:-1]) if len(first) > 1 else np.zeros(0)
+        triple_logs = None
+        if self.order == 3:
+            lefts = self.counts("pairs", "lefts", pairs, place)[of_pair]
+            middle = of_pairs(lefts, self.middle_discounts, 6)
+            triple_logs = np.log10(self._triples(tokens, before, first, times, middle))
         return {
             "n_tokens": np.diff(first),
             "n_known": add((occurs > 0)[of_token].astype(np.int64)),
             "base_score": add(base),
             "score": add(logs),
+            "trigram_score": np.full(len(first) - 1, np.nan) if triple_logs is None else add(triple_logs),
         }
 
 
@@ -295,25 +482,35 @@ def _local(path: str) -> str:
     return parsed.path
 
 
-def fit(texts: DataFrame, text: str = "text", folder: str | None = None) -> Model:
-    """Counts all texts into a model under ``folder``, a new one in the shared folder unless given."""
+def fit(texts: DataFrame, text: str = "text", folder: str | None = None, order: int = ORDER) -> Model:
+    """Counts all texts into a model of order two or three under ``folder``, a new one in the shared folder unless given."""
+    if order not in (2, 3):
+        raise ValueError(f"the order must be 2 or 3: {order}")
     spark = texts.sparkSession
     folder = _local(folder or scratch_path(spark, "language-model"))
     os.makedirs(folder, exist_ok=True)
     known = texts.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = known.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
     buckets = min(max(1, -(-size // BUCKET_BYTES)), MAX_BUCKETS)
-    pairs = known.mapInArrow(_count_pairs(buckets), "bucket int, before binary, token binary, times binary")
+    if order == 2:
+        pairs = known.mapInArrow(_count_pairs(buckets), "bucket int, before binary, token binary, times binary")
+    else:
+        fields = "bucket int, earlier binary, before binary, follow binary, token binary, times binary"
+        triples = known.mapInArrow(_count_triples(buckets), fields)
+        triples = triples.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        fields = "bucket int, before binary, token binary, times binary, lefts binary, seen array<long>"
+        pairs = triples.mapInArrow(_sum_triples(folder, buckets), fields)
     pairs = pairs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     words = pairs.mapInArrow(_sum_pairs(folder, buckets), "bucket int, words binary, fields binary, seen array<long>")
     words = words.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     totals = words.mapInArrow(_sum_words(folder), "totals array<long>")
     # One short row for each bucket.
-    sums = np.sum([row.totals for row in totals.collect()] or [[0] * 12], axis=0).tolist()
+    sums = np.sum([row.totals for row in totals.collect()] or [[0] * 20], axis=0).tolist()
     tokens, types, pair_types, one, two, three, four, more, *seen = sums
     of_token = discounts([one, two, three, four])
     rest = float(of_token[1:] @ [one, two, more]) / pair_types if pair_types else 1.0
-    return Model(folder, buckets, tokens, types, pair_types, discounts(seen), of_token, rest)
+    of_pair, of_middle, of_triple = (discounts(seen[i : i + 4]) for i in (0, 4, 8))
+    return Model(order, folder, buckets, tokens, types, pair_types, of_pair, of_middle, of_triple, of_token, rest)
 
 
 def _scorer(model, text: str, carried: list[str], out: str):
@@ -322,7 +519,7 @@ def _scorer(model, text: str, carried: list[str], out: str):
         for batch in batches:
             for part in slices(batch, text):
                 found = m.score(*text_bytes(part[text]))
-                struct = pa.StructArray.from_arrays([pa.array(v) for v in found.values()], list(found))
+                struct = pa.StructArray.from_arrays([pa.array(v, from_pandas=True) for v in found.values()], list(found))
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in carried], struct], [*carried, out])
 
     return run
@@ -331,8 +528,9 @@ def _scorer(model, text: str, carried: list[str], out: str):
 def score(documents: DataFrame, model: Model, text: str = "text", out: str = "lm", carry: list[str] | None = None) -> DataFrame:
     """The ``carry`` columns (all, unless given) and the struct ``out``.
 
-    ``n_known`` counts the tokens that the model has seen, ``score`` is the base-ten
-    logarithm of the text's probability and ``base_score`` that of single tokens with one
+    ``n_known`` counts the tokens that the model has seen, ``trigram_score`` is
+    the base-ten logarithm of the text's probability at order three, null for a model of
+    order two, ``score`` that at order two and ``base_score`` that of single tokens with one
     added to each count. A column named ``out`` is replaced.
     """
     carry = [c for c in (documents.columns if carry is None else carry) if c != out]
@@ -343,5 +541,6 @@ def score(documents: DataFrame, model: Model, text: str = "text", out: str = "lm
 
 
 def perplexity(out: str = "lm") -> F.Column:
-    """Per token, from the struct of :func:`score`."""
-    return F.pow(F.lit(10.0), -F.col(out)["score"] / F.col(out)["n_tokens"])
+    """Per token, from the struct of :func:`score`, at the order of the model."""
+    score = F.coalesce(F.col(out)["trigram_score"], F.col(out)["score"])
+    return F.pow(F.lit(10.0), -score / F.col(out)["n_tokens"])
