@@ -4,6 +4,8 @@
    Documents with equal sets form a class, which its smallest key stands for.
 2. Bands of the sketch coordinates put classes into buckets. Two sets at the threshold
    of 80 % share one of the 40 bands of 6 with a probability of all but 5 in a million.
+   Lower thresholds take more or shorter bands with the same probability; higher ones
+   take those of 80 %.
 3. In each bucket the member that meets most others is the centre. Every member is
    compared, on the full sets, with the best of its centres. This links almost all of
    a group at a cost in proportion to its size.
@@ -20,6 +22,7 @@ and is kept. Other columns play no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,11 +36,26 @@ from presscheck.llm.tables import free_name, materialise, slices, text_bytes
 WIDTH = 5
 PERCENT = 80
 BANDS, ROWS = 40, 6
+# The most that two sets at the threshold may miss each other with, and the coordinates for it.
+MISS = 5.3e-6
+COORDINATES = 300
 # Members of about that number are held at once while the others stream past them.
 BLOCK = 512
 
 
-def _sketcher(width: int):
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and their rows for a threshold: the longest bands that fit the coordinates."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must be above 0 and at most 100: {percent}")
+    if percent >= PERCENT:
+        return BANDS, ROWS
+    for rows in range(ROWS, 0, -1):
+        bands = math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** rows)))
+        if rows == 1 or bands * rows <= COORDINATES:
+            return bands, rows
+
+
+def _sketcher(width: int, count: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
@@ -46,7 +64,7 @@ def _sketcher(width: int):
                 data, bounds = text_bytes(part["text"])
                 values, first = shingle_sets(data, bounds, width)
                 sizes = np.diff(first)
-                bands = band_hashes(fast_sketches(values, first, BANDS * ROWS), ROWS)
+                bands = band_hashes(fast_sketches(values, first, count * rows), rows)
                 keys, empty = set_keys(values, first), sizes == 0
                 packed = [None if e else row.tobytes() for e, row in zip(empty.tolist(), bands)]
                 yield pa.RecordBatch.from_arrays(
@@ -62,9 +80,9 @@ def _sketcher(width: int):
     return run
 
 
-def sketches(texts: DataFrame, width: int) -> DataFrame:
+def sketches(texts: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
     schema = "doc_id long, n_shingles long, key1 long, key2 long, bands binary"
-    return texts.mapInArrow(_sketcher(width), schema)
+    return texts.mapInArrow(_sketcher(width, *banding(percent)), schema)
 
 
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,11 +150,11 @@ def _block_checker(percent: int):
         for batch in batches:
             found = []
             for row in batch.to_pylist():
+                own = np.frombuffer(row["bands"], np.int64)
                 if row["block"] != block:
                     block, parent = row["block"], {}
-                    held, sets, bands = [], [], np.zeros((BLOCK, BANDS), np.int64)
+                    held, sets, bands = [], [], np.zeros((BLOCK, len(own)), np.int64)
                 node, part = row["node"], row["component"]
-                own = np.frombuffer(row["bands"], np.int64)
                 shingles = np.frombuffer(row["shingles"], np.uint64)
                 if row["own"]:
                     if len(held) == len(bands):
@@ -236,7 +254,7 @@ def find(
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every document."""
     texts = documents.selectExpr(f"cast(`{key}` as long) as doc_id", f"cast(`{text}` as string) as text")
-    sketched = materialise(sketches(texts, width), "sketches")
+    sketched = materialise(sketches(texts, width, percent), "sketches")
     classes = materialise(
         sketched.where("key1 is not null")
         .groupBy("key1", "key2")
