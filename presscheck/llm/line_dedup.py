@@ -1,12 +1,11 @@
 """Removal of runs of lines that an earlier document, or an earlier place, has too.
 
-Winnowing: of every ``RUN`` consecutive lines, the one with the smallest hash (the last
-of equals) is a fingerprint. Two runs of that length with equal lines choose the same
-line, so wherever a run is repeated its fingerprint is repeated too. Only windows whose
-fingerprint occurs more than once are joined by position: all windows with the same
-lines, known by 128 bits of hash, against the first of them. Every window but the first
-is a match. A match is extended up and down, line by line, as long as the windows there
-match as well, and the runs so found are deleted. A line of ``LONG`` bytes or more is a
+Every window of ``RUN`` consecutive lines is stored. The smallest hash of its lines (the
+last of equals) is its fingerprint. Windows with equal lines have equal fingerprints, so
+those whose fingerprint occurs once are dropped first; nothing else depends on it. The
+others are grouped by their lines, known by 128 bits of hash, and every window of a group
+but the first is a match. Matches that overlap or adjoin are merged into one run, and the
+runs so found are deleted. A line of ``LONG`` bytes or more is a
 run by itself, and so are one line or fewer than ``RUN`` lines with ``WORDS`` words or
 more in all. Words end at white space. Runs of lines that all are runs by themselves are
 left out, as their lines match whenever they do.
