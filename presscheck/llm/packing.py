@@ -1,8 +1,8 @@
-"""Packing documents into training sequences by reciprocal length classes.
+"""Packing documents into training sequences by cutting them at powers of two.
 
 A sequence holds ``capacity`` tokens, a power of two. Documents are cut into pieces
 of ``capacity / 2^k`` tokens: whole sequences first, then the binary digits of what
-is left. Class k takes the pieces of one such length, and each of its sequences takes
+is left, so that a document shorter than a sequence lies in several. Class k takes the pieces of one such length, and each of its sequences takes
 exactly ``2^k`` of them, so a sequence is full to the last token whatever documents it
 holds. Every worker fills its own sequences; nothing is shuffled. What a worker has
 left in a class goes into sequences of a power of two of pieces. These are shorter
