@@ -29,6 +29,8 @@ from presscheck.operators.scores import (
 # Columns inside the saved models.
 TERMS, COUNTS, SCALED, FEATURES = "terms_", "counts_", "scaled_", "features_"
 RAW, PROBABILITY, PREDICTED = "raw_", "probability_", "predicted_"
+# The term whose weight is the intercept; it holds a blank, so no text has it.
+INTERCEPT = " "
 _INNER = (TERMS, COUNTS, SCALED, FEATURES, RAW, PROBABILITY, PREDICTED)
 
 
@@ -52,15 +54,20 @@ class ForestScorer:
 
 
 class LinearScorer:
-    """Logistic regression on the first words, with the same cut as the transformer."""
+    """Logistic regression on the first words, with the same cut as the transformer.
+
+    The model counts known words and multiplies each count by its weight; the sum is the
+    logit of Real, and that of Fake is 0.
+    """
 
     def __init__(self, model: PipelineModel, name: str = K.LINEAR_NAME, max_tokens: int = K.MAX_TOKENS):
         self.model, self.name, self.max_tokens = model, name, max_tokens
 
     def score(self, df: DataFrame, text: str, out: str) -> DataFrame:
         words = first_words(text_or_empty(F.col(text)), self.max_tokens)
-        scored = self.model.transform(df.withColumn(TERMS, words))
-        scored = scored.withColumn(RAW, vector_to_array(RAW))
+        scored = self.model.transform(df.withColumn(TERMS, F.array_append(words, F.lit(INTERCEPT))))
+        total = F.aggregate(F.unwrap_udt(SCALED)["values"], F.lit(0.0), lambda sum_, part: sum_ + part)
+        scored = scored.withColumn(RAW, F.array(F.lit(0.0), total))
         return compute_once(scored, {out: logits_prediction(F.col(RAW), self.name)}).drop(*_INNER)
 
 

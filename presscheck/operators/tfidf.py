@@ -17,29 +17,34 @@ from presscheck.session import materialise
 # script has no spaces. A row takes about 150 bytes besides its term.
 BROADCAST_TERMS = 1_000_000
 BROADCAST_BYTES = 200 << 20
-_ROW_BYTES = 150
+TERM_BYTES = 150
 
 
 def smoothed_idf(documents: Column, document_frequency: Column) -> Column:
     return F.log((1.0 + documents) / (1.0 + document_frequency)) + 1.0
 
 
-def fit_vocabulary(articles: DataFrame, text: str, min_df: int = 1) -> DataFrame:
-    """``(term, df, idf)`` for terms in at least ``min_df`` articles.
+def count_terms(articles: DataFrame, terms: Column, min_df: int = 1) -> DataFrame:
+    """``(term, df)`` of an array column, for terms in at least ``min_df`` articles.
 
     Each article gives a term once and counts are added up before the shuffle, so
     a frequent term sends one row per task. The empty term, which no article can
     contain, is added to each to count the articles in the same pass. The counts
     are stored in the shared folder.
     """
-    terms = F.array_append(F.array_distinct(tokens(F.col(text))), F.lit(""))
-    counted = materialise(
-        articles.select(F.explode(terms).alias("term"))
+    each = F.array_append(F.array_distinct(F.filter(terms, lambda t: t != "")), F.lit(""))
+    return materialise(
+        articles.select(F.explode(each).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .where((F.col("df") >= min_df) | (F.col("term") == "")),
         "terms",
     )
+
+
+def fit_vocabulary(articles: DataFrame, text: str, min_df: int = 1) -> DataFrame:
+    """``(term, df, idf)`` for terms in at least ``min_df`` articles."""
+    counted = count_terms(articles, tokens(F.col(text)), min_df)
     documents = counted.where(F.col("term") == "").select("df").scalar()
     return counted.where(F.col("term") != "").withColumn(
         "idf", smoothed_idf(documents, F.col("df"))
@@ -68,7 +73,7 @@ def _most_frequent(vocabulary: DataFrame) -> Column:
     """
     power = F.floor(F.log2(F.greatest(F.col("df"), F.lit(1)))).cast("int")
     sizes = vocabulary.groupBy(power.alias("power")).agg(
-        F.count(F.lit(1)).alias("terms"), F.sum(F.octet_length("term") + _ROW_BYTES).alias("bytes")
+        F.count(F.lit(1)).alias("terms"), F.sum(F.octet_length("term") + TERM_BYTES).alias("bytes")
     )
     lowest, terms, size = 64, 0, 0
     for row in sorted(sizes.collect(), key=lambda r: -r.power):
@@ -87,7 +92,7 @@ def _attach(rows: DataFrame, vocabulary: DataFrame, wanted: list[str]) -> DataFr
     """
     terms = vocabulary.select("term", *wanted)
     if "df" not in vocabulary.columns:
-        bounded = vocabulary.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term") + _ROW_BYTES), F.lit(0))).head()
+        bounded = vocabulary.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term") + TERM_BYTES), F.lit(0))).head()
         small = bounded[0] <= BROADCAST_TERMS and bounded[1] <= BROADCAST_BYTES
         return rows.join(F.broadcast(terms) if small else terms, "term")
     frequent = _most_frequent(vocabulary)

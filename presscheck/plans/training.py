@@ -6,14 +6,8 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (
-    IDF,
-    CountVectorizerModel,
-    ElementwiseProduct,
-    HashingTF,
-    Normalizer,
-)
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +16,10 @@ from presscheck import constants as K
 from presscheck.functions.text import first_words, tokens
 from presscheck.operators import scorers as S
 from presscheck.operators.scorers import ForestScorer, LinearScorer
-from presscheck.operators.tfidf import fit_vocabulary, index_terms
+from presscheck.operators.tfidf import TERM_BYTES, count_terms, index_terms
 from presscheck.operators.validation import accepted, check_articles
+from presscheck.operators.vectorizer import vectorizer_of
+from presscheck.plans.logistic import fit_weights
 from presscheck.session import materialise, scratch_path
 from presscheck.sources.articles import labelled_articles
 
@@ -31,13 +27,14 @@ from presscheck.sources.articles import labelled_articles
 @dataclass(frozen=True)
 class TrainingOptions:
     min_df: int = 2
-    # The vocabulary lives on the driver and in every task. A larger one is refused, never cut.
+    # The vocabulary lives on the driver and in every task. A larger one, by terms or by the
+    # memory it takes, is refused, never cut.
     max_terms: int = 5_000_000
+    max_vocabulary_bytes: int = 1 << 30
     trees: int = 50
     depth: int = 10
-    # Words whose hashes meet share a weight; with so many places few do.
-    linear_features: int = 1 << 20
-    linear_iterations: int = 20
+    linear_penalty: float = 0.01
+    linear_passes: int = 20
     seed: int = 42
 
 
@@ -76,20 +73,24 @@ def _stored(model: PipelineModel, spark: SparkSession) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def fit_vectorizer(labelled: DataFrame, text: str, options: TrainingOptions) -> CountVectorizerModel:
-    """Counts of all terms that enough texts have, in the order of the terms.
+def _vectorizer(labelled: DataFrame, terms: Column, options: TrainingOptions, extra: tuple[str, ...] = ()) -> tuple[CountVectorizerModel, int]:
+    """Counts of all terms that enough texts have, in their order, and then of ``extra``; and how many those are.
 
-    The only limit is ``min_df``. A vocabulary beyond ``max_terms`` is an error.
+    The only limit is ``min_df``. A vocabulary beyond the bounds of the options is an error.
     """
-    index = index_terms(fit_vocabulary(labelled, text, options.min_df))
-    count = index.count()
-    if not 0 < count <= options.max_terms:
+    counted = count_terms(labelled.select(terms.alias(S.TERMS)), F.col(S.TERMS), options.min_df)
+    index = index_terms(counted.where(F.col("term") != ""))
+    size = index.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term") + TERM_BYTES), F.lit(0))).head()
+    if not 0 < size[0] <= options.max_terms or size[1] > options.max_vocabulary_bytes:
         raise ValueError(
-            f"{count} terms are in {options.min_df} or more texts; 1 to {options.max_terms} can be "
-            "fitted. Change min_df."
+            f"{size[0]} terms of {size[1]} bytes are in {options.min_df} or more texts; 1 to {options.max_terms} of "
+            f"{options.max_vocabulary_bytes} bytes can be fitted. Change min_df."
         )
-    terms = [row.term for row in index.orderBy("index").toLocalIterator()]
-    return CountVectorizerModel.from_vocabulary(terms, inputCol=S.TERMS, outputCol=S.COUNTS)
+    return vectorizer_of(index.select("index", "term"), S.TERMS, S.COUNTS, extra), size[0]
+
+
+def fit_vectorizer(labelled: DataFrame, text: str, options: TrainingOptions) -> CountVectorizerModel:
+    return _vectorizer(labelled, tokens(F.col(text)), options)[0]
 
 
 def fit_features(labelled: DataFrame, text: str, options: TrainingOptions = TrainingOptions()) -> PipelineModel:
@@ -130,26 +131,26 @@ def fit_forest(labelled: DataFrame, text: str, options: TrainingOptions = Traini
 
 
 def fit_linear(labelled: DataFrame, text: str, options: TrainingOptions = TrainingOptions()) -> LinearScorer:
-    """Logistic regression on the first words, one score per class."""
-    words = labelled.select(
-        "label", "weight", first_words(F.col(text), K.MAX_TOKENS).alias(S.TERMS)
-    )
-    hashing = HashingTF(
-        inputCol=S.TERMS, outputCol=S.FEATURES, numFeatures=options.linear_features
+    """Logistic regression on counts of the first words, with one weight per word.
+
+    The size of the model is that of the vocabulary, and gradients are sums over the words
+    that rows hold (:mod:`presscheck.plans.logistic`). Words in fewer than ``min_df`` texts
+    have no weight. The intercept is the weight of a term that every text is given.
+    """
+    words = first_words(F.col(text), K.MAX_TOKENS)
+    vectorizer, features = _vectorizer(labelled, words, options, (S.INTERCEPT,))
+    counts = F.unwrap_udt(S.COUNTS)
+    rows = (
+        vectorizer.transform(labelled.select("label", "weight", words.alias(S.TERMS)))
+        .select("label", "weight", counts["indices"].alias("indices"), counts["values"].alias("values"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    regression = LogisticRegression(
-        labelCol="label",
-        weightCol="weight",
-        featuresCol=S.FEATURES,
-        rawPredictionCol=S.RAW,
-        probabilityCol=S.PROBABILITY,
-        predictionCol=S.PREDICTED,
-        family="multinomial",
-        maxIter=options.linear_iterations,
-        regParam=0.01,
-    ).fit(hashing.transform(words))
-    model = PipelineModel([hashing, regression])
-    return LinearScorer(_stored(model, labelled.sparkSession))
+    try:
+        weights = fit_weights(rows, features, options.linear_penalty, options.linear_passes)
+    finally:
+        rows.unpersist()
+    product = ElementwiseProduct(inputCol=S.COUNTS, outputCol=S.SCALED, scalingVec=Vectors.dense(weights))
+    return LinearScorer(_stored(PipelineModel([vectorizer, product]), labelled.sparkSession))
 
 
 def split(labelled: DataFrame, keys: list[str], held_out: float = 0.2) -> tuple[DataFrame, DataFrame]:

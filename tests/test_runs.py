@@ -20,7 +20,7 @@ from presscheck.streaming.feed import METRICS_NAME, start_feed
 
 from conftest import SMALL
 
-OPTIONS = training.TrainingOptions(trees=8, depth=4, linear_iterations=10)
+OPTIONS = training.TrainingOptions(trees=8, depth=4, linear_passes=12)
 
 
 @pytest.fixture(scope="module")
