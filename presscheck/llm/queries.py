@@ -12,9 +12,11 @@ from presscheck.llm import (
     line_dedup,
     near_duplicates,
     packing,
+    prefix_trie,
     suffixes,
     token_files,
     toxicity,
+    whitening,
 )
 from presscheck.llm.tables import scratch_path, table
 from presscheck.operators.once import compute_once
@@ -134,6 +136,18 @@ def op10_language_model(spark, folder):
     )
 
 
+def op12_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_prefix_trie(spark, folder):
+    """Conversations that begin with up to five turns of the first of their hundred."""
+    lists = prefix_trie.turn_lists(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
+    key = F.col("conv_id")
+    length = F.crc32(key.cast("string").cast("binary")) % 6
+    return prefix_trie.nodes(prefix_trie.with_head(lists, key - key % 100, length, 5))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -147,6 +161,8 @@ QUERIES = {
         op8_token_files,
         op9_near_duplicates,
         op10_language_model,
+        op12_whitening,
+        op13_prefix_trie,
     )
 }
 
@@ -220,4 +236,33 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.co
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) m USING (doc_id)
 """
 
-ORACLES = {"op4_line_dedup": _OP4, "op7_benchmark_decontamination": _OP7, "op9_near_duplicates": _OP9}
+_OP13 = r"""
+WITH c AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+k AS (
+  SELECT *, xor(4294967295, list_reduce(
+    [4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda z: CAST(ascii(z) AS BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h
+  FROM c),
+r AS (
+  SELECT k.conv_id, coalesce(b.own[1:k.h], []) || k.own[k.h + 1:] AS s
+  FROM k LEFT JOIN c b ON b.conv_id = k.conv_id - k.conv_id % 100),
+p AS (SELECT conv_id, s[1:d] AS q, d, len(s) = d AS ends FROM (SELECT conv_id, s, unnest(generate_series(0, len(s))) AS d FROM r)),
+n AS (
+  SELECT q, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS e
+  FROM p GROUP BY 1, 2),
+kids AS (SELECT q[1:d - 1] AS q, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+own AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN d > 0 THEN (n_convs - 1) * length(n.q[d].t) ELSE 0 END AS saved
+  FROM n LEFT JOIN kids ON kids.q = n.q),
+up AS (SELECT q[1:a] AS q, n_children, saved FROM (SELECT *, unnest(generate_series(0, d)) AS a FROM own)),
+sums AS (SELECT q, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM up GROUP BY 1)
+SELECT own.conv_id, own.d AS depth, parent.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(own.e) AS ends_sha256
+FROM own JOIN sums ON sums.q = own.q LEFT JOIN n parent ON own.d > 0 AND parent.d = own.d - 1 AND parent.q = own.q[1:own.d - 1]
+"""
+
+ORACLES = {"op13_prefix_trie": _OP13, "op4_line_dedup": _OP4, "op7_benchmark_decontamination": _OP7, "op9_near_duplicates": _OP9}
