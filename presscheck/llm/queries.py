@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from presscheck.llm import (
     decontamination,
     fingerprints,
+    html_extraction,
     language,
     language_model,
     line_dedup,
@@ -136,6 +137,12 @@ def op10_language_model(spark, folder):
     )
 
 
+def op11_html_extraction(spark, folder):
+    pages = table(spark, folder, "pages")
+    texts = html_extraction.extract(pages, html_extraction.fit(pages), carry=["page_id", "url"])
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op12_whitening(spark, folder):
     return whitening.whiten(table(spark, folder, "embeddings"))
 
@@ -161,6 +168,7 @@ QUERIES = {
         op8_token_files,
         op9_near_duplicates,
         op10_language_model,
+        op11_html_extraction,
         op12_whitening,
         op13_prefix_trie,
     )
