@@ -8,7 +8,7 @@ caller bounds their number.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,21 +84,14 @@ def _direction(gradient: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray]])
     return -q
 
 
-def fit_weights(
-    rows: DataFrame, features: int, penalty: float = 0.01, passes: int = 30, tolerance: float = 1e-5
+def minimise(
+    evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray, passes: int, tolerance: float
 ) -> np.ndarray:
-    """Weights of all features and, last, the intercept.
+    """The lowest point found with at most ``passes`` calls for a value and its gradient.
 
-    ``rows`` is ``(label, weight, indices, values)`` with labels 0 and 1, read once in each
-    of at most ``passes`` passes; keep it stored. The penalty, on squares, leaves the
-    intercept out. Ends early when a step improves the loss by less than ``tolerance`` of it.
-    Without rows all weights are zero.
+    Ends early when a step improves the value by less than ``tolerance`` of it.
     """
-    total = rows.agg(F.coalesce(F.sum("weight"), F.lit(0.0))).head()[0]
-    weights = np.zeros(features + 1)
-    if not total > 0:
-        return weights
-    evaluate = _objective(rows, total, penalty)
+    weights = start
     loss, gradient = evaluate(weights)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     used = 1
@@ -126,3 +119,17 @@ def fit_weights(
         if done:
             break
     return weights
+
+
+def fit_weights(
+    rows: DataFrame, features: int, penalty: float = 0.01, passes: int = 30, tolerance: float = 1e-5
+) -> np.ndarray:
+    """Weights of all features and, last, the intercept.
+
+    ``rows`` is ``(label, weight, indices, values)`` with labels 0 and 1, read once in each
+    of at most ``passes`` passes; keep it stored. The penalty, on squares, leaves the
+    intercept out. Without rows all weights are zero.
+    """
+    total = rows.agg(F.coalesce(F.sum("weight"), F.lit(0.0))).head()[0]
+    start = np.zeros(features + 1)
+    return minimise(_objective(rows, total, penalty), start, passes, tolerance) if total > 0 else start
