@@ -201,6 +201,16 @@ _OVER = "length(text) > 1000"
 _BODY = "repeat(text, 5)"
 _BODY_OVER = "length(text) * 5 > 100000"
 
+# Lines that cannot be read; some hold no key that can be.
+_UNREAD = " OR ".join(f"doc_id % {n} = 0" for n in (7, 11, 13, 17, 19, 23))
+_FILES = _counted(
+    "doc_id, text", "text", _clean(_join("CASE WHEN doc_id % 29 = 0 THEN '' ELSE lang END", "text")), "documents"
+)
+_NO_KEY = "doc_id % 7 = 0 OR (doc_id % 11 <> 0 AND doc_id % 13 <> 0 AND doc_id % 17 <> 0 AND (doc_id % 19 = 0 OR doc_id % 23 = 0))"
+_FILE_KEYS = f"""CASE WHEN NOT ({_NO_KEY}) THEN doc_id END AS id, CASE WHEN {_UNREAD} THEN doc_id END AS raw_id,
+    CASE WHEN {_UNREAD} THEN 422 ELSE {_CODE} END AS code,
+    CASE WHEN {_UNREAD} THEN 'Invalid request' ELSE {_REASON} END AS reason"""
+
 ORACLES = {
     "clean_documents": f"{_DOCUMENTS} SELECT doc_id, clean_text, word_count FROM counted",
     "clean_pages": f"SELECT page_id, {_clean(_decode_page('html'))} AS clean_text FROM pages",
@@ -241,6 +251,11 @@ ORACLES = {
         (CASE WHEN {_MALFORMED} THEN 0 ELSE length(text) END)::INT AS article_chars,
         CASE WHEN {_MALFORMED} THEN 422 ELSE {_CODE} END AS code,
         CASE WHEN {_MALFORMED} THEN 'Invalid request' ELSE {_REASON} END AS reason FROM counted""",
+    "request_files": f"""{_FILES} SELECT {_FILE_KEYS}, ({_UNREAD}) AS malformed,
+        (CASE WHEN {_UNREAD} THEN 0 ELSE length(text) END)::INT AS article_chars FROM counted""",
+    "request_stream": f"""{_FILES} SELECT {_FILE_KEYS},
+        CASE WHEN NOT ({_UNREAD}) AND {_ACCEPTED} THEN 'scored' ELSE 'rejected' END AS outcome,
+        CASE WHEN NOT ({_UNREAD}) AND {_ACCEPTED} THEN word_count END AS word_count FROM counted""",
     "document_vocabulary": f"{_DOC_TERMS} SELECT term, df, round(idf, 6) AS idf FROM doc_vocabulary",
     "tfidf_documents": f"{_DOC_TERMS}{_WEIGHTS} SELECT doc_id, term, round(raw / norm, 6) AS weight FROM weighed",
     "indexed_terms": f"{_DOC_TERMS} SELECT index, term FROM doc_index",

@@ -34,7 +34,6 @@ DOC, PAGE, TURN = ["doc_id"], ["page_id"], ["conv_id", "turn"]
 MIN_DF = 2
 
 
-
 class CountScorer:
     """Logits from counts of a text, so that SQL can say what a run must give."""
 
@@ -179,8 +178,51 @@ def request_bodies(spark, folder):
     )
 
 
-# TF-IDF.
+def _request_lines(spark, folder) -> str:
+    """Documents stored as JSON lines, some broken or with values of other types; the folder's name."""
+    doc, text = F.col("doc_id"), F.col("text")
+    head = F.concat(F.lit('{"id":'), doc.cast("string"), F.lit(","))
+
+    def rest(*fields: Column) -> Column:
+        return F.substr(F.to_json(F.struct(*fields)), F.lit(2))
+
+    whole = F.concat(head, rest(F.col("lang").alias("headline"), text.alias("article")))
+    line = (
+        F.when(doc % 7 == 0, F.left(whole, F.length(whole) - 1))
+        .when(doc % 11 == 0, F.concat(head, F.lit('"headline":null,'), rest(text.alias("article"))))
+        .when(doc % 13 == 0, F.concat(head, rest(F.col("n_chars").alias("article"))))
+        .when(doc % 17 == 0, F.concat(head, rest(F.array(text).alias("article"))))
+        .when(doc % 19 == 0, F.concat(F.lit('{"id":"doc '), doc.cast("string"), F.lit('",'), rest(text.alias("article"))))
+        .when(doc % 23 == 0, F.concat(F.lit("["), whole, F.lit("]")))
+        .when(doc % 29 == 0, F.concat(head, rest(text.alias("article"))))
+        .otherwise(whole)
+    )
+    path = scratch_path(spark, "lines")
+    documents(spark, folder).select(line).write.text(path)
+    return path
+
 
+def _raw_id() -> Column:
+    """The key that stands in a kept line, though the line could not be read."""
+    return F.regexp_extract("raw", r'"id":"?(?:doc )?(\d+)', 1).cast("long").alias("raw_id")
+
+
+def request_files(spark, folder):
+    """Articles from files of JSON lines; broken ones are kept with their line."""
+    checked = check_articles(A.read_articles(spark, _request_lines(spark, folder), "json"))
+    return checked.select("id", _raw_id(), "malformed", F.length("article").alias("article_chars"), "code", "reason")
+
+
+def request_stream(spark, folder):
+    """The same files as a stream, through the whole path."""
+    articles = A.stream_articles(spark, _request_lines(spark, folder), "json")
+    path = scratch_path(spark, "feed")
+    query = start_feed(articles, ["id", "raw"], path, scratch_path(spark, "feed-checkpoint"), FIRST, SECOND)
+    query.awaitTermination()
+    return spark.read.parquet(path).select("id", _raw_id(), "outcome", "code", "reason", "input.word_count")
+
+
+# TF-IDF.
 
 
 def _vocabulary(texts: DataFrame) -> DataFrame:
@@ -576,6 +618,8 @@ QUERIES = {
         raw_precheck_conversations,
         error_messages,
         request_bodies,
+        request_files,
+        request_stream,
         document_vocabulary,
         tfidf_documents,
         indexed_terms,

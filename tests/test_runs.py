@@ -12,6 +12,7 @@ from presscheck.functions.text import tokens
 from presscheck.operators import scorers as S
 from presscheck.operators.scorers import BatchScorer, FallbackScorer, ForestScorer
 from presscheck.operators.validation import check_articles
+from presscheck.plans import queries as Q
 from presscheck.plans import scoring, training
 from presscheck.sources import artefacts
 from presscheck.sources import articles as A
@@ -52,10 +53,41 @@ def as_rows(frame):
 
 
 def test_read_articles_fills_missing_fields(spark, tmp_path):
-    lines = [{"id": 1, "headline": "h"}, {"id": 2, "article": None}, {"id": 3, "article": "a"}]
-    (tmp_path / "in.json").write_text("\n".join(map(json.dumps, lines)))
+    lines = [{"id": 1, "headline": "h"}, {"id": 2}, {"id": 3, "article": "a"}]
+    (tmp_path / "in.json").write_text("\n\n".join(map(json.dumps, lines)))
     rows = A.read_articles(spark, str(tmp_path), "json").orderBy("id").collect()
-    assert [tuple(r) for r in rows] == [(1, "h", ""), (2, "", ""), (3, "", "a")]
+    assert [tuple(r) for r in rows] == [(1, "h", "", False, None), (2, "", "", False, None), (3, "", "a", False, None)]
+    spark.createDataFrame([(4, None)], "id long, article string").write.parquet(str(tmp_path / "t"))
+    assert [tuple(r) for r in A.read_articles(spark, str(tmp_path / "t")).collect()] == [(4, "", "")]
+
+
+BROKEN_LINES = [
+    '{"id":1,"headline":"h"', "no json", '{"headline":7,"article":["x"]}', '{"id":2,"article":null}', '[{"id":3}]',
+    '{"id":"four","article":"a"}', '{"id":5.5,"article":"a"}', '"text"', "null",
+]
+
+
+def test_broken_json_lines_are_kept_and_rejected(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join([*BROKEN_LINES, '{"id":9,"article":"a"}']))
+    rows = check_articles(A.read_articles(spark, str(tmp_path / "in"), "json")).collect()
+    assert {r.raw: r.code for r in rows if r.malformed} == {line: 422 for line in BROKEN_LINES}
+    assert [(r.id, r.article, r.code) for r in rows if not r.malformed] == [(9, "a", 400)]
+    assert {r.raw: r.id for r in rows}['{"id":2,"article":null}'] == 2
+    feed = A.stream_articles(spark, str(tmp_path / "in"), "json")
+    start_feed(feed, ["id", "raw"], str(tmp_path / "out"), str(tmp_path / "c"), Q.FIRST, Q.SECOND).awaitTermination()
+    found = {r.raw: r.code for r in read_rejected(spark, str(tmp_path / "out")).collect()}
+    assert found == {line: 422 for line in BROKEN_LINES} | {None: 400}
+
+
+def test_broken_csv_records_are_kept_and_rejected(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = ["1,h,a", "x,h,a", "2,h,a,more", '3,"h","a, b"', "4"]
+    (tmp_path / "in" / "a.csv").write_text("\n".join(lines))
+    rows = check_articles(A.read_articles(spark, str(tmp_path / "in"), "csv")).collect()
+    assert sorted(r.raw for r in rows if r.malformed) == sorted(["x,h,a", "2,h,a,more", "4"])
+    assert {r.id: r.article for r in rows if not r.malformed} == {1: "a", 3: "a, b"}
+    assert {r.code for r in rows if r.malformed} == {422} and all(r.article == "" for r in rows if r.malformed)
 
 
 def test_parse_requests(spark):
