@@ -171,3 +171,17 @@ def feature_mismatches(saved: DataFrame, current: DataFrame) -> DataFrame:
     return left.join(right, "index", "full_outer").where(
         ~F.col("saved_term").eqNullSafe(F.col("current_term"))
     )
+
+
+def feature_digest(features: DataFrame) -> str:
+    """One short text for an ``(index, term)`` list, the same for equal lists only.
+
+    Each row hashes its index with its term, so two terms that change places change the
+    digest. The hashes are added up, in any order and part by part.
+    """
+    def total(seed: int):
+        mark = F.xxhash64(F.lit(seed), F.col("index").cast("long"), "term").cast("decimal(38,0)")
+        return F.coalesce(F.sum(mark), F.lit(0)).cast("string")
+
+    row = features.agg(F.count(F.lit(1)).cast("string"), total(1), total(2)).head()
+    return ":".join(row)

@@ -265,6 +265,13 @@ ORACLES = {
     + _vocabulary("page", "pages_cleaned", "page_id")
     + " SELECT index, d.term AS saved_term, p.term AS current_term FROM doc_index d "
     "FULL JOIN page_index p USING (index) WHERE d.term IS DISTINCT FROM p.term",
+    "planted_forest": f"""{_DOC_TERMS}, planted AS (
+        SELECT term FROM doc_vocabulary, (SELECT count(*) AS n FROM documents)
+        WHERE 4 * df BETWEEN n AND 3 * n ORDER BY abs(2 * df - n), term LIMIT 1),
+      has AS (SELECT doc_id FROM doc_counts JOIN planted USING (term))
+      SELECT doc_id, (has.doc_id IS NOT NULL)::INT AS label, (has.doc_id IS NULL)::INT::DOUBLE AS fake_probability,
+        (has.doc_id IS NOT NULL)::INT::DOUBLE AS real_probability
+      FROM documents LEFT JOIN has USING (doc_id)""",
     "scorer_b_postprocess": f"""
       WITH logits AS (
         SELECT doc_id, (doc_id * 37 % 2001 - 1000) / 250.0::DOUBLE AS z0,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +15,11 @@ from presscheck.operators import report, tfidf
 from presscheck.operators.contract import result_ok
 from presscheck.operators.decision import final_prediction
 from presscheck.operators.distinct_texts import score_distinct
+from presscheck.operators.forest_table import forest_table, walk
 from presscheck.operators.once import compute_once
 from presscheck.operators.scorers import FEATURES, TERMS, BatchScorer, FallbackScorer
 from presscheck.operators.scores import logits_prediction, prediction
+from presscheck.operators.vectorizer import vectorizer_of
 from presscheck.operators.validation import (
     accepted,
     check_articles,
@@ -276,6 +280,30 @@ def forest_features(spark, folder):
     )
 
 
+def planted_forest(spark, folder):
+    """A forest of one split, fitted on whether a document has a certain term, walked by joins.
+
+    The term is the one that comes nearest to half of the documents; features are the counts
+    of all terms that a quarter to three quarters of them have.
+    """
+    texts = materialise(_cleaned(A.document_articles(documents(spark, folder)), DOC), "texts")
+    counted = tfidf.count_terms(texts, X.tokens(F.col("clean_text")))
+    total = counted.where(F.col("term") == "").select("df").scalar()
+    often = counted.where(F.col("term") != "").where(F.col("df").between(total / 4, total * 3 / 4))
+    index = materialise(tfidf.index_terms(often), "index")
+    planted = index.orderBy(F.abs(2 * F.col("df") - total), "term").head().term
+    terms = X.tokens(F.col("clean_text"))
+    vectorizer = vectorizer_of(index, TERMS, FEATURES)
+    has_term = F.array_contains(TERMS, planted).cast("int").alias("label")
+    vectors = vectorizer.transform(texts.select("doc_id", terms.alias(TERMS))).select("doc_id", has_term, FEATURES)
+    stump = RandomForestClassifier(
+        featuresCol=FEATURES, numTrees=1, maxDepth=1, featureSubsetStrategy="all", bootstrap=False, seed=1
+    ).fit(vectors)
+    weights = tfidf.term_counts(texts, DOC, "clean_text").join(F.broadcast(index.select("index", "term")), "term")
+    weights = weights.select("doc_id", "index", F.col("tf").cast("double").alias("weight"))
+    return walk(texts, DOC, weights, forest_table(spark, PipelineModel([stump])))
+
+
 # Verdicts on scores derived from the keys, in steps of 1/1000.
 
 
@@ -628,6 +656,7 @@ QUERIES = {
         scorer_b_postprocess,
         batch_model_scores,
         forest_features,
+        planted_forest,
         decide_documents,
         verdict_quality,
         scored_once,

@@ -192,11 +192,6 @@ def test_forest_round_trip_and_checks(spark, labelled, fitted, tmp_path):
         artefacts.load_forest(spark, str(tmp_path / "nothing"))
 
 
-def test_bare_model_without_feature_list(spark, fitted, tmp_path):
-    fitted[0].model.save(str(tmp_path / "bare" / "model"))
-    assert isinstance(artefacts.load_forest(spark, str(tmp_path / "bare")), ForestScorer)
-
-
 def test_linear_round_trip_and_fallback(spark, labelled, fitted, tmp_path):
     artefacts.save_linear(fitted[1], str(tmp_path / "linear"))
     loaded = artefacts.load_linear(str(tmp_path / "linear"))
@@ -361,8 +356,9 @@ def test_a_run_without_a_forest_is_refused(spark, tmp_path):
 
 
 def test_a_broken_second_model_is_an_error(spark, tmp_path):
-    (tmp_path / "linear" / "model" / "metadata").mkdir(parents=True)
-    (tmp_path / "linear" / "model" / "metadata" / "part-0").write_text("{")
+    (tmp_path / "linear" / "versions" / "v" / "model" / "metadata").mkdir(parents=True)
+    (tmp_path / "linear" / "versions" / "v" / "model" / "metadata" / "part-0").write_text("{")
+    artefacts._publish(spark, str(tmp_path / "linear"), "v", "")
     with pytest.raises(Exception):
         artefacts.load_linear(str(tmp_path / "linear"))
     with pytest.warns(UserWarning, match="fall back"):
