@@ -1,14 +1,18 @@
 """Removal of runs of lines that an earlier document, or an earlier place, has too.
 
-Every window of ``RUN`` consecutive lines is stored. The smallest hash of its lines (the
-last of equals) is its fingerprint. Windows with equal lines have equal fingerprints, so
-those whose fingerprint occurs once are dropped first; nothing else depends on it. The
-others are grouped by their lines, known by 128 bits of hash, and every window of a group
-but the first is a match. Matches that overlap or adjoin are merged into one run, and the
-runs so found are deleted. A line of ``LONG`` bytes or more is a
-run by itself, and so are one line or fewer than ``RUN`` lines with ``WORDS`` words or
-more in all. Words end at white space. Runs of lines that all are runs by themselves are
-left out, as their lines match whenever they do.
+Winnowing: of every window of ``RUN`` lines the line of the smallest hash (the last of equals)
+is selected as its fingerprint, and only selected lines are stored, once each, with the hashes
+of the lines around them. A repeated run of ``RUN`` lines holds a whole window, so the same line
+of it is selected in both places. Selected lines are joined on their hash; those that occur
+once drop out. From each of the others the match is extended up and down over the lines
+around it: every run through it that is long enough is known by 128 bits of the hashes of its lines, and all but its first
+place are matches. Matches that overlap or adjoin grow into one run, and the runs so found are
+deleted.
+
+A line of ``LONG`` bytes or more is a run by itself, and so are one line or fewer than ``RUN``
+lines with ``WORDS`` words or more in all; such windows select a line as well. Words end at
+white space. Runs of lines that all are runs by themselves are left out, as their lines match
+whenever they do.
 
 Order is that of the key, then of the line. Windows are judged on the input, so what is
 deleted in one place still counts for another. Null and empty texts have one empty line
@@ -46,7 +50,6 @@ def _windows(lines: Column, run: int, long: int, words: int) -> Column:
             F.lit(count).alias("lines"),
             F.xxhash64(F.lit(count), *[x["a"] for x in own]).alias("key1"),
             F.xxhash64(F.lit(count), *[x["b"] for x in own]).alias("key2"),
-            least["hash"].alias("print"),
             (-least["back"]).alias("print_line"),
         )
 
@@ -69,6 +72,26 @@ def _windows(lines: Column, run: int, long: int, words: int) -> Column:
     return F.concat(*[runs(size) for size in range(1, run + 1)])
 
 
+def _selected(lines: Column, run: int, long: int, words: int) -> Column:
+    """The lines that a window selects, each with the lines around it that share a window with it."""
+    chosen = F.array_distinct(F.transform(_windows(lines, run, long, words), lambda w: w["print_line"]))
+
+    def position(line: Column) -> Column:
+        first = F.greatest(line - (run - 1), F.lit(0))
+        around = F.slice(lines, first + 1, line - first + run)
+        return F.struct(line.alias("at"), F.get(lines, line)["a"].alias("print"), first.alias("first"), around.alias("around"))
+
+    return F.transform(chosen, position)
+
+
+def _extended(run: int, long: int, words: int) -> Column:
+    """The runs through a selected line for which it is the fingerprint, as far as the lines around it go."""
+    through = F.filter(
+        _windows(F.col("around"), run, long, words), lambda w: w["print_line"] + F.col("first") == F.col("at")
+    )
+    return F.transform(through, lambda w: w.withField("line", w["line"] + F.col("first")))
+
+
 def repeated_runs(
     documents: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, long: int = LONG, words: int = WORDS
 ) -> DataFrame:
@@ -81,14 +104,16 @@ def repeated_runs(
     )
     hashed = documents.where(F.col(text).isNotNull()).select(F.col(key).alias("doc"), F.col(text).alias("text"))
     hashed = compute_once(hashed, {"lines": F.transform(F.split("text", "\n", -1), line)})
-    windows = materialise(hashed.select("doc", F.inline(_windows(F.col("lines"), run, long, words))), "windows")
+    selected = materialise(hashed.select("doc", F.inline(_selected(F.col("lines"), run, long, words))), "selected")
 
-    # A fingerprint that occurs once has no match. Windows that share one count it once.
-    prints = windows.groupBy("print").agg(
-        F.min(F.struct("doc", "print_line")).alias("low"), F.max(F.struct("doc", "print_line")).alias("high")
+    # A fingerprint in one place has no match.
+    prints = selected.groupBy("print").agg(
+        F.min(F.struct("doc", "at")).alias("low"), F.max(F.struct("doc", "at")).alias("high")
     )
     shared = prints.where("low != high").select("print")
-    likely = materialise(windows.join(shared, "print").select("doc", "line", "lines", "key1", "key2"), "windows")
+    joined = compute_once(selected.join(shared, "print"), {"runs": _extended(run, long, words)})
+    likely = joined.select("doc", F.inline("runs")).select("doc", "line", "lines", "key1", "key2")
+    likely = materialise(likely, "runs")
     place = F.struct("doc", "line")
     firsts = likely.groupBy("key1", "key2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     matches = likely.join(firsts.where("first != last"), ["key1", "key2"]).where(place != F.col("first"))

@@ -179,11 +179,13 @@ QUERIES = {
 _OP4 = r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
 win AS (
-  SELECT doc_id, i, 3 AS n, array_to_string(l[i:i + 2], chr(10)) AS k
-  FROM (SELECT doc_id, l, unnest(generate_series(1, len(l) - 2)) AS i FROM d)
-  UNION ALL
-  SELECT doc_id, i, 1, l[i] FROM (SELECT doc_id, l, unnest(generate_series(1, len(l))) AS i FROM d)
-  WHERE octet_length(encode(l[i])) >= 200),
+  SELECT doc_id, i, n, array_to_string(w, chr(10)) AS k
+  FROM (
+    SELECT doc_id, i, n, l[i:i + n - 1] AS w
+    FROM (SELECT doc_id, l, unnest(generate_series(1, len(l))) AS i FROM d), (VALUES (1), (2), (3)) sizes(n)
+    WHERE i + n - 1 <= len(l))
+  WHERE n = 3 OR len(regexp_extract_all(array_to_string(w, chr(10)), '[^ \t-\r]+')) >= 50
+    OR n = 1 AND octet_length(encode(w[1])) >= 200),
 seen AS (SELECT *, row_number() OVER (PARTITION BY n, k ORDER BY doc_id, i) AS r FROM win),
 gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + n - 1)) AS j FROM seen WHERE r > 1),
 runs AS (
