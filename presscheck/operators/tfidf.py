@@ -18,6 +18,10 @@ from presscheck.session import materialise
 BROADCAST_TERMS = 1_000_000
 BROADCAST_BYTES = 200 << 20
 TERM_BYTES = 150
+# Terms with more than one in so many rows are joined where the rows are, and how many the
+# sketch follows that finds them.
+HEAVY_TERMS = 1_000
+SKETCH_TERMS = 20_000
 
 
 def smoothed_idf(documents: Column, document_frequency: Column) -> Column:
@@ -84,6 +88,18 @@ def _most_frequent(vocabulary: DataFrame) -> Column:
     return power >= lowest
 
 
+def _heavy_terms(rows: DataFrame) -> DataFrame:
+    """``(term)`` for the terms that hold more than a small share of the rows.
+
+    From a sketch of frequent items that tasks fill and Spark merges; it may name a term too
+    many, but misses none with more than ``1 / HEAVY_TERMS`` of the rows. At most ``HEAVY_TERMS`` come back.
+    """
+    sketch = F.expr(f"approx_top_k(term, {HEAVY_TERMS}, {SKETCH_TERMS})")
+    found = rows.agg(F.count(F.lit(1)).alias("n"), sketch.alias("top"))
+    often = found.select("n", F.inline("top")).where(F.col("count") * HEAVY_TERMS > F.col("n"))
+    return often.select(F.col("item").alias("term"))
+
+
 def _attach(rows: DataFrame, vocabulary: DataFrame, wanted: list[str]) -> DataFrame:
     """``rows`` whose ``term`` is known, with the ``wanted`` columns of the vocabulary.
 
@@ -93,8 +109,15 @@ def _attach(rows: DataFrame, vocabulary: DataFrame, wanted: list[str]) -> DataFr
     terms = vocabulary.select("term", *wanted)
     if "df" not in vocabulary.columns:
         bounded = vocabulary.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term") + TERM_BYTES), F.lit(0))).head()
-        small = bounded[0] <= BROADCAST_TERMS and bounded[1] <= BROADCAST_BYTES
-        return rows.join(F.broadcast(terms) if small else terms, "term")
+        if bounded[0] <= BROADCAST_TERMS and bounded[1] <= BROADCAST_BYTES:
+            return rows.join(F.broadcast(terms), "term")
+        # Without frequencies the rows themselves say which terms would fill one task.
+        rows = materialise(rows, "rows")
+        heavy = F.broadcast(materialise(_heavy_terms(rows), "heavy"))
+        common, rare = terms.join(heavy, "term", "left_semi"), terms.join(heavy, "term", "left_anti")
+        return rows.join(F.broadcast(common), "term").unionByName(
+            rows.join(heavy, "term", "left_anti").join(rare, "term")
+        )
     frequent = _most_frequent(vocabulary)
     rare = vocabulary.where(~frequent).select("term", *wanted)
     common = vocabulary.where(frequent).select("term", *wanted)

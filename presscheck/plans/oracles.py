@@ -351,6 +351,9 @@ ORACLES = {
     "run_metrics": f"""{_PAGES} SELECT count(*) AS rows_in, count(*) FILTER (WHERE NOT ({_ACCEPTED})) AS rows_rejected,
       count(*) FILTER (WHERE {_ACCEPTED}) AS rows_scored, 0::BIGINT AS contract_violations,
       count(*) FILTER (WHERE {_ACCEPTED}) AS rows_fallback FROM counted""",
+    "stream_metrics": f"""{_DOCUMENTS} SELECT count(*) AS rows_in, count(*) FILTER (WHERE NOT ({_ACCEPTED})) AS rows_rejected,
+      count(*) FILTER (WHERE {_ACCEPTED}) AS rows_scored, 0::BIGINT AS contract_violations,
+      count(*) FILTER (WHERE {_ACCEPTED}) AS rows_fallback FROM counted""",
     "end_to_end_checks": f"{_DOCUMENTS} SELECT doc_id, word_count, true AS models_coherent, true AS forest_first, "
     f"true AS agreement_right, true AS label_right FROM counted WHERE {_ACCEPTED}",
     "stream_scores": f"""{_RUN} SELECT doc_id,

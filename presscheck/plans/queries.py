@@ -32,7 +32,7 @@ from presscheck.plans import scoring, training
 from presscheck.session import materialise, scratch_path, spread
 from presscheck.sources import articles as A
 from presscheck.sources.results import read_rejected, read_scored
-from presscheck.streaming.feed import start_feed
+from presscheck.streaming.feed import COUNTS, await_feed, read_metrics, start_feed
 
 DOC, PAGE, TURN = ["doc_id"], ["page_id"], ["conv_id", "turn"]
 MIN_DF = 2
@@ -630,6 +630,17 @@ def stream_scores(spark, folder):
     )
 
 
+def stream_metrics(spark, folder):
+    """Metrics of a feed that is stopped after half of its files and started again, added up."""
+    incoming, out, checkpoint, metrics = (scratch_path(spark, n) for n in ("incoming", "feed", "feed-checkpoint", "metrics"))
+    articles = A.document_articles(documents(spark, folder)).withColumnRenamed("doc_id", "id")
+    for half in (0, 1):
+        articles.where(F.pmod("id", F.lit(2)) == half).write.mode("append").parquet(incoming)
+        feed = A.stream_articles(spark, incoming)
+        await_feed(start_feed(feed, ["id"], out, checkpoint, FIRST, FallbackScorer(), metrics=metrics))
+    return read_metrics(spark, metrics).agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -676,5 +687,6 @@ QUERIES = {
         end_to_end_checks,
         training_quality,
         stream_scores,
+        stream_metrics,
     )
 }

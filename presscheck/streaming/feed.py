@@ -2,13 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+import threading
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from presscheck.operators.scorers import Scorer
 from presscheck.plans.scoring import run_counts, score_articles
 
 METRICS_NAME = "presscheck_run"
+COUNTS = ("rows_in", "rows_rejected", "rows_scored", "contract_violations", "rows_fallback")
+BATCH_SCHEMA = ", ".join(f"{c} long" for c in COUNTS) + ", seconds double, ended timestamp"
+
+
+class FeedMetrics(StreamingQueryListener):
+    """Stores one row of run metrics for each batch of a named query.
+
+    A batch has a folder of its own, which is overwritten, so a batch that is run again after
+    a restart counts once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, query_name: str):
+        self.spark, self.path, self.query_name = spark, path, query_name
+        self.run_id, self.ended = None, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.query_name:
+            self.run_id = event.runId
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        counted = (progress.observedMetrics or {}).get(METRICS_NAME)
+        # A trigger without new files repeats no batch and has nothing to count.
+        if progress.name == self.query_name and counted is not None and counted.rows_in:
+            store_batch(self.spark, self.path, progress.batchId, counted, progress.batchDuration / 1000.0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.runId == self.run_id:
+            self.ended.set()
+
+
+def store_batch(spark: SparkSession, path: str, batch: int, counted, seconds: float) -> None:
+    row = (*[int(counted[c]) for c in COUNTS], seconds)
+    frame = spark.createDataFrame([row], BATCH_SCHEMA.rpartition(",")[0]).withColumn("ended", F.current_timestamp())
+    frame.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """One row of metrics for each batch, with its number in ``batch``."""
+    return spark.read.schema(f"{BATCH_SCHEMA}, batch long").parquet(path)
+
+
+def missing_batches(metrics: DataFrame) -> DataFrame:
+    """Numbers up to the last batch that have no row.
+
+    Batches count up from 0, so these are batches without rows, or such whose driver died
+    between the batch's end and its metrics.
+    """
+    last = metrics.agg(F.max("batch").alias("last"))
+    numbers = last.select(F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("batch"))
+    return numbers.join(metrics.select("batch"), "batch", "left_anti")
+
+
+_listeners: dict[str, FeedMetrics] = {}
 
 
 def start_feed(
@@ -19,20 +80,41 @@ def start_feed(
     first: Scorer,
     second: Scorer,
     trigger: dict | None = None,
+    metrics: str | None = None,
 ) -> StreamingQuery:
     """Scores a streaming frame with the batch operators and appends to ``path``.
 
     Scored and rejected rows go to two partitions of one file sink, which records
     each batch once, so a restart neither drops nor repeats rows. Records are
-    independent; there is no state. Counters appear in the query's progress.
+    independent; there is no state. Counters appear in the query's progress, and with
+    ``metrics``, a folder, as one stored row for each batch.
     """
     results = score_articles(articles, keys, first, second).observe(METRICS_NAME, *run_counts())
-    return (
+    writer = (
         results.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy("outcome")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    if metrics is None:
+        return writer.start()
+    spark = articles.sparkSession
+    listener = FeedMetrics(spark, metrics, f"presscheck-{uuid.uuid4().hex}")
+    spark.streams.addListener(listener)
+    query = writer.queryName(listener.query_name).start()
+    _listeners[query.runId] = listener
+    return query
+
+
+def await_feed(query: StreamingQuery, timeout: float = 60.0) -> None:
+    """Waits for the end of a feed and of its metrics, which come after it."""
+    try:
+        query.awaitTermination()
+    finally:
+        listener = _listeners.pop(query.runId, None)
+        if listener is not None:
+            if not listener.ended.wait(timeout):
+                raise TimeoutError("the metrics of the feed have not arrived")
+            listener.spark.streams.removeListener(listener)

@@ -319,6 +319,22 @@ def test_tfidf_within_a_byte_budget(spark, monkeypatch, budget):
         assert got == pytest.approx(want)
 
 
+def test_heavy_terms_do_not_fill_one_task(spark, monkeypatch):
+    """A term in every article is joined where it is; what moves is spread evenly. No frequencies are given."""
+    monkeypatch.setattr(tfidf, "BROADCAST_TERMS", 0)
+    rows = [(i, "everywhere", 0.5) for i in range(20_000)] + [(i, f"t{i % 4000}", 0.5) for i in range(20_000)]
+    weights = spark.createDataFrame(rows, "id long, term string, weight double").repartition(6)
+    features = tfidf.index_terms(weights.select("term").where("term <> 't7'").distinct())
+    assert [r.term for r in tfidf._heavy_terms(weights).collect()] == ["everywhere"]
+    joined = tfidf._attach(weights, features.select("index", "term"), ["index"])
+    assert joined.count() == 40_000 - 5
+    moved = joined.where("term <> 'everywhere'").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+    sizes = sorted(r.n for r in moved.collect())
+    assert max(sizes) <= 2 * sizes[len(sizes) // 2]
+    vectors = tfidf.align(weights, ["id"], features.select("index", "term")).collect()
+    assert len(vectors) == 20_000 and {len(v.indices) for v in vectors} == {1, 2}
+
+
 def test_scores_join_back_without_the_text(spark):
     frame = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "b")], "id long, t string")
     got = score_distinct(frame, "t", lambda d: d.withColumn("n", F.length("t")), keep_text=False)

@@ -17,7 +17,7 @@ from presscheck.plans import scoring, training
 from presscheck.sources import artefacts
 from presscheck.sources import articles as A
 from presscheck.sources.results import read_rejected, read_scored
-from presscheck.streaming.feed import METRICS_NAME, start_feed
+from presscheck.streaming.feed import COUNTS, METRICS_NAME, await_feed, missing_batches, read_metrics, start_feed, store_batch
 
 from conftest import SMALL
 
@@ -307,6 +307,34 @@ def test_stream_equals_batch(spark, tables, fitted, tmp_path):
     assert as_rows(spark.read.parquet(out)) == as_rows(batch)
 
 
+def test_stream_metrics_are_stored_once_for_each_batch(spark, tables, tmp_path):
+    feed_path, out, checkpoint, metrics = (str(tmp_path / p) for p in ("feed", "out", "checkpoint", "metrics"))
+    documents = tables["documents"].select(F.col("doc_id").alias("id"), F.col("text").alias("article"))
+
+    def drain():
+        source = A.stream_articles(spark, feed_path, maxFilesPerTrigger=1)
+        await_feed(start_feed(source, ["id"], out, checkpoint, Q.FIRST, Q.SECOND, metrics=metrics))
+
+    documents.where("id % 2 = 0").repartition(2).write.mode("append").parquet(feed_path)
+    drain()
+    first = {r.batch: r.rows_in for r in read_metrics(spark, metrics).collect()}
+    assert len(first) == 2
+    documents.where("id % 2 = 1").repartition(2).write.mode("append").parquet(feed_path)
+    drain()
+    rows = read_metrics(spark, metrics)
+    assert missing_batches(rows).isEmpty()
+    found = {r.batch: r.rows_in for r in rows.collect()}
+    assert sorted(found) == [0, 1, 2, 3] and first.items() <= found.items()
+    batch = scoring.run_batch(A.with_defaults(documents.withColumn("headline", F.lit(""))), ["id"], str(tmp_path / "b"), Q.FIRST, Q.SECOND).head()
+    assert tuple(rows.agg(*[F.sum(c) for c in COUNTS]).head()) == tuple(batch[c] for c in COUNTS)
+    # A batch that runs again takes the place of its row.
+    again = rows.where("batch = 3").head()
+    store_batch(spark, metrics, 3, again, 1.0)
+    rows = read_metrics(spark, metrics)
+    assert rows.count() == 4 and rows.agg(F.sum("rows_in")).head()[0] == batch.rows_in
+    assert [r.batch for r in missing_batches(rows.where("batch <> 1")).collect()] == [1]
+
+
 def test_quality(spark):
     counts = spark.createDataFrame(
         [("m", 0, 0, 3), ("m", 0, 1, 1), ("m", 1, 0, 2), ("m", 1, 1, 4), ("none", 1, 1, 5)],
