@@ -13,8 +13,9 @@ pass.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -67,6 +68,41 @@ def text_or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+# Ranges of code points in which NFKC is asked what it keeps; others count as changeable.
+_PLANES = ((0, 0xD800), (0xE000, 0x10000), (0x1F000, 0x1FC00))
+# Where all ranges of kept code points are used, dashes and quotes among them; elsewhere only
+# long ones are, so that the class stays short.
+_COMMON, _LONG = ((0, 0x600), (0x2000, 0x2100)), 200
+
+
+@lru_cache(1)
+def nfkc_changeable() -> str:
+    """A class of all characters by which NFKC may change a text, and a few more.
+
+    A text changes only if it has a character that does by itself, one that is put in order
+    or one that joins the character before it. The class is what is left beside the ranges
+    without any of these.
+    """
+    asked = [c for low, high in _PLANES for c in range(low, high)]
+    joins = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # the later parts of Hangul syllables
+    for c in asked:
+        parts = unicodedata.decomposition(chr(c)).split()
+        if len(parts) == 2 and parts[0][0] != "<":
+            joins.add(int(parts[1], 16))
+    kept: list[list[int]] = []
+    for c in asked:
+        char = chr(c)
+        if c in joins or unicodedata.combining(char) or unicodedata.normalize("NFKC", char) != char:
+            continue
+        if kept and kept[-1][1] == c - 1:
+            kept[-1][1] = c
+        else:
+            kept.append([c, c])
+    used = [(a, b) for a, b in kept if b - a >= _LONG or any(low <= a < high for low, high in _COMMON)]
+    # ASCII is told first, so that most characters are not held against all ranges.
+    return r"[[^\x00-\x7f]&&[^" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in used) + "]]"
+
+
 def _decoder():
     # Defined inside a function so that it travels to the workers by value.
     @F.arrow_udf("string")
@@ -88,13 +124,15 @@ def _decoder():
 def decode_entities(c: Column) -> Column:
     """HTML entities decoded once, then NFKC.
 
-    Only texts that can change cross to Python: plain ASCII without ``&`` is sent
-    as null and keeps its JVM value.
+    Only texts that can change cross to Python: one without ``&`` and without a character
+    that NFKC may change is sent as null and keeps its JVM value.
     """
-    changed = bind(
-        c, lambda t: F.when((F.octet_length(t) != F.length(t)) | t.contains("&"), t)
-    )
-    return F.coalesce(_decoder()(changed), c)
+    return F.coalesce(_decoder()(bind(c, lambda t: F.when(can_change(t), t))), c)
+
+
+def can_change(t: Column) -> Column:
+    """False for texts that decoding and NFKC leave as they are; nearly all others are true."""
+    return t.contains("&") | ((F.octet_length(t) != F.length(t)) & t.rlike(nfkc_changeable()))
 
 
 def remove_tags(c: Column) -> Column:

@@ -3,11 +3,14 @@ import random
 import re
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from presscheck.functions import text as X
 
+from conftest import SMALL
+
 # Each step restated with Python's own re, html and unicodedata.
 # The patterns of the contract, restated.
 STEPS = {
@@ -189,3 +192,27 @@ def test_null_reads_as_empty(spark):
 def test_hostile_texts_finish(spark, text, want):
     frame = spark.createDataFrame([(text,)], "t string")
     assert frame.select(X.build_news_text(F.col("t"), F.lit(""))).first()[0] == want
+
+
+# What crosses to Python.
+
+
+def test_no_code_point_that_changes_stays_in_the_jvm(spark):
+    """All code points by themselves, and 100,000 random pairs and triples of telling ones."""
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    generator = random.Random(8)
+    telling = [c for c in points if unicodedata.combining(c) or unicodedata.decomposition(c) or ord(c) < 0x250]
+    telling += [chr(c) for c in (*range(0x1100, 0x1200), *range(0xAC00, 0xAC40), 0x9BE, 0xB57, 0x3099, 0x1F600)]
+    runs = ["".join(generator.choices(telling, k=generator.choice([2, 2, 3]))) for _ in range(100_000)]
+    table = pa.table({"t": pa.array(points + runs, pa.string())})
+    kept = spark.createDataFrame(table).where(~X.can_change(F.col("t"))).toArrow()["t"].to_pylist()
+    assert all(unicodedata.normalize("NFKC", t) == t for t in kept)
+    assert len(kept) > 50_000 and {"é", "ß", "日", "—", "😀", "д"} <= set(kept)
+
+
+def test_few_texts_cross_to_python(spark):
+    """Accented letters alone are no reason; measured on the documents."""
+    texts = spark.read.parquet(f"{SMALL}/documents.parquet").select("text")
+    beyond_ascii = texts.where("octet_length(text) <> length(text)").count()
+    crossing = texts.where(X.can_change(F.col("text"))).count()
+    assert beyond_ascii > 40 and crossing < 0.2 * beyond_ascii
