@@ -44,9 +44,8 @@ from pyspark.sql.types import DataType, StructType
 from presscheck.llm.tables import scratch_path, share, shared, slices, text_bytes
 from presscheck.llm.words import Words, lower_table, mix, not_space
 
-# Bytes of text per bucket of pairs, and the most buckets.
+# Bytes of text per bucket. Buckets grow in number only, so a task holds as much at any size.
 BUCKET_BYTES = 16 << 20
-MAX_BUCKETS = 4096
 # Tokens that a task counts before it deals out pairs.
 _FLUSH = 4_000_000
 _FLUSH_TRIPLES = 2_500_000
@@ -55,7 +54,7 @@ ORDER = 3
 END, START = np.uint64(1), np.uint64(2)
 _BITS = np.uint64(48)
 WORD_FIELDS = ("occurs", "after", "stands", "before1", "before2", "before3", "middle", "middle1", "middle2", "middle3")
-OUT = "struct<n_tokens:long,n_known:long,base_score:double,score:double,trigram_score:double>"
+OUT = "struct<n_tokens:long,n_known:long,base_score:double,score:double,bigram_score:double>"
 
 
 def _tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,15 +105,15 @@ def _from_six_bytes(packed: bytes) -> np.ndarray:
 
 
 def _pack_counts(counts: np.ndarray) -> bytes:
-    """A byte for each count, and then four for each that is 255 or more."""
-    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u4").tobytes()
+    """A byte for each count, and then eight for each that is 255 or more."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u8").tobytes()
 
 
 def _unpack_counts(packed: list[bytes], sizes: list[int]) -> np.ndarray:
     out = []
     for data, n in zip(packed, sizes):
         counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
-        counts[counts == 255] = np.frombuffer(data, "<u4", offset=n)
+        counts[counts == 255] = np.frombuffer(data, "<u8", offset=n)
         out.append(counts)
     return np.concatenate(out)
 
@@ -263,7 +262,7 @@ def _sum_triples(folder: str, buckets: int):
             # Two tokens that occur together once have one triple.
             contexts, stands, *kinds = _summed(_pair_hash(v[whole], u[whole]), count[whole], *_kinds(count[whole]))
             _store(folder, f"contexts-{bucket}", contexts[stands > 1])
-            _store(folder, f"kinds-{bucket}", np.column_stack(kinds)[stands > 1].astype(np.uint32))
+            _store(folder, f"kinds-{bucket}", np.column_stack(kinds)[stands > 1].astype(np.int64))
             del contexts, stands, kinds, v
             pairs = _pair_hash(u, w)
             order = np.argsort(pairs, kind="stable")
@@ -317,7 +316,7 @@ def _sum_pairs(folder: str, buckets: int):
             edges = np.searchsorted(_bucket_of_word(words, buckets), np.arange(buckets + 1))
             for to, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
                 if b > a:
-                    packed = [_six_bytes(words[a:b]), np.stack([f[a:b] for f in fields]).astype("<u4").tobytes()]
+                    packed = [_six_bytes(words[a:b]), _pack_counts(np.concatenate([f[a:b] for f in fields]))]
                     arrays = [pa.array([to], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
                     arrays.append(pa.array([seen], pa.list_(pa.int64())))
                     yield pa.RecordBatch.from_arrays(arrays, ["bucket", "words", "fields", "seen"])
@@ -330,8 +329,9 @@ def _sum_words(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_bucket(batches):
             words = _from_six_bytes(b"".join(r["words"] for r in rows))
-            parts = [np.frombuffer(r["fields"], "<u4").reshape(len(WORD_FIELDS), -1) for r in rows]
-            fields = np.concatenate(parts, axis=1).astype(np.int64)
+            sizes = [len(WORD_FIELDS) * len(r["words"]) // 6 for r in rows]
+            parts = [_unpack_counts([r["fields"]], [n]).reshape(len(WORD_FIELDS), -1) for r, n in zip(rows, sizes)]
+            fields = np.concatenate(parts, axis=1)
             words, *fields = _summed(words, *fields)
             _store(folder, f"words-{bucket}", words)
             _store(folder, f"fields-{bucket}", np.column_stack(fields).astype(np.int64))
@@ -408,7 +408,7 @@ class Model:
         """How many triples of count 1, 2 and more follow each of the sorted pairs that occur more than once."""
         out = np.zeros((len(keys), 3), np.int64)
         for bucket, part, at, known in self._find("contexts", keys, _bucket_of_pair(keys, self.buckets)):
-            stored = np.memmap(f"{self.folder}/kinds-{bucket}", np.uint32, "r").reshape(-1, 3)
+            stored = np.memmap(f"{self.folder}/kinds-{bucket}", np.int64, "r").reshape(-1, 3)
             out[part][known] = stored[at[known]]
         return out
 
@@ -458,17 +458,17 @@ class Model:
         logs = np.log10(of_pairs(times, self.pair_discounts, 2))
         base = np.log10((occurs + 1) / (self.tokens + self.types + 1))[of_token]
         add = lambda x: np.add.reduceat(x, first[:-1]) if len(first) > 1 else np.zeros(0)
-        triple_logs = None
+        pair_score = score = add(logs)
         if self.order == 3:
             lefts = self.counts("pairs", "lefts", pairs, place)[of_pair]
             middle = of_pairs(lefts, self.middle_discounts, 6)
-            triple_logs = np.log10(self._triples(tokens, before, first, times, middle))
+            score = add(np.log10(self._triples(tokens, before, first, times, middle)))
         return {
             "n_tokens": np.diff(first),
             "n_known": add((occurs > 0)[of_token].astype(np.int64)),
             "base_score": add(base),
-            "score": add(logs),
-            "trigram_score": np.full(len(first) - 1, np.nan) if triple_logs is None else add(triple_logs),
+            "score": score,
+            "bigram_score": pair_score,
         }
 
 
@@ -491,7 +491,7 @@ def fit(texts: DataFrame, text: str = "text", folder: str | None = None, order:
     os.makedirs(folder, exist_ok=True)
     known = texts.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = known.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
-    buckets = min(max(1, -(-size // BUCKET_BYTES)), MAX_BUCKETS)
+    buckets = max(1, -(-size // BUCKET_BYTES))
     if order == 2:
         pairs = known.mapInArrow(_count_pairs(buckets), "bucket int, before binary, token binary, times binary")
     else:
@@ -528,10 +528,10 @@ def _scorer(model, text: str, carried: list[str], out: str):
 def score(documents: DataFrame, model: Model, text: str = "text", out: str = "lm", carry: list[str] | None = None) -> DataFrame:
     """The ``carry`` columns (all, unless given) and the struct ``out``.
 
-    ``n_known`` counts the tokens that the model has seen, ``trigram_score`` is
-    the base-ten logarithm of the text's probability at order three, null for a model of
-    order two, ``score`` that at order two and ``base_score`` that of single tokens with one
-    added to each count. A column named ``out`` is replaced.
+    ``n_known`` counts the tokens that the model has seen, ``score`` is the base-ten logarithm
+    of the text's probability at the order of the model, ``bigram_score`` that at order two
+    from the same counts, and ``base_score`` that of single tokens with one added to each
+    count. A column named ``out`` is replaced.
     """
     carry = [c for c in (documents.columns if carry is None else carry) if c != out]
     schema = StructType(documents.select(*carry).schema.fields).add(out, DataType.fromDDL(OUT))
@@ -541,6 +541,5 @@ def score(documents: DataFrame, model: Model, text: str = "text", out: str = "lm
 
 
 def perplexity(out: str = "lm") -> F.Column:
-    """Per token, from the struct of :func:`score`, at the order of the model."""
-    score = F.coalesce(F.col(out)["trigram_score"], F.col(out)["score"])
-    return F.pow(F.lit(10.0), -score / F.col(out)["n_tokens"])
+    """Per token, from the struct of :func:`score`."""
+    return F.pow(F.lit(10.0), -F.col(out)["score"] / F.col(out)["n_tokens"])

@@ -133,7 +133,7 @@ def op10_language_model(spark, folder):
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         "lm.base_score",
         "lm.score",
-        "lm.trigram_score",
+        "lm.bigram_score",
     )
 
 

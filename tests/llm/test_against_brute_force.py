@@ -319,8 +319,8 @@ def test_kneser_ney(spark, texts, monkeypatch):
         assert (r.held_out, r.n_tokens, r.train_tokens) == (held_out[r.doc_id], len(own), total)
         assert r.n_known == sum(count[w] > 0 for w in own)
         assert r.base_score == pytest.approx(sum(math.log10((count[w] + 1) / (total + types + 1)) for w in own))
-        assert r.score == pytest.approx(sum(math.log10(p(u, w)) for u, w in zip([0, *own], own)))
-        sums[r.held_out] += r.score - r.base_score
+        assert r.bigram_score == pytest.approx(sum(math.log10(p(u, w)) for u, w in zip([0, *own], own)))
+        sums[r.held_out] += r.bigram_score - r.base_score
     assert sums[True] > 0 and sums[False] > 0
 
 
