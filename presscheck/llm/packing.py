@@ -1,20 +1,26 @@
-"""Packing documents into training sequences by cutting them at powers of two.
-
-A sequence holds ``capacity`` tokens, a power of two. Documents are cut into pieces
-of ``capacity / 2^k`` tokens: whole sequences first, then the binary digits of what
-is left, so that a document shorter than a sequence lies in several. Class k takes the pieces of one such length, and each of its sequences takes
-exactly ``2^k`` of them, so a sequence is full to the last token whatever documents it
-holds. Every worker fills its own sequences; nothing is shuffled. What a worker has
-left in a class goes into sequences of a power of two of pieces. These are shorter
-than ``capacity`` but of a power of two of tokens, and need no padding either.
-
-A worker holds less than one sequence for each class. Null and empty texts have the
-end id as their only token. Repeated rows are packed each. An empty table gives no
+"""Harmonic packing of documents into training sequences.
+
+Lengths fall into reciprocal classes: class k has those above ``capacity / (k + 1)`` and up to
+``capacity / k``, so that any k documents of it fit into one sequence. Every worker fills its
+own bins; a bin of class k takes exactly k whole documents, whichever come next, and nothing
+is shuffled. What a bin has left over is filled with pieces of documents that are longer than
+a sequence and must be cut anyway. Only where a worker sees too few of these is a shorter document
+cut up, that of the bin with the most room; bins wait for a while before that.
+
+At its end a worker puts the documents of unfinished bins together, first fit by falling
+length, and fills these likewise. What is left then is less than one sequence and is cut at
+the binary digits of its length, as a sequence of a power of two needs no padding. So there is
+none at all.
+
+A worker holds less than one bin for each class, a bounded number of waiting bins and pieces
+for a bounded number of sequences, and one document. Null and empty texts have the end id as
+their only token. Texts of any length are cut as above. Repeated rows are packed each. An empty table gives no
 sequences. Columns besides key and text play no part.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,13 +39,92 @@ SEQUENCES = (
 _BATCH = 1 << 19
 
 
-def cuts(length: int, capacity: int) -> Iterator[tuple[int, int]]:
-    """``(start, size)`` of the pieces of a document; sizes are powers of two and fall."""
-    start = 0
-    while start < length:
-        size = min(capacity, 1 << ((length - start).bit_length() - 1))
-        yield start, size
-        start += size
+# A document or a part of it: key, start in the document, length, length of the document, ids.
+Piece = tuple[int | None, int, int, int, bytes]
+# Bins that wait for pieces, and sequences for which pieces are kept ready.
+WAITING, READY = 256, 32
+
+
+class Bins:
+    """The open bins of one worker. Its methods give sequences as lists of pieces."""
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.open: dict[int, list[Piece]] = {}
+        self.waiting: list[tuple[int, list[Piece]]] = []
+        self.pieces: deque[Piece] = deque()
+        self.ready = 0
+
+    def add(self, document: Piece) -> Iterator[list[Piece]]:
+        length = document[2]
+        if length > self.capacity:
+            self._cut_up([document])
+        else:
+            count = self.capacity // length
+            bin_ = self.open.setdefault(count, [])
+            bin_.append(document)
+            if len(bin_) < count:
+                return
+            self.waiting.append((self._room(bin_), self.open.pop(count)))
+        if len(self.waiting) > WAITING and self.ready < min(b[0] for b in self.waiting):
+            self._cut_up(self.waiting.pop(max(range(len(self.waiting)), key=lambda i: self.waiting[i][0]))[1])
+        yield from self._fill()
+        while self.ready > READY * self.capacity:
+            yield self._take(self.capacity)
+
+    def finish(self) -> Iterator[list[Piece]]:
+        rest = sorted((d for bin_ in self.open.values() for d in bin_), key=lambda d: -d[2])
+        self.open.clear()
+        fitted: list[list] = []
+        for document in rest:
+            place = next((b for b in fitted if b[0] >= document[2]), None)
+            if place is None:
+                fitted.append(place := [self.capacity, []])
+            place[0] -= document[2]
+            place[1].append(document)
+        self.waiting += [(room, bin_) for room, bin_ in fitted]
+        self.waiting.sort(key=lambda b: -b[0])
+        while self.waiting:
+            yield from self._fill()
+            if self.waiting:
+                # The bin with the most room becomes pieces for the others.
+                self._cut_up(self.waiting.pop(0)[1])
+        while self.ready >= self.capacity:
+            yield self._take(self.capacity)
+        while self.ready:
+            yield self._take(1 << (self.ready.bit_length() - 1))
+
+    def _room(self, bin_: list[Piece]) -> int:
+        return self.capacity - sum(d[2] for d in bin_)
+
+    def _cut_up(self, documents: list[Piece]) -> None:
+        self.pieces.extend(documents)
+        self.ready += sum(d[2] for d in documents)
+
+    def _fill(self) -> Iterator[list[Piece]]:
+        """The waiting bins for which there are pieces enough, those with least room first."""
+        if not self.waiting or self.ready < min(self.waiting, key=lambda b: b[0])[0]:
+            return
+        still = []
+        for room, bin_ in sorted(self.waiting, key=lambda b: b[0]):
+            if room <= self.ready:
+                yield bin_ + self._take(room)
+            else:
+                still.append((room, bin_))
+        self.waiting = still[::-1]
+
+    def _take(self, length: int) -> list[Piece]:
+        """Pieces of ``length`` ids in all, the first ones."""
+        taken = []
+        self.ready -= length
+        while length:
+            key, start, size, total, ids = self.pieces.popleft()
+            own = min(size, length)
+            taken.append((key, start, own, total, ids[: 4 * own]))
+            if own < size:
+                self.pieces.appendleft((key, start + own, size - own, total, ids[4 * own :]))
+            length -= own
+        return taken
 
 
 class _Output:
@@ -84,23 +169,19 @@ def _packer(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, True).encode
         out = _Output(TaskContext.get().partitionId() << 33)
-        open_: dict[int, list[tuple]] = {}
+        bins = Bins(capacity)
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 keys = part["doc_id"].to_pylist()
                 for key, ids in zip(keys, encode(part["text"].to_pylist())):
-                    total = len(ids) // 4
-                    for start, size in cuts(total, capacity):
-                        waiting = open_.setdefault(size, [])
-                        waiting.append((key, start, size, total, ids[4 * start : 4 * (start + size)]))
-                        if len(waiting) * size == capacity:
-                            out.add(waiting)
-                            open_[size] = []
+                    for sequence in bins.add((key, 0, len(ids) // 4, len(ids) // 4, ids)):
+                        out.add(sequence)
                     if out.size >= _BATCH:
                         yield out.batch()
-        for size, waiting in open_.items():
-            for start, count in cuts(len(waiting), capacity):
-                out.add(waiting[start : start + count])
+        for sequence in bins.finish():
+            out.add(sequence)
+            if out.size >= _BATCH:
+                yield out.batch()
         if out.ids:
             yield out.batch()
 

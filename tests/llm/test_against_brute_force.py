@@ -193,10 +193,55 @@ def test_packing_query(spark, texts):
     assert set(pieces) == set(ids)
 
 
-@given(st.integers(1, 100_000))
-def test_cuts(length):
-    cuts = list(packing.cuts(length, 2048))
-    assert sum(n for _, n in cuts) == length and all(n & (n - 1) == 0 and n <= 2048 for _, n in cuts)
+def packed(lengths, capacity=2048):
+    """The sequences of one worker, with ids that tell document and place."""
+    bins = packing.Bins(capacity)
+    ids = [np.arange(n, dtype="<u4") + 1_000_000 * (d + 1) for d, n in enumerate(lengths)]
+    out = [s for d, n in enumerate(lengths) for s in bins.add((d, 0, n, n, ids[d].tobytes()))]
+    out += bins.finish()
+    seen = defaultdict(list)
+    for sequence in out:
+        used = sum(p[2] for p in sequence)
+        assert used == capacity or used < capacity and used & (used - 1) == 0
+        for d, start, n, total, own in sequence:
+            assert total == lengths[d] and own == ids[d][start : start + n].tobytes()
+            seen[d].append((start, n))
+    for d, n in enumerate(lengths):
+        end = 0
+        for start, size in sorted(seen[d]):
+            assert start == end and size > 0
+            end += size
+        assert end == n
+    return out, seen
+
+
+@given(st.lists(st.one_of(st.integers(1, 40), st.integers(1, 2100), st.integers(1, 9000)), max_size=120))
+def test_packing_of_any_lengths(lengths):
+    packed(lengths)
+
+
+def test_bins_of_a_class_hold_its_number_of_whole_documents():
+    lengths = random.Random(3).choices([n for n in range(1, 2049)], k=3000) + [12_000] * 300
+    random.Random(4).shuffle(lengths)
+    out, seen = packed(lengths)
+    whole = [len(seen[d]) == 1 for d, n in enumerate(lengths) if n <= 2048]
+    assert sum(whole) / len(whole) > 0.97
+    for sequence in out[: len(out) // 2]:
+        kept = [n for _, start, n, total, _ in sequence if n == total <= 2048]
+        if kept:
+            assert len({2048 // n for n in kept}) == 1 and len(kept) == 2048 // kept[0]
+
+
+def test_documents_are_cut_if_none_is_long():
+    lengths = random.Random(5).choices(range(700, 1500), k=3000)
+    out, seen = packed(lengths)
+    assert sum(len(s) == 1 for s in seen.values()) / len(lengths) > 0.6
+
+
+def test_most_documents_stay_whole(spark, texts):
+    ids = whole_ids(texts, "byte_bpe_50k.json")
+    pieces = Counter(r.doc_id for r in QUERIES["op5_packing"](spark, "/root/testdata/sf0.01").where("doc_tokens <= 2048").collect())
+    assert sum(n == 1 for n in pieces.values()) / len(pieces) > 0.9 and ids
 
 
 @pytest.mark.parametrize("delta", [False, True])
