@@ -22,8 +22,9 @@ Equal suffixes of one task are settled there, so a text with very many copies se
 suffix for each task. Everything is judged on the input. Matches do not cross documents.
 
 Null and empty texts have no bytes. Rows without a key stay whole and count for nothing.
-Repeated rows are one document, of which none is earlier; rows with the same key must
-have the same text. Other columns play no part.
+Repeated rows are one document, of which none is earlier; rows with the same key and
+different texts are documents of their own, in the order of a hash of their texts. Very long texts are
+read in stretches. An empty table gives no rows. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from presscheck.llm.tables import materialise, slices, text_bytes
@@ -48,10 +50,13 @@ REACH = LENGTH - GRAM
 WIDTH = 8 + LENGTH + REACH
 # Text per range. A task holds the suffixes of one range, a few times as much.
 RANGE_BYTES = 4 << 20
-# Beyond so many, ranges grow with the input.
-MAX_RANGES = 1 << 14
 # Anchors that a task settles among themselves before it deals them out.
 _FLUSH = 1 << 18
+# Suffixes that a task sorts into one run, and of which it makes bytes at once.
+RUN_SUFFIXES = 1 << 16
+_STEP = 1 << 13
+# Bytes of a text that are searched for anchors at once.
+STRETCH = 4 << 20
 ROWS = "place int, kind int, body binary"
 
 
@@ -133,6 +138,21 @@ def _firsts(doc: np.ndarray, at: np.ndarray, *keys: np.ndarray) -> tuple[np.ndar
     return order[new], order[later]
 
 
+def _stretches(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Row, place, windows before and behind, gram hash and hash of all its windows, of each anchor.
+
+    A long text is read in stretches that share the bytes of a window. An anchor whose windows lie
+    in two stretches comes twice, each time with its part of them.
+    """
+    for begin in range(0, max(1, len(data) - LENGTH + 1), STRETCH):
+        own = data[begin : begin + STRETCH + LENGTH - 1]
+        row, at, low, high, gram = anchors(own, np.clip(bounds - begin, 0, len(own)))
+        before, after = (at - low).astype(np.int8), at - high
+        whole = Spans(own, 1).hashes(low, high + LENGTH) if len(low) else gram
+        whole = mix(whole, 1) + mix((before.astype(np.int64) * 256 + after).astype(np.uint64), 2)
+        yield row, at + begin - bounds[row], before, after, gram, whole
+
+
 def _find_anchors(places: int):
     def flush(found: list[tuple]) -> Iterator[pa.RecordBatch]:
         doc, at, before, after, gram, whole = (np.concatenate(x) for x in zip(*found))
@@ -147,16 +167,13 @@ def _find_anchors(places: int):
         found, size = [], 0
         for batch in batches:
             for part in slices(batch.filter(batch["doc_id"].is_valid()), "text"):
-                data, bounds = text_bytes(part["text"])
-                row, at, low, high, gram = anchors(data, bounds)
-                before, after = (at - low).astype(np.int8), at - high
-                whole = Spans(data, 1).hashes(low, high + LENGTH) if len(low) else gram
-                whole = mix(whole, 1) + mix((before.astype(np.int64) * 256 + after).astype(np.uint64), 2)
-                found.append((part["doc_id"].to_numpy()[row], at - bounds[row], before, after, gram, whole))
-                size += len(at)
-                if size >= _FLUSH:
-                    yield from flush(found)
-                    found, size = [], 0
+                keys = part["doc_id"].to_numpy()
+                for row, *columns in _stretches(*text_bytes(part["text"])):
+                    found.append((keys[row], *columns))
+                    size += len(row)
+                    if size >= _FLUSH:
+                        yield from flush(found)
+                        found, size = [], 0
         if size:
             yield from flush(found)
 
@@ -209,11 +226,14 @@ def _suffixes(data: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.nd
     if len(at):
         gram = Spans(data).hashes(at, at + GRAM)
         out[:, :8] = gram.astype(">u8").view(np.uint8).reshape(-1, 8)
-        forth, back = np.arange(LENGTH), np.arange(REACH)
-        inside = forth < (LENGTH - after)[:, None]
-        out[:, 8 : 8 + LENGTH] = np.where(inside, data[np.minimum(at[:, None] + forth, len(data) - 1)], 0)
-        inside = back < before[:, None]
-        out[:, 8 + LENGTH :] = np.where(inside, data[np.maximum(at[:, None] - 1 - back, 0)], 0)
+    forth, back = np.arange(LENGTH), np.arange(REACH)
+    # The places of all bytes take eight times their room, so a few rows are made at a time.
+    for start in range(0, len(at), _STEP):
+        part = slice(start, start + _STEP)
+        inside = forth < (LENGTH - after[part])[:, None]
+        out[part, 8 : 8 + LENGTH] = np.where(inside, data[np.minimum(at[part, None] + forth, len(data) - 1)], 0)
+        inside = back < before[part, None]
+        out[part, 8 + LENGTH :] = np.where(inside, data[np.maximum(at[part, None] - 1 - back, 0)], 0)
     return out
 
 
@@ -229,9 +249,8 @@ def _shared(rows: np.ndarray) -> np.ndarray:
 def _make_runs(places: int):
     def finish(found: list[tuple]) -> Iterator[pa.RecordBatch]:
         doc, at, before, after, rows = (np.concatenate(x) for x in zip(*found))
-        text = rows.view(f"V{WIDTH}").ravel().tolist()
-        order = np.array(sorted(range(len(text)), key=lambda i: text[i]), np.int64)
-        del text
+        # Strings of one length; those that differ in zeros at their end alone are equal.
+        order = np.argsort(rows.view(f"S{WIDTH}").ravel(), kind="stable")
         doc, at, before, after, rows = doc[order], at[order], before[order], after[order], rows[order]
         shared = _shared(rows)
         new = (shared < WIDTH) | (np.diff(before, prepend=-1) != 0) | (np.diff(after, prepend=-1) != 0)
@@ -250,7 +269,7 @@ def _make_runs(places: int):
             yield _row(place, 0, doc[part], at[part], before[part], after[part], shared.astype(np.uint8), rest)
 
     def one(rows: Iterator[tuple[int, tuple]]) -> Iterator[pa.RecordBatch]:
-        parts, found, wanted = [], [], None
+        parts, found, wanted, size = [], [], None, 0
         for kind, content in rows:
             if kind == 0:
                 parts.append(content)
@@ -267,9 +286,15 @@ def _make_runs(places: int):
             count = np.where(keyed, high - low, 0)
             pick = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
             at = wanted[1][pick] + np.repeat(begin, count)
-            suffixes = _suffixes(data, at, wanted[2][pick], wanted[3][pick])
-            found.append((wanted[0][pick], wanted[1][pick], wanted[2][pick], wanted[3][pick], suffixes))
-        if found and sum(len(x[0]) for x in found):
+            for start in range(0, len(pick), RUN_SUFFIXES):
+                own = pick[start : start + RUN_SUFFIXES]
+                suffixes = _suffixes(data, at[start : start + RUN_SUFFIXES], wanted[2][own], wanted[3][own])
+                found.append((wanted[0][own], wanted[1][own], wanted[2][own], wanted[3][own], suffixes))
+                size += len(own)
+                if size >= RUN_SUFFIXES:
+                    yield from finish(found)
+                    found, size = [], 0
+        if size:
             yield from finish(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,20 +356,39 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[int,
             node >>= 1
 
 
-def _decoded(shared: np.ndarray, rest: bytes) -> list[bytes]:
-    """The strings of a front-coded run."""
-    out, last, at = [], b"", 0
-    for n in shared.tolist():
-        last = last[:n] + rest[at : at + WIDTH - n]
-        at += WIDTH - n
-        out.append(last)
-    return out
+def _decoded(shared: np.ndarray, rest: bytes) -> bytes:
+    """The strings of front-coded runs, one behind the other; a run's first string shares nothing."""
+    count = len(shared)
+    out = np.empty((count, WIDTH), np.uint8)
+    data = np.frombuffer(rest, np.uint8)
+    lengths = WIDTH - shared
+    # Byte c of a string is that of the last string that did not share it.
+    begin = np.cumsum(lengths) - lengths - shared
+    number = np.arange(count)
+    for c in range(WIDTH):
+        last = np.maximum.accumulate(np.where(shared <= c, number, 0))
+        out[:, c] = data[np.minimum(begin[last] + c, len(data) - 1)]
+    return out.tobytes()
 
 
-def _equal_windows(rows, shared, doc, at, before, after) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+class _Strings:
+    """The strings of one run, cut out when they are asked for."""
+
+    def __init__(self, text: bytes, first: int, count: int):
+        self.text, self.first, self.count = text, first, count
+
+    def __len__(self) -> int:
+        return self.count
+
+    def __getitem__(self, i: int) -> bytes:
+        begin = (self.first + i) * WIDTH
+        return self.text[begin : begin + WIDTH]
+
+
+def _equal_windows(text, order, shared, doc, at, before, after) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Documents, starts and ends of the windows that have an equal one before them.
 
-    The entries are in sorted order. A window that begins ``d`` bytes before its anchor
+    The entries are in sorted order, ``order`` says where in ``text``. A window that begins ``d`` bytes before its anchor
     is known by the first ``LENGTH - d`` bytes of the suffix and the last ``d`` before it.
     """
     new = (shared < WIDTH) | (np.diff(before, prepend=-1) != 0) | (np.diff(after, prepend=-1) != 0)
@@ -360,13 +404,14 @@ def _equal_windows(rows, shared, doc, at, before, after) -> Iterator[tuple[np.nd
     first, shared = first[several], shared[several]
     if not len(first):
         return
-    doc, at, before, after, rows = doc[first], at[first], before[first], after[first], rows[first]
+    doc, at, before, after = doc[first], at[first], before[first], after[first]
+    behind = text[order[first], 8 + LENGTH :]
     rank = np.lexsort((at, doc))
     marked = np.zeros((len(first), REACH + 2), bool)
     back = np.zeros(len(first), np.uint64)
     for d in range(REACH + 1):
         if d:
-            back = mix(back, 21) + rows[:, 7 + LENGTH + d].astype(np.uint64)
+            back = mix(back, 21) + behind[:, d - 1].astype(np.uint64)
         key = mix(back, 22) + np.cumsum(shared < 8 + LENGTH - d).astype(np.uint64)
         own = rank[((after <= d) & (d <= before))[rank]]
         _, head, group = np.unique(key[own], return_index=True, return_inverse=True)
@@ -380,26 +425,30 @@ def _equal_windows(rows, shared, doc, at, before, after) -> Iterator[tuple[np.nd
 
 def _merge(places: int):
     def one(place: int, rows: Iterator[tuple[int, tuple]]) -> Iterator[pa.RecordBatch]:
-        columns, runs = [], []
+        columns, coded = [], []
         for kind, content in rows:
             if kind == 2:
                 yield _row(place, 0, *content)
                 continue
             *own, shared, rest = content
             columns.append(own)
-            runs.append((_decoded(shared, rest), shared.tolist()))
-        if runs:
-            begin = np.cumsum([0, *[len(strings) for strings, _ in runs]]).tolist()
+            coded.append((shared, rest))
+        if coded:
+            sizes = [len(shared) for shared, _ in coded]
+            begin = np.cumsum([0, *sizes]).tolist()
+            text = _decoded(np.concatenate([x for x, _ in coded]).astype(np.int64), b"".join([x for _, x in coded]))
+            runs = [(_Strings(text, first, n), x.tobytes()) for first, n, (x, _) in zip(begin, sizes, coded)]
+            coded.clear()
             order, shared = array("q"), array("q")
             for r, i, n in merge_runs(runs):
                 order.append(begin[r] + i)
                 shared.append(n)
-            text = np.frombuffer(b"".join([s for strings, _ in runs for s in strings]), np.uint8)
             runs.clear()
             order, shared = np.array(order), np.array(shared)
             shared[0] = 0
             own = [np.concatenate(x)[order] for x in zip(*columns)]
-            for doc, low, high in _equal_windows(text.reshape(-1, WIDTH)[order], shared, *own):
+            matrix = np.frombuffer(text, np.uint8).reshape(-1, WIDTH)
+            for doc, low, high in _equal_windows(matrix, order, shared, *own):
                 yield from _dealt(0, doc % places, places, doc, low, high)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -459,12 +508,46 @@ def _prime(least: int) -> int:
     return least
 
 
+def _numbered(texts: DataFrame) -> DataFrame | None:
+    """``(number, doc_id, text)`` with a number of its own for each key and text; None if keys differ.
+
+    Numbers follow the key, then a hash of the text. Keys are dealt out by range and numbered
+    there, behind the numbers of the ranges before.
+    """
+    keyed = texts.where("doc_id is not null")
+    if keyed.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return None
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest")
+    ranged = keyed.select("*", digest).repartitionByRange("doc_id").withColumn("range", F.spark_partition_id())
+    ranged = materialise(ranged, "keys")
+    order = W.partitionBy("range").orderBy("doc_id", "digest")
+    # One row for each range.
+    sizes = ranged.select("range", "doc_id", "digest").distinct().groupBy("range").count()
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    numbered = ranged.join(F.broadcast(starts), "range")
+    number = (F.col("start") + F.dense_rank().over(order)).cast("long").alias("number")
+    return materialise(numbered.select(number, "doc_id", "text"), "numbered")
+
+
 def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)``: sizes, maximal removed runs and the
     bytes that remain, of every document."""
     texts = documents.selectExpr(f"cast(`{key}` as long) as doc_id", f"cast(`{text}` as string) as text")
+    numbered = _numbered(texts)
+    if numbered is None:
+        return _without_repeats(texts)
+    # Copies of a row give the same result, so one of them names the key.
+    names = numbered.select("number", F.col("doc_id").alias("key")).distinct()
+    others = texts.where("doc_id is null")
+    found = _without_repeats(numbered.select(F.col("number").alias("doc_id"), "text").unionByName(others))
+    named = found.join(names, found["doc_id"] == names["number"], "left")
+    return named.select(F.col("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def _without_repeats(texts: DataFrame) -> DataFrame:
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
-    places = _prime(min(max(2, -(-size // RANGE_BYTES)), MAX_RANGES))
+    places = _prime(max(2, -(-size // RANGE_BYTES)))
 
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartition(places, "place").sortWithinPartitions("place", "kind")

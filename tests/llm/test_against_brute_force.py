@@ -136,6 +136,40 @@ def test_suffixes_of_periodic_and_patched_texts(spark):
     assert got == covered(docs)
 
 
+@pytest.mark.parametrize("stretch", [100, 157, 1000])
+def test_suffixes_of_texts_in_many_stretches_and_runs(spark, monkeypatch, stretch):
+    for name, value in (("STRETCH", stretch), ("RUN_SUFFIXES", 7), ("_STEP", 3), ("_FLUSH", 50), ("RANGE_BYTES", 2000)):
+        monkeypatch.setattr(suffixes, name, value)
+    rng = random.Random(stretch)
+    passage = "".join(rng.choices("abcdefgh", k=260))
+    docs = []
+    for i in range(40):
+        # One passage in most documents, each time among other bytes, and some of it twice.
+        cut = rng.randrange(120)
+        parts = ["".join(rng.choices("abcdefgh", k=rng.randint(0, 700))), passage[cut:], passage[: 260 - cut], "\x00" * rng.choice([0, 130])]
+        rng.shuffle(parts)
+        docs.append((i, "".join(parts)))
+    rows = suffixes.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in rows} == covered(docs)
+
+
+def test_suffixes_of_repeated_keys(spark):
+    rng = random.Random(6)
+    passage = "".join(rng.choices("abcdefgh", k=300))
+    texts = {2: ["x" * 5, passage, passage[50:] + "y", None], 1: [passage[100:]], 9: ["z" + passage]}
+    rows = [(k, t) for k, own in texts.items() for t in own] + [(2, passage), (None, passage), (None, None)]
+    found = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    # Numbered by key and then by the hash of the text; the copy of a row is the same document.
+    ordered = sorted(((k, t or "") for k, own in texts.items() for t in own), key=lambda r: (r[0], hashlib.sha256(r[1].encode()).hexdigest()))
+    want = covered([(i, t) for i, (_, t) in enumerate(ordered)])
+    named = [(ordered[i][0], *row) for i, row in want.items()]
+    named += [(2, *want[ordered.index((2, passage))])]
+    whole = hashlib.sha256(passage.encode()).hexdigest()
+    named += [(None, 300, 0, 0, whole), (None, 0, 0, 0, hashlib.sha256(b"").hexdigest())]
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in found]
+    assert sorted(got, key=repr) == sorted(named, key=repr)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.binary(min_size=4, max_size=4).map(lambda b: bytes(x & 1 for x in b)), max_size=8), min_size=1, max_size=6))
 def test_merging_runs(runs):
