@@ -227,7 +227,7 @@ def test_packing_query(spark, texts):
     assert set(pieces) == set(ids)
 
 
-def packed(lengths, capacity=2048):
+def packed_bins(lengths, capacity=2048):
     """The sequences of one worker, with ids that tell document and place."""
     bins = packing.Bins(capacity)
     ids = [np.arange(n, dtype="<u4") + 1_000_000 * (d + 1) for d, n in enumerate(lengths)]
@@ -251,13 +251,13 @@ def packed(lengths, capacity=2048):
 
 @given(st.lists(st.one_of(st.integers(1, 40), st.integers(1, 2100), st.integers(1, 9000)), max_size=120))
 def test_packing_of_any_lengths(lengths):
-    packed(lengths)
+    packed_bins(lengths)
 
 
 def test_bins_of_a_class_hold_its_number_of_whole_documents():
     lengths = random.Random(3).choices([n for n in range(1, 2049)], k=3000) + [12_000] * 300
     random.Random(4).shuffle(lengths)
-    out, seen = packed(lengths)
+    out, seen = packed_bins(lengths)
     whole = [len(seen[d]) == 1 for d, n in enumerate(lengths) if n <= 2048]
     assert sum(whole) / len(whole) > 0.97
     for sequence in out[: len(out) // 2]:
@@ -268,7 +268,7 @@ def test_bins_of_a_class_hold_its_number_of_whole_documents():
 
 def test_documents_are_cut_if_none_is_long():
     lengths = random.Random(5).choices(range(700, 1500), k=3000)
-    out, seen = packed(lengths)
+    out, seen = packed_bins(lengths)
     assert sum(len(s) == 1 for s in seen.values()) / len(lengths) > 0.6
 
 
