@@ -2,7 +2,8 @@
 
 A tokenizer spends its time on words it has met before. Texts are therefore cut at
 blanks, where no token crosses, and each piece is encoded once per worker as long as
-it stays in a bounded store. The ids equal those of the whole text.
+it stays in a bounded store. New pieces are encoded many at a time, as one text with a
+mark between them. The ids equal those of the whole text.
 
 Null is an empty text. Strings of special tokens in a text are ordinary text.
 """
@@ -17,6 +18,8 @@ from presscheck.llm.worker import kept
 
 # Pieces that a worker keeps, of about 200 bytes each.
 PIECES = 700_000
+# New pieces that are encoded as one text.
+TOGETHER = 2_000
 END_ID = 1
 MARK = "\x00"
 # A text without these holds single blanks and line ends only, each between two words.
@@ -25,6 +28,9 @@ OTHER_SPACE = re.compile(r"[^\S \n]")
 # Around a single blank or line end between two other characters.
 INNER = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 
+# A piece with a blank at its head at most: a line end before and after it is a token of its own.
+PLAIN = re.compile(r" ?\S+")
+
 # Latin letters and then ASCII punctuation: no token holds some of both.
 PUNCTUATED = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]+)")
 
@@ -53,6 +59,9 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.again: set[str] = set()
         self.end = _packed([END_ID])
+        # The mark is one token, and only its own character makes that token.
+        self.mark = "\n" if blanks else " \x01 "
+        (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
 
     def cut(self, text: str) -> list[str]:
         if not self.blanks:
@@ -80,12 +89,29 @@ class Encoder:
             keep = self.again if 2 * len(self.again) < self.pieces else needed
             self.known = {p: self.known[p] for p in keep | needed if p in self.known}
             self.again = set()
-        new = list(parts.difference(self.known))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, [_packed(e.ids) for e in found]))
+        new = parts.difference(self.known)
+        if self.blanks:
+            plain = [p for p in new if PLAIN.fullmatch(p)]
+        else:
+            plain = [p for p in new if "\x01" not in p]
+        for start in range(0, len(plain), TOGETHER):
+            some = plain[start : start + TOGETHER]
+            self.known.update(zip(some, self._together(some), strict=True))
+        other = list(new.difference(plain))
+        found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
+        self.known.update(zip(other, [_packed(e.ids) for e in found]))
         for piece, m in split.items():
             self.known[piece] = self.known[m[1]] + self.known[m[2]]
 
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces without a mark in them."""
+        import numpy as np
+
+        (found,) = self.tokenizer.encode_batch_fast([self.mark.join(pieces)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        packed, marks = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+        return [packed[a:b] for a, b in zip([0, *[m + 4 for m in marks]], [*marks, len(packed)])]
+
 
 def encoder(path: str, blanks: bool) -> Encoder:
     """The worker's encoder for a vocabulary file."""
