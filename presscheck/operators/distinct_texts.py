@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presscheck.operators.verdict_store import VerdictStore
 from presscheck.session import materialise
 
 HOT_COPIES = 100_000
@@ -20,6 +21,7 @@ def score_distinct(
     score: Callable[[DataFrame], DataFrame],
     hot_copies: int = HOT_COPIES,
     keep_text: bool = True,
+    store: VerdictStore | None = None,
 ) -> DataFrame:
     """``articles`` with the columns that ``score`` adds to a one-column text frame.
 
@@ -32,6 +34,9 @@ def score_distinct(
     their score. The limit rises with the number of rows, so that at most ``MAX_HOT_TEXTS``
     hashes can exceed it and the list is safe to broadcast. ``articles`` is read several
     times; pass a stored table.
+
+    With ``store``, texts that it knows from earlier batches are not scored again, and the
+    others are added to it.
     """
     present = F.col(text).isNotNull()
     one = F.coalesce(F.col("_salts"), F.lit(1))
@@ -51,11 +56,19 @@ def score_distinct(
     hot = F.broadcast(materialise(hot, "hot"))
 
     distinct = articles.where(present).groupBy(digest.alias("_digest")).agg(F.first(text).alias(text))
+    known = None
+    if store is not None:
+        known = store.recall(hashed.select("_digest").where(F.col("_digest").isNotNull()).distinct())
+        if known is not None:
+            distinct = distinct.join(known.select("_digest"), "_digest", "left_anti")
     scored = score(distinct.select(text))
     added = [c for c in scored.columns if c != text]
+    results = scored.select(digest.alias("_digest"), *added)
+    if store is not None:
+        results = store.add(results)
+        results = results if known is None else results.unionByName(known)
     copies = (
-        scored.select(digest.alias("_digest"), *added)
-        .join(hot, "_digest", "left")
+        results.join(hot, "_digest", "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1)))
     )
     # The same for a row whenever its task is repeated. Null texts match nothing

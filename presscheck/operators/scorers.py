@@ -32,6 +32,8 @@ RAW, PROBABILITY, PREDICTED = "raw_", "probability_", "predicted_"
 # The term whose weight is the intercept; it holds a blank, so no text has it.
 INTERCEPT = " "
 _INNER = (TERMS, COUNTS, SCALED, FEATURES, RAW, PROBABILITY, PREDICTED)
+# Texts that are put in order of length together.
+WINDOW = 2048
 
 
 class Scorer(Protocol):
@@ -71,13 +73,31 @@ class LinearScorer:
         return compute_once(scored, {out: logits_prediction(F.col(RAW), self.name)}).drop(*_INNER)
 
 
-def tolerant(load: Callable[[], Callable[[list[str]], np.ndarray]]):
+def tolerant(
+    load: Callable[[], Callable[[list[str]], np.ndarray]],
+    batch_size: int,
+    padded_tokens: int,
+    max_tokens: int = K.MAX_TOKENS,
+):
     """A loader whose model answers NaN where there is no text or it fails.
 
+    The model sees texts of about one length together, as it pads each batch to its longest
+    text: at most ``batch_size`` of them, and at most ``padded_tokens`` with the padding, of
+    which a text has no more than ``max_tokens``. Answers come back in the order of the texts.
     A batch that fails is tried text by text, so one bad text does not take its
     neighbours down. The functions are nested so that they travel by value.
     """
 
+    def batches(sizes: np.ndarray):
+        order = np.argsort(sizes, kind="stable")
+        start = 0
+        while start < len(order):
+            end = start + 1
+            while end < len(order) and end - start < batch_size and (end + 1 - start) * sizes[order[end]] <= padded_tokens:
+                end += 1
+            yield order[start:end]
+            start = end
+
     def run(predict, texts: list[str]) -> np.ndarray:
         try:
             logits = np.asarray(predict(texts), dtype=np.float64)
@@ -97,9 +117,11 @@ def tolerant(load: Callable[[], Callable[[list[str]], np.ndarray]]):
 
         def run_batch(batch: np.ndarray) -> np.ndarray:
             logits = np.full((len(batch), 2), np.nan)
-            filled = [i for i, text in enumerate(batch) if text]
-            if filled and predict is not None:
-                logits[filled] = run(predict, [batch[i] for i in filled])
+            filled = np.array([i for i, text in enumerate(batch) if text], dtype=np.int64)
+            if len(filled) and predict is not None:
+                sizes = np.array([min(len(batch[i].split()), max_tokens) for i in filled])
+                for some in batches(sizes):
+                    logits[filled[some]] = run(predict, [batch[i] for i in filled[some]])
             return logits
 
         return run_batch
@@ -112,7 +134,9 @@ class BatchScorer:
 
     ``load`` is called once per Python worker and returns a function from a list
     of texts to an array of logits ``[fake, real]``. If it fails, the rows get the
-    fallback answer.
+    fallback answer. The texts of a window, which lies within an Arrow batch, go to the
+    model by length; a batch that it sees has ``batch_size`` texts and ``padded_tokens``
+    tokens at most, unless one text alone has more.
     """
 
     def __init__(
@@ -120,14 +144,15 @@ class BatchScorer:
         load: Callable[[], Callable[[list[str]], np.ndarray]],
         name: str = K.SEQUENCE_NAME,
         batch_size: int = 64,
+        padded_tokens: int = 64 * K.MAX_TOKENS,
     ):
-        self.load, self.name, self.batch_size = load, name, batch_size
+        self.load, self.name, self.batch_size, self.padded_tokens = load, name, batch_size, padded_tokens
 
     def score(self, df: DataFrame, text: str, out: str) -> DataFrame:
         logits = predict_batch_udf(
-            tolerant(self.load),
+            tolerant(self.load, self.batch_size, self.padded_tokens),
             return_type=ArrayType(DoubleType()),
-            batch_size=self.batch_size,
+            batch_size=max(WINDOW, self.batch_size),
         )
         scored = df.withColumn(RAW, logits(text_or_empty(F.col(text))))
         return compute_once(scored, {out: logits_prediction(F.col(RAW), self.name)}).drop(RAW)

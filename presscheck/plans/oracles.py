@@ -360,4 +360,9 @@ ORACLES = {
       CASE WHEN {_ACCEPTED} THEN 'scored' ELSE 'rejected' END AS outcome, {_CODE} AS code, {_REASON} AS reason,
       CASE WHEN {_ACCEPTED} THEN word_count END AS word_count, d.label, round(d.confidence, 9) AS confidence, d.selected_model
       FROM counted LEFT JOIN (SELECT doc_id, label, confidence, selected_model FROM decided) d USING (doc_id)""",
+    "stream_scores_once": f"""{_RUN}, results AS (SELECT doc_id,
+        CASE WHEN {_ACCEPTED} THEN 'scored' ELSE 'rejected' END AS outcome, {_CODE} AS code,
+        CASE WHEN {_ACCEPTED} THEN word_count END AS word_count, d.label, round(d.confidence, 9) AS confidence, d.selected_model
+        FROM counted LEFT JOIN (SELECT doc_id, label, confidence, selected_model FROM decided) d USING (doc_id))
+      FROM results UNION ALL SELECT -1 - doc_id, * EXCLUDE (doc_id) FROM results""",
 }

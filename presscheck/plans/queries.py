@@ -32,7 +32,7 @@ from presscheck.plans import scoring, training
 from presscheck.session import materialise, scratch_path, spread
 from presscheck.sources import articles as A
 from presscheck.sources.results import read_rejected, read_scored
-from presscheck.streaming.feed import COUNTS, await_feed, read_metrics, start_feed
+from presscheck.streaming.feed import COUNTS, await_feed, read_metrics, start_feed, start_feed_once
 
 DOC, PAGE, TURN = ["doc_id"], ["page_id"], ["conv_id", "turn"]
 MIN_DF = 2
@@ -630,6 +630,26 @@ def stream_scores(spark, folder):
     )
 
 
+def stream_scores_once(spark, folder):
+    """The documents in two batches of a feed, and all of them again under keys below zero; no text is scored twice."""
+    incoming, out, known, checkpoint = (scratch_path(spark, n) for n in ("incoming", "feed", "known", "feed-checkpoint"))
+    articles = A.document_articles(documents(spark, folder)).withColumnRenamed("doc_id", "id")
+    half = F.pmod("id", F.lit(2))
+    for part in (articles.where(half == 0), articles.where(half == 1), articles.withColumn("id", -1 - F.col("id"))):
+        part.write.mode("append").parquet(incoming)
+        feed = A.stream_articles(spark, incoming)
+        start_feed_once(feed, ["id"], out, checkpoint, FIRST, SECOND, known).awaitTermination()
+    return spark.read.parquet(out).select(
+        F.col("id").alias("doc_id"),
+        "outcome",
+        "code",
+        "input.word_count",
+        "final.label",
+        F.round("final.confidence", 9).alias("confidence"),
+        "final.selected_model",
+    )
+
+
 def stream_metrics(spark, folder):
     """Metrics of a feed that is stopped after half of its files and started again, added up."""
     incoming, out, checkpoint, metrics = (scratch_path(spark, n) for n in ("incoming", "feed", "feed-checkpoint", "metrics"))
@@ -687,6 +707,7 @@ QUERIES = {
         end_to_end_checks,
         training_quality,
         stream_scores,
+        stream_scores_once,
         stream_metrics,
     )
 }

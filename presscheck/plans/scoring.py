@@ -12,6 +12,7 @@ from presscheck import constants as K
 from presscheck.operators.contract import result_ok
 from presscheck.operators.decision import final_prediction
 from presscheck.operators.distinct_texts import HOT_COPIES, score_distinct
+from presscheck.operators.verdict_store import VerdictStore
 from presscheck.operators.once import compute_once
 from presscheck.operators.report import RESULT_COLUMNS, result_columns
 from presscheck.operators.scorers import FallbackScorer, Scorer
@@ -91,17 +92,23 @@ def score_articles(articles: DataFrame, keys: list[str], first: Scorer, second:
 
 
 def score_articles_once(
-    articles: DataFrame, keys: list[str], first: Scorer, second: Scorer, hot_copies: int = HOT_COPIES
+    articles: DataFrame,
+    keys: list[str],
+    first: Scorer,
+    second: Scorer,
+    hot_copies: int = HOT_COPIES,
+    store: VerdictStore | None = None,
 ) -> DataFrame:
     """:func:`score_articles`, but with each distinct cleaned text scored once.
 
     Worth its shuffles where scoring is costly or copies are many. The cleaned
-    texts are stored first, as they are read several times.
+    texts are stored first, as they are read several times. With ``store``, neither are
+    texts scored that an earlier batch has scored.
     """
     require_forest(first)
     texts = materialise(scorable(check_articles(articles), keys), "checked")
     judged = score_distinct(
-        texts, "clean_text", lambda distinct: add_verdicts(distinct, first, second), hot_copies, keep_text=False
+        texts, "clean_text", lambda distinct: add_verdicts(distinct, first, second), hot_copies, keep_text=False, store=store
     )
     return assemble(judged, keys)
 

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders that a feed's batch has stored so far.
+_stored: ContextVar[list[str]] = ContextVar("stored")
+
 
 def builder(app_name: str = "presscheck") -> SparkSession.Builder:
     """Defaults for article tables: rows are long texts, up to 100,000 characters.
@@ -48,11 +54,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Deletes what this application has stored. Frames that read it are of no use afterwards."""
-    jvm, context = spark._jvm, spark.sparkContext
-    folder = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _own_folder(spark))
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what :func:`materialise` has stored within, as after a batch of a feed."""
+    stored: list[str] = []
+    token = _stored.set(stored)
+    try:
+        yield
+    finally:
+        _stored.reset(token)
+        for path in stored:
+            _delete(spark, path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -62,6 +84,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _stored.get([]).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

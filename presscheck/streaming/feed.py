@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import threading
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from presscheck.operators.scorers import Scorer
-from presscheck.plans.scoring import run_counts, score_articles
+from presscheck.operators.verdict_store import VerdictStore
+from presscheck.plans.scoring import require_forest, run_counts, score_articles, score_articles_once
+from presscheck.session import passing_tables
 
 METRICS_NAME = "presscheck_run"
 COUNTS = ("rows_in", "rows_rejected", "rows_scored", "contract_violations", "rows_fallback")
@@ -118,3 +121,40 @@ def await_feed(query: StreamingQuery, timeout: float = 60.0) -> None:
             if not listener.ended.wait(timeout):
                 raise TimeoutError("the metrics of the feed have not arrived")
             listener.spark.streams.removeListener(listener)
+
+
+def start_feed_once(
+    articles: DataFrame,
+    keys: list[str],
+    path: str,
+    checkpoint: str,
+    first: Scorer,
+    second: Scorer,
+    known: str,
+    trigger: dict | None = None,
+    metrics: str | None = None,
+) -> StreamingQuery:
+    """:func:`start_feed`, but a text that any earlier batch has scored is not scored again.
+
+    ``known`` is a folder for the verdicts, see ``VerdictStore``. Each batch overwrites its own
+    folder under ``path``, under ``known`` and under ``metrics``, so a batch that is run again
+    counts once. The results have the number of the batch beside their columns.
+    """
+    require_forest(first)
+
+    def run(rows: DataFrame, batch: int) -> None:
+        spark, started, observation = rows.sparkSession, time.monotonic(), Observation()
+        with passing_tables(spark):
+            store = VerdictStore(spark, known, batch)
+            results = score_articles_once(rows, keys, first, second, store=store).observe(observation, *run_counts())
+            results.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/batch={batch}")
+            if metrics is not None:
+                counted = observation.get
+                store_batch(spark, metrics, batch, counted, time.monotonic() - started)
+
+    return (
+        articles.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

@@ -12,12 +12,13 @@ from presscheck.functions.text import tokens
 from presscheck.operators import scorers as S
 from presscheck.operators.scorers import BatchScorer, FallbackScorer, ForestScorer
 from presscheck.operators.validation import check_articles
+from presscheck.operators.verdict_store import VerdictStore
 from presscheck.plans import queries as Q
 from presscheck.plans import scoring, training
 from presscheck.sources import artefacts
 from presscheck.sources import articles as A
 from presscheck.sources.results import read_rejected, read_scored
-from presscheck.streaming.feed import COUNTS, METRICS_NAME, await_feed, missing_batches, read_metrics, start_feed, store_batch
+from presscheck.streaming.feed import COUNTS, METRICS_NAME, await_feed, missing_batches, read_metrics, start_feed, start_feed_once, store_batch
 
 from conftest import SMALL
 
@@ -240,6 +241,33 @@ def test_model_that_does_not_load_falls_back(spark):
     assert (v.model, v.label, v.confidence) == ("BERT", 0, 0.5)
 
 
+def test_batches_hold_texts_of_one_length():
+    seen = []
+
+    def load():
+        def predict(texts):
+            sizes = [len(t.split()) for t in texts]
+            seen.append(sizes)
+            return [[n, hash(t) % 5] for n, t in zip(sizes, texts)]
+
+        return predict
+
+    texts = ["w " * (1 + i * 37 % 200) + str(i) for i in range(500)] + ["", None, "w " * 900]
+    logits = S.tolerant(load, batch_size=32, padded_tokens=2048)()(np.array(texts, dtype=object))
+    want = [[len(t.split()), hash(t) % 5] if t else [np.nan] * 2 for t in texts]
+    assert np.array_equal(logits, np.array(want, float), equal_nan=True)
+    cut = [[min(n, K.MAX_TOKENS) for n in sizes] for sizes in seen]
+    assert all(len(sizes) <= 32 and len(sizes) * max(sizes) <= 2048 for sizes in cut)
+    used, padded = sum(map(sum, cut)), sum(len(sizes) * max(sizes) for sizes in cut)
+    order = [min(len(t.split()), K.MAX_TOKENS) for t in texts if t]
+    arrival = sum(len(order[i : i + 32]) * max(order[i : i + 32]) for i in range(0, len(order), 32))
+    assert padded < 1.1 * used < 1.7 * used < arrival
+    # A text beyond the bound goes alone.
+    seen.clear()
+    S.tolerant(load, batch_size=4, padded_tokens=3)()(np.array(["a b c d", "a", "b"], dtype=object))
+    assert seen == [[1, 1], [4]]
+
+
 # Whole runs.
 
 
@@ -307,6 +335,58 @@ def test_stream_equals_batch(spark, tables, fitted, tmp_path):
     assert as_rows(spark.read.parquet(out)) == as_rows(batch)
 
 
+def test_feed_scores_no_text_twice(spark, tables, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    class Counted:
+        def score(self, df, text, out):
+            def count(batches):
+                for batch in batches:
+                    seen.add(sum(t is not None for t in batch[text].to_pylist()))
+                    yield batch
+
+            return Q.FIRST.score(df.mapInArrow(count, df.schema), text, out)
+
+    feed_path, out, checkpoint, known, metrics = (str(tmp_path / p) for p in ("feed", "out", "checkpoint", "known", "metrics"))
+    documents = tables["documents"].select(F.col("doc_id").alias("id"), F.lit("").alias("headline"), F.col("text").alias("article"))
+    parts = [documents.where("id % 2 = 0"), documents, documents.withColumn("id", F.col("id") + 1_000_000)]
+    stored = set()
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.mode("append").parquet(feed_path)
+        source = A.stream_articles(spark, feed_path)
+        start_feed_once(source, ["id"], out, checkpoint, Counted(), Q.SECOND, known, metrics=metrics).awaitTermination()
+        rows = spark.read.parquet(known).select(F.hex("_digest").alias("d"), "batch").collect()
+        assert len({r.d for r in rows}) == len(rows) and stored <= {r.d for r in rows}
+        stored = {r.d for r in rows}
+        if i == 1:
+            half = seen.value
+    assert seen.value == half == len(stored)
+    assert [r.batch for r in read_metrics(spark, metrics).orderBy("batch").collect()] == [0, 1, 2]
+    fed = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    batch = scoring.score_articles(A.with_defaults(fed), ["id"], Q.FIRST, Q.SECOND)
+    assert as_rows(spark.read.parquet(out).drop("batch")) == as_rows(batch)
+
+
+@pytest.mark.parametrize("max_broadcast", [0, 100])
+def test_store_of_verdicts_in_a_batch_that_runs_again(spark, tmp_path, max_broadcast):
+    path = str(tmp_path / "known")
+
+    def batch(number, names):
+        rows = spark.createDataFrame([(bytearray(n, "utf8"),) for n in names], "_digest binary")
+        store = VerdictStore(spark, path, number, max_broadcast)
+        known = store.recall(rows)
+        new = rows if known is None else rows.join(known.select("_digest"), "_digest", "left_anti")
+        added = store.add(new.withColumn("n", F.lit(number)))
+        return sorted((bytes(r._digest).decode(), r.n) for f in (known, added) if f is not None for r in f.collect())
+
+    assert batch(0, "ab") == [("a", 0), ("b", 0)]
+    assert batch(1, "bcd") == batch(1, "bcd") == [("b", 0), ("c", 1), ("d", 1)]
+    # Run again, the first batch knows nothing of later ones.
+    assert batch(0, "ab") == [("a", 0), ("b", 0)]
+    assert batch(2, "abcde") == [("a", 0), ("b", 0), ("c", 1), ("d", 1), ("e", 2)]
+    assert batch(3, "ab") == [("a", 0), ("b", 0)] and batch(4, "e") == [("e", 2)]
+
+
 def test_stream_metrics_are_stored_once_for_each_batch(spark, tables, tmp_path):
     feed_path, out, checkpoint, metrics = (str(tmp_path / p) for p in ("feed", "out", "checkpoint", "metrics"))
     documents = tables["documents"].select(F.col("doc_id").alias("id"), F.col("text").alias("article"))
