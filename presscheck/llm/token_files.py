@@ -33,20 +33,18 @@ def _tokenizer(path: str, blanks: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        encode, part, offset = encoder(path, blanks).encode, TaskContext.get().partitionId(), 0
+        encode, part, offset = encoder(path, blanks).encode_flat, TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows in slices(batch, "text", 2 << 20):
-                found = encode(rows["text"].to_pylist())
-                sizes = np.array([len(ids) // 4 for ids in found], np.int64)
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                values = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
+                values, ends = encode(rows["text"].to_pylist())
+                ends = np.concatenate([[0], ends])
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows["doc_id"],
-                        pa.array(np.full(len(found), part, np.int32)),
+                        pa.array(np.full(len(ends) - 1, part, np.int32)),
                         pa.array(ends[:-1] + offset),
-                        pa.array(sizes),
-                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values)),
+                        pa.array(np.diff(ends)),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(np.int32))),
                     ],
                     ["doc_id", "part", "offset", "n_tokens", "tokens"],
                 )

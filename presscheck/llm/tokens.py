@@ -13,9 +13,13 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from typing import TYPE_CHECKING
 
 from presscheck.llm.worker import kept
 
+if TYPE_CHECKING:
+    import numpy as np
+
 # Pieces that a worker keeps, of about 200 bytes each.
 PIECES = 700_000
 # New pieces that are encoded as one text.
@@ -63,23 +67,63 @@ class Encoder:
         self.mark = "\n" if blanks else " \x01 "
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
 
-    def cut(self, text: str) -> list[str]:
+    def _marked(self, text: str) -> str:
+        """The text with ``MARK`` at its cuts, in whose place white space may go if the tokenizer drops it."""
         if not self.blanks:
-            return text.replace("\n", " ").split(" ")
+            return text.replace("\n", MARK).replace(" ", MARK)
         if any(run in text for run in ODD) or text[0] in " \n" or text[-1] in " \n" or OTHER_SPACE.search(text):
-            return INNER.split(text)
-        marked = text.replace(" ", f"{MARK} ").replace("\n", f"{MARK}\n{MARK}")
-        return marked.split(MARK)
+            return INNER.sub(MARK, text)
+        return text.replace(" ", f"{MARK} ").replace("\n", f"{MARK}\n{MARK}")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self.cut(text) if text else [] for text in texts]
-        needed = set().union(*cut)
+        ids, ends = self.encode_flat(texts)
+        packed, ends = ids.tobytes(), (ends * 4).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def encode_flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text ends.
+
+        Equal pieces are found on Arrow's side, so only different ones become strings here.
+        """
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        # A text that holds the mark itself is a piece of its own.
+        whole = {i: text for i, text in enumerate(texts) if text and MARK in text}
+        marked = [self._marked(t) if t and i not in whole else "" for i, t in enumerate(texts)]
+        cut = pc.split_pattern(pa.array(marked, pa.large_string()), MARK)
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        found = self._lookup(pieces)
+        found += [_packed(self.tokenizer.encode(t, add_special_tokens=False).ids) for t in whole.values()]
+        found.append(self.end)
+
+        counts = cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        last = np.cumsum(counts)
+        if whole:
+            # Its one piece so far is the empty one.
+            at = list(whole)
+            codes = codes.copy()
+            codes[last[at] - 1] = len(pieces) + np.arange(len(at))
+        codes = np.insert(codes, last, len(found) - 1)
+        sizes = np.array([len(ids) // 4 for ids in found], np.int64)
+        flat, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        each = sizes[codes]
+        stop = np.cumsum(each)
+        # Id by id: its place in ``flat``.
+        places = np.repeat(first[codes] - (stop - each), each)
+        places += np.arange(len(places))
+        return flat[places], stop[last + np.arange(len(texts))] if len(texts) else last
+
+    def _lookup(self, pieces: list[str]) -> list[bytes]:
+        needed = set(pieces)
         missing = needed.difference(self.known)
         self.again.update(needed.difference(missing))
         if missing:
             self._learn(missing, needed)
-        get = self.known.__getitem__
-        return [b"".join(map(get, parts)) + self.end for parts in cut]
+        return list(map(self.known.__getitem__, pieces))
 
     def _learn(self, missing: set[str], needed: set[str]) -> None:
         split = {m[0]: m for m in map(PUNCTUATED.fullmatch, missing) if m}
