@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from collections.abc import Iterable
 from typing import TYPE_CHECKING
 
 from presscheck.llm.worker import kept
@@ -60,8 +61,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.blanks, self.pieces = blanks, pieces
+        # Two halves of the store: pieces of this turn and of the turn before.
         self.known: dict[str, bytes] = {}
-        self.again: set[str] = set()
+        self.before: dict[str, bytes] = {}
         self.end = _packed([END_ID])
         # The mark is one token, and only its own character makes that token.
         self.mark = "\n" if blanks else " \x01 "
@@ -108,7 +110,7 @@ class Encoder:
             codes = codes.copy()
             codes[last[at] - 1] = len(pieces) + np.arange(len(at))
         codes = np.insert(codes, last, len(found) - 1)
-        sizes = np.array([len(ids) // 4 for ids in found], np.int64)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
         each = sizes[codes]
         stop = np.cumsum(each)
@@ -118,22 +120,33 @@ class Encoder:
         return flat[places], stop[last + np.arange(len(texts))] if len(texts) else last
 
     def _lookup(self, pieces: list[str]) -> list[bytes]:
-        needed = set(pieces)
-        missing = needed.difference(self.known)
-        self.again.update(needed.difference(missing))
-        if missing:
-            self._learn(missing, needed)
-        return list(map(self.known.__getitem__, pieces))
-
-    def _learn(self, missing: set[str], needed: set[str]) -> None:
+        found = list(map(self.known.get, pieces))
+        new = [piece for piece, ids in zip(pieces, found) if ids is None]
+        if not new:
+            return found
+        if 2 * (len(self.known) + len(new)) > self.pieces:
+            # Pieces that do not come up again go with the next turn.
+            self.before, self.known = self.known, {}
+        self._learn(self._unknown(new))
+        known = self.known
+        return [known[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
+
+    def _unknown(self, pieces: Iterable[str]) -> list[str]:
+        """Those of the pieces that are in neither half of the store; the older half's are taken over."""
+        missing, before = [], self.before.get
+        for piece in pieces:
+            ids = before(piece)
+            if ids is None:
+                missing.append(piece)
+            else:
+                self.known[piece] = ids
+        return missing
+
+    def _learn(self, missing: list[str]) -> None:
         split = {m[0]: m for m in map(PUNCTUATED.fullmatch, missing) if m}
-        parts = missing.difference(split).union(*(m.groups() for m in split.values()))
-        if len(self.known) + len(missing) + len(parts) > self.pieces:
-            # Pieces that came up again stay, unless they alone fill the store.
-            keep = self.again if 2 * len(self.again) < self.pieces else needed
-            self.known = {p: self.known[p] for p in keep | needed if p in self.known}
-            self.again = set()
-        new = parts.difference(self.known)
+        parts = {part for m in split.values() for part in m.groups()}
+        parts.update(p for p in missing if p not in split)
+        new = self._unknown(parts.difference(self.known))
         if self.blanks:
             plain = [p for p in new if PLAIN.fullmatch(p)]
         else:
@@ -141,7 +154,7 @@ class Encoder:
         for start in range(0, len(plain), TOGETHER):
             some = plain[start : start + TOGETHER]
             self.known.update(zip(some, self._together(some), strict=True))
-        other = list(new.difference(plain))
+        other = list(set(new).difference(plain)) if len(plain) < len(new) else []
         found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
         self.known.update(zip(other, [_packed(e.ids) for e in found]))
         for piece, m in split.items():
