@@ -37,7 +37,8 @@ SEQUENCES = (
 )
 # Tokens per Arrow batch of sequences.
 _BATCH = 1 << 19
-
+# Bytes of text that are encoded together. Pieces that are equal among them are looked up once.
+_SLICE = 8 << 20
 
 # A document or a part of it: key, start in the document, length, length of the document, ids.
 Piece = tuple[int | None, int, int, int, bytes]
@@ -171,7 +172,7 @@ def _packer(path: str, capacity: int):
         out = _Output(TaskContext.get().partitionId() << 33)
         bins = Bins(capacity)
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", _SLICE):
                 keys = part["doc_id"].to_pylist()
                 for key, ids in zip(keys, encode(part["text"].to_pylist())):
                     for sequence in bins.add((key, 0, len(ids) // 4, len(ids) // 4, ids)):
