@@ -20,6 +20,7 @@ from presscheck.operators.tfidf import TERM_BYTES, count_terms, index_terms
 from presscheck.operators.validation import accepted, check_articles
 from presscheck.operators.vectorizer import vectorizer_of
 from presscheck.plans.logistic import fit_weights
+from presscheck.plans.sparse_forest import fit_sparse_forest
 from presscheck.session import materialise, scratch_path
 from presscheck.sources.articles import labelled_articles
 
@@ -33,6 +34,9 @@ class TrainingOptions:
     max_vocabulary_bytes: int = 1 << 30
     trees: int = 50
     depth: int = 10
+    # Rows times features up to which Spark's own forest is fitted, which holds an array over all
+    # features for each row; beyond that the forest is grown from sparse rows.
+    dense_cells: int = 1 << 27
     linear_penalty: float = 0.01
     linear_passes: int = 20
     seed: int = 42
@@ -111,22 +115,30 @@ def fit_forest(labelled: DataFrame, text: str, options: TrainingOptions = Traini
     """TF-IDF and forest on ``(label, weight, text)``."""
     features = fit_features(labelled, text, options)
     terms = labelled.select("label", "weight", tokens(F.col(text)).alias(S.TERMS))
-    # Kept while fitting, which passes over the vectors several times.
-    vectors = features.transform(terms).select("label", "weight", S.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        forest = RandomForestClassifier(
-            labelCol="label",
-            weightCol="weight",
-            featuresCol=S.FEATURES,
-            rawPredictionCol=S.RAW,
-            probabilityCol=S.PROBABILITY,
-            predictionCol=S.PREDICTED,
-            numTrees=options.trees,
-            maxDepth=options.depth,
-            seed=options.seed,
-        ).fit(vectors)
-    finally:
-        vectors.unpersist()
+    vectors = features.transform(terms).select("label", "weight", S.FEATURES)
+    classifier = RandomForestClassifier(
+        labelCol="label",
+        weightCol="weight",
+        featuresCol=S.FEATURES,
+        rawPredictionCol=S.RAW,
+        probabilityCol=S.PROBABILITY,
+        predictionCol=S.PREDICTED,
+        numTrees=options.trees,
+        maxDepth=options.depth,
+        seed=options.seed,
+    )
+    size = len(features.stages[1].getScalingVec())
+    if labelled.count() * size > options.dense_cells:
+        entry = F.unwrap_udt(S.FEATURES)
+        rows = vectors.select("label", "weight", entry["indices"].alias("indices"), entry["values"].alias("values"))
+        forest = fit_sparse_forest(rows, size, classifier)
+    else:
+        # Kept while fitting, which passes over the vectors several times.
+        vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            forest = classifier.fit(vectors)
+        finally:
+            vectors.unpersist()
     return ForestScorer(_stored(PipelineModel([*features.stages, forest]), labelled.sparkSession))
 
 
