@@ -22,6 +22,8 @@ TERM_BYTES = 150
 # sketch follows that finds them.
 HEAVY_TERMS = 1_000
 SKETCH_TERMS = 20_000
+# Bytes of text of a task that counts terms; its counts take about 25 times as much memory.
+PART_BYTES = 8 << 20
 
 
 def smoothed_idf(documents: Column, document_frequency: Column) -> Column:
@@ -55,15 +57,26 @@ def fit_vocabulary(articles: DataFrame, text: str, min_df: int = 1) -> DataFrame
     )
 
 
+def _by_key(articles: DataFrame, keys: list[str], text: str) -> tuple[int, list[str]]:
+    """For ``repartition``: as many parts as keep each within ``PART_BYTES`` of text, and the keys.
+
+    A number that is given is kept, where Spark would else gather parts by their compressed size.
+    """
+    size = articles.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).head()[0]
+    cores = articles.sparkSession.sparkContext.defaultParallelism
+    return max(cores, -(-size // PART_BYTES)), keys
+
+
 def term_counts(articles: DataFrame, keys: list[str], text: str) -> DataFrame:
     """``(keys, term, tf)``.
 
     Moves the texts once, partitioned by key. The grouping here and the norm in
-    :func:`tfidf` find their rows in place.
+    :func:`tfidf` find their rows in place, within the same memory for any number of texts.
     """
+    parts, by = _by_key(articles, keys, text)
     return (
         articles.select(*keys, text)
-        .repartition(*keys)
+        .repartition(parts, *by)
         .select(*keys, F.explode(tokens(F.col(text))).alias("term"))
         .groupBy(*keys, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
@@ -129,17 +142,67 @@ def _attach(rows: DataFrame, vocabulary: DataFrame, wanted: list[str]) -> DataFr
     )
 
 
-def weigh(counts: DataFrame, keys: list[str], vocabulary: DataFrame) -> DataFrame:
-    """``(keys, term, weight)`` for the terms of the vocabulary, and ``index`` if it has one."""
-    index = [c for c in ("index",) if c in vocabulary.columns]
+def _counts_with_rare(
+    articles: DataFrame, keys: list[str], text: str, common: DataFrame, rare: DataFrame, wanted: list[str]
+) -> DataFrame:
+    """``(keys, term, tf)`` with the ``wanted`` columns of the vocabulary; terms it lacks are dropped.
+
+    Terms that are not common go to the rare ones, and what these know goes along with the
+    texts, which so move once here too. The counts of common terms do not move at all.
+    """
+    parts, by = _by_key(articles, keys, text)
+    words = articles.select(*keys, F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    found = words.join(F.broadcast(common.select("term")), "term", "left_anti").join(rare.select("term", *wanted), "term")
+    told = found.select(*keys, F.lit(None).cast("string").alias("_text"), F.struct("term", *wanted).alias("_rare"))
+    kind = dict(told.dtypes)["_rare"]
+    moved = articles.select(*keys, F.col(text).alias("_text"), F.lit(None).cast(kind).alias("_rare"))
+    moved = moved.unionByName(told).repartition(parts, *by)
+    types = dict(rare.dtypes)
+
+    def counted(term: Column) -> Column:
+        unknown = [F.lit(None).cast(types[c]).alias(c) for c in wanted]
+        return F.struct(term.alias("term"), *unknown, F.lit(1).alias("n"))
+
+    of_rare = F.array(F.struct(*[F.col("_rare")[c].alias(c) for c in ("term", *wanted)], F.lit(0).alias("n")))
+    entries = F.when(F.col("_rare").isNull(), F.transform(tokens(F.col("_text")), counted)).otherwise(of_rare)
+    counts = moved.select(*keys, F.inline(entries)).groupBy(*keys, "term").agg(
+        F.sum("n").alias("tf"), *[F.max(c).alias(f"_{c}") for c in wanted]
+    )
+    known = counts.join(F.broadcast(common), "term", "left")
+    values = [F.coalesce(c, f"_{c}").alias(c) for c in wanted]
+    return known.select(*keys, "term", "tf", *values).where(F.col(wanted[0]).isNotNull())
+
+
+def _weighed(known: DataFrame, keys: list[str], index: list[str]) -> DataFrame:
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(W.partitionBy(*keys)))
-    known = _attach(counts, vocabulary, ["idf", *index])
     return known.select(*keys, "term", (raw / norm).alias("weight"), *index)
 
 
+def weigh(counts: DataFrame, keys: list[str], vocabulary: DataFrame) -> DataFrame:
+    """:func:`tfidf` of terms that are counted."""
+    index = [c for c in ("index",) if c in vocabulary.columns]
+    return _weighed(_attach(counts, vocabulary, ["idf", *index]), keys, index)
+
+
 def tfidf(articles: DataFrame, keys: list[str], text: str, vocabulary: DataFrame) -> DataFrame:
-    return weigh(term_counts(articles, keys, text), keys, vocabulary)
+    """``(keys, term, weight)`` for the terms of the vocabulary, and ``index`` if it has one.
+
+    ``articles`` is read more than once; pass a stored table. Its texts move once. Counts of terms
+    stay where they are, but for those of rarer terms than can be sent to every task.
+    """
+    index = [c for c in ("index",) if c in vocabulary.columns]
+    wanted = ["idf", *index]
+    if "df" not in vocabulary.columns:
+        return weigh(term_counts(articles, keys, text), keys, vocabulary)
+    frequent = _most_frequent(vocabulary)
+    rare = vocabulary.where(~frequent).select("term", *wanted)
+    common = vocabulary.where(frequent).select("term", *wanted)
+    if rare.isEmpty():
+        known = term_counts(articles, keys, text).join(F.broadcast(common), "term")
+    else:
+        known = _counts_with_rare(articles, keys, text, common, rare, wanted)
+    return _weighed(known, keys, index)
 
 
 def index_terms(vocabulary: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from presscheck import constants as K
+from presscheck import session
 from presscheck.functions import display
 from presscheck.operators import report, scores, tfidf
 from presscheck.operators.contract import decision_ok, prediction_ok, result_ok
@@ -339,3 +340,29 @@ def test_scores_join_back_without_the_text(spark):
     frame = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "b")], "id long, t string")
     got = score_distinct(frame, "t", lambda d: d.withColumn("n", F.length("t")), keep_text=False)
     assert got.columns == ["id", "n"] and sorted((r.id, r.n) for r in got.collect()) == [(1, 1), (2, 1), (3, None), (4, 1)]
+
+
+@pytest.mark.parametrize("budget", [800, 1 << 20])
+def test_texts_move_once_and_counts_stay(spark, tmp_path, monkeypatch, budget):
+    """With rare terms too. Parts are many enough for the memory of a task; keys repeat or are null."""
+    monkeypatch.setattr(tfidf, "BROADCAST_BYTES", budget)
+    monkeypatch.setattr(tfidf, "PART_BYTES", 1000)
+    rows = [(i % 90 if i % 97 else None, f"common other {'once ' * (i % 3)} w{i % 30} v{i}") for i in range(200)]
+    spark.createDataFrame(rows, "id long, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    vocabulary = session.materialise(tfidf.index_terms(tfidf.fit_vocabulary(docs, "text", 2)), "vocabulary")
+    known = {r.term: (r["index"], r.idf) for r in vocabulary.collect()}
+    want = Counter()
+    for key, text in rows:
+        want.update((key, t) for t in re.findall(r"\w{2,}", text) if t in known)
+    norm = Counter()
+    for (key, t), n in want.items():
+        norm[key] += (n * known[t][1]) ** 2
+    weights = tfidf.tfidf(docs, ["id"], "text", vocabulary)
+    got = {(r.id, r.term, r["index"]): r.weight for r in weights.collect()}
+    assert got == pytest.approx({(k, t, known[t][0]): n * known[t][1] / math.sqrt(norm[k]) for (k, t), n in want.items()})
+    parts = sum(len(text) for _, text in rows) // 1000 + 1
+    assert weights.rdd.getNumPartitions() == tfidf.term_counts(docs, ["id"], "text").rdd.getNumPartitions() == parts > 4
+    plan = weights._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # Nothing is dealt by key but the texts, before their terms are counted.
+    assert plan.count("hashpartitioning(id") == 1
