@@ -36,11 +36,17 @@ def forest_prediction(label: Column, probability: Column, model: str = K.FOREST_
 
 
 def softmax(logits: Column) -> Column:
-    """``struct<fake, real>`` of two raw scores; null or NaN scores stay null or NaN."""
-    fake, real = F.get(logits, F.lit(K.FAKE)), F.get(logits, F.lit(K.REAL))
-    top = F.greatest(fake, real)
-    exps = F.struct(F.exp(fake - top).alias("fake"), F.exp(real - top).alias("real"))
-    return bind(exps, _over_sum)
+    """``struct<fake, real>`` of two raw scores; null or NaN scores stay null or NaN.
+
+    The raw scores are bound, as each is used three times and may be costly.
+    """
+
+    def exps(raw: Column) -> Column:
+        fake, real = F.get(raw, F.lit(K.FAKE)), F.get(raw, F.lit(K.REAL))
+        top = F.greatest(fake, real)
+        return F.struct(F.exp(fake - top).alias("fake"), F.exp(real - top).alias("real"))
+
+    return bind(bind(logits, exps), _over_sum)
 
 
 def _over_sum(p: Column) -> Column:

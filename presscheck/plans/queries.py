@@ -55,9 +55,12 @@ def _counted_words(text: Column) -> Column:
 
 def _counted_start(text: Column) -> Column:
     """From the first words; some texts have no answer."""
-    words = X.first_words(text, K.MAX_TOKENS)
-    size = F.length(F.array_join(words, " "))
-    return F.when(size % 11 != 0, F.array(F.size(words) % 5 / 1.0, size % 7 / 1.0))
+
+    def counted(words: Column) -> Column:
+        size = F.length(F.array_join(words, " "))
+        return F.when(size % 11 != 0, F.array(F.size(words) % 5 / 1.0, size % 7 / 1.0))
+
+    return X.bind(X.first_words(text, K.MAX_TOKENS), counted)
 
 
 FIRST = CountScorer(K.FOREST_NAME, _counted_words)

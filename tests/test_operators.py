@@ -126,6 +126,16 @@ def test_logits(spark):
         assert v.fake_probability + v.real_probability == pytest.approx(1.0)
 
 
+def test_logits_are_computed_once(spark):
+    """A raw score may be costly, as a count over a whole text is."""
+    texts = spark.range(40).select(F.concat(F.lit("word "), F.col("id").cast("string")).alias("t"))
+    from presscheck.plans.queries import CountScorer
+
+    logits = CountScorer("X", lambda t: F.array(F.regexp_count(t, F.lit("o")) / 1.0, F.lit(0.5))).score(texts, "t", "v")
+    assert logits._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert {r.v.label for r in logits.collect()} == {K.FAKE}
+
+
 def test_rescale(spark):
     frame = spark.createDataFrame(
         [(0, -0.5, 2.0), (1, 0.2, 0.2), (2, 0.0, -1.0)], "i int, fake double, real double"
