@@ -2,8 +2,9 @@
 
 A tokenizer spends its time on words it has met before. Texts are therefore cut at
 blanks, where no token crosses, and each piece is encoded once per worker as long as
-it stays in a bounded store. New pieces are encoded many at a time, as one text with a
-mark between them. The ids equal those of the whole text.
+it stays in a bounded store. New words of Latin letters go straight to the tokenizer's model, as
+what comes before it is known for them; other new pieces are encoded many at a time, as
+one text with a mark between them. The ids equal those of the whole text.
 
 Null is an empty text. Strings of special tokens in a text are ordinary text.
 """
@@ -13,10 +14,11 @@ from __future__ import annotations
 import re
 import sys
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable
 from typing import TYPE_CHECKING
 
-from presscheck.llm.worker import kept
+from presscheck.llm.tables import text_bytes
+from presscheck.llm.worker import kept as kept_by_worker
 
 if TYPE_CHECKING:
     import numpy as np
@@ -26,18 +28,14 @@ PIECES = 700_000
 # New pieces that are encoded as one text.
 TOGETHER = 2_000
 END_ID = 1
-MARK = "\x00"
-# A text without these holds single blanks and line ends only, each between two words.
-ODD = ("  ", "\n\n", " \n", "\n ", MARK)
-OTHER_SPACE = re.compile(r"[^\S \n]")
-# Around a single blank or line end between two other characters.
-INNER = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
+# Characters other than blank and line end that are white space, beyond the first 128.
+WIDE_SPACES = [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 # A piece with a blank at its head at most: a line end before and after it is a token of its own.
 PLAIN = re.compile(r" ?\S+")
 
-# Latin letters and then ASCII punctuation: no token holds some of both.
-PUNCTUATED = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]+)")
+# Words of letters that are one code point each, composed and in lower case too.
+WORD = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -47,6 +45,61 @@ def _packed(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+def _byte_characters() -> np.ndarray:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    import numpy as np
+
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    characters = np.zeros(256, "<u4")
+    characters[own] = own
+    others = np.setdiff1d(np.arange(256), own)
+    characters[others] = 256 + np.arange(len(others))
+    return characters
+
+
+def _punctuation() -> np.ndarray:
+    """True for the bytes of ASCII punctuation."""
+    import numpy as np
+
+    table = np.zeros(256, bool)
+    for first, last in ("!/", ":@", "[`", "{~"):
+        table[ord(first) : ord(last) + 1] = True
+    return table
+
+
+def _character(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the characters begin that hold the bytes at ``at``."""
+    import numpy as np
+
+    for _ in range(3):
+        at = np.where((data[at] & 0xC0) == 0x80, at - 1, at)
+    return at
+
+
+def _is_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the characters that begin at ``at`` are white space."""
+    import numpy as np
+
+    lead = data[at]
+    space = (lead == 32) | (lead >= 9) & (lead <= 13) | (lead >= 28) & (lead <= 31)
+    two, three = np.flatnonzero(lead == 0xC2), np.flatnonzero((lead >= 0xE1) & (lead <= 0xE3))
+    space[two] = np.isin(data[at[two] + 1], [x for x in WIDE_SPACES if x < 0x100])
+    a, b, c = (data[at[three] + k].astype(np.int64) & 63 for k in range(3))
+    space[three] = np.isin((a & 15) << 12 | b << 6 | c, WIDE_SPACES)
+    return space
+
+
+def _ends_letter(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the bytes at ``at`` end a letter of those in ``WORD``."""
+    import numpy as np
+
+    last, before = data[at], data[np.maximum(at - 1, 0)]
+    small = last | 0x20
+    wide = (last >= 0x80) & (last < 0xC0) & (before >= 0xC3) & (before <= 0xC5)
+    wide &= ~((before == 0xC3) & ((last == 0x97) | (last == 0xB7)) | (before == 0xC4) & (last == 0xB0))
+    return (small >= 0x61) & (small <= 0x7A) | wide
+
+
 class Encoder:
     """Ids as bytes, four per id and little-endian, with ``END_ID`` at each text's end.
 
@@ -68,14 +121,35 @@ class Encoder:
         # The mark is one token, and only its own character makes that token.
         self.mark = "\n" if blanks else " \x01 "
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
+        self.model, self.characters = self.tokenizer.model, _byte_characters()
+        # How words are folded before the model, or none if the model does not get them as they are.
+        self.fold = next((fold for fold in (str, str.lower) if self._takes_words(fold)), None)
 
-    def _marked(self, text: str) -> str:
-        """The text with ``MARK`` at its cuts, in whose place white space may go if the tokenizer drops it."""
-        if not self.blanks:
-            return text.replace("\n", MARK).replace(" ", MARK)
-        if any(run in text for run in ODD) or text[0] in " \n" or text[-1] in " \n" or OTHER_SPACE.search(text):
-            return INNER.sub(MARK, text)
-        return text.replace(" ", f"{MARK} ").replace("\n", f"{MARK}\n{MARK}")
+    def _pieces(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where pieces begin, the bytes of all pieces one after the other, and where each lies in these."""
+        import numpy as np
+
+        begins = np.zeros(len(data) + 1, bool)
+        begins[bounds] = True
+        blank = np.flatnonzero((data == 32) | (data == 10))
+        if self.blanks:
+            # Single ones between two other characters of a text.
+            at = blank[~begins[blank] & ~begins[blank + 1]]
+            at = at[~(_is_space(data, at + 1) | _is_space(data, _character(data, at - 1)))]
+        # No token holds a Latin letter and then ASCII punctuation.
+        mark = np.flatnonzero(_punctuation()[data])
+        mark = mark[~begins[mark]]
+        begins[mark[_ends_letter(data, mark - 1)]] = True
+        if self.blanks:
+            begins[at] = True
+            begins[at[data[at] == 10] + 1] = True
+            start = np.flatnonzero(begins[:-1])
+            return start, data, np.append(start, len(data))
+        begins[blank + 1] = True
+        begins[blank] = False
+        start = np.flatnonzero(begins[:-1])
+        kept = np.delete(data, blank)
+        return start, kept, np.append(start - np.searchsorted(blank, start), len(kept))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         ids, ends = self.encode_flat(texts)
@@ -89,27 +163,17 @@ class Encoder:
         """
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
-
-        # A text that holds the mark itself is a piece of its own.
-        whole = {i: text for i, text in enumerate(texts) if text and MARK in text}
-        marked = [self._marked(t) if t and i not in whole else "" for i, t in enumerate(texts)]
-        cut = pc.split_pattern(pa.array(marked, pa.large_string()), MARK)
-        coded = cut.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
+
+        data, bounds = text_bytes(pa.array(texts, pa.large_string()))
+        start, kept, offsets = self._pieces(data, bounds)
+        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(kept)]
+        coded = pa.Array.from_buffers(pa.large_string(), len(start), buffers).dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = self._lookup(pieces)
-        found += [_packed(self.tokenizer.encode(t, add_special_tokens=False).ids) for t in whole.values()]
         found.append(self.end)
 
-        counts = cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        last = np.cumsum(counts)
-        if whole:
-            # Its one piece so far is the empty one.
-            at = list(whole)
-            codes = codes.copy()
-            codes[last[at] - 1] = len(pieces) + np.arange(len(at))
-        codes = np.insert(codes, last, len(found) - 1)
+        last = np.searchsorted(start, bounds[1:])
+        codes = np.insert(coded.indices.to_numpy(zero_copy_only=False), last, len(found) - 1)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
         each = sizes[codes]
@@ -131,34 +195,50 @@ class Encoder:
         known = self.known
         return [known[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
 
-    def _unknown(self, pieces: Iterable[str]) -> list[str]:
-        """Those of the pieces that are in neither half of the store; the older half's are taken over."""
-        missing, before = [], self.before.get
-        for piece in pieces:
-            ids = before(piece)
-            if ids is None:
-                missing.append(piece)
-            else:
-                self.known[piece] = ids
-        return missing
+    def _unknown(self, pieces: list[str]) -> list[str]:
+        """Those of the pieces that are not in the older half of the store either; the others are taken over."""
+        found = list(map(self.before.get, pieces))
+        self.known.update((piece, ids) for piece, ids in zip(pieces, found) if ids is not None)
+        return [piece for piece, ids in zip(pieces, found) if ids is None]
 
     def _learn(self, missing: list[str]) -> None:
-        split = {m[0]: m for m in map(PUNCTUATED.fullmatch, missing) if m}
-        parts = {part for m in split.values() for part in m.groups()}
-        parts.update(p for p in missing if p not in split)
-        new = self._unknown(parts.difference(self.known))
+        if self.fold:
+            words = list(filter(WORD.fullmatch, missing))
+            self.known.update(zip(words, self._by_model(words, self.fold), strict=True))
+            missing = list(set(missing).difference(words))
         if self.blanks:
-            plain = [p for p in new if PLAIN.fullmatch(p)]
+            plain = [p for p in missing if PLAIN.fullmatch(p)]
         else:
-            plain = [p for p in new if "\x01" not in p]
+            plain = [p for p in missing if "\x01" not in p]
         for start in range(0, len(plain), TOGETHER):
             some = plain[start : start + TOGETHER]
             self.known.update(zip(some, self._together(some), strict=True))
-        other = list(set(new).difference(plain)) if len(plain) < len(new) else []
+        other = list(set(missing).difference(plain)) if len(plain) < len(missing) else []
         found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
         self.known.update(zip(other, [_packed(e.ids) for e in found]))
-        for piece, m in split.items():
-            self.known[piece] = self.known[m[1]] + self.known[m[2]]
+
+    def _by_model(self, words: list[str], fold: Callable[[str], str]) -> list[bytes]:
+        """The ids of words that are one piece for the model each."""
+        import numpy as np
+
+        if not words:
+            return []
+        # A line end is one byte and in no word.
+        data = np.frombuffer(fold("\n".join(words)).encode(), np.uint8)
+        spelled = self.characters[data].tobytes().decode("utf-32-le").split(chr(self.characters[10]))
+        tokenize = self.model.tokenize
+        return [_packed([token.id for token in tokenize(word)]) for word in spelled]
+
+    def _takes_words(self, fold: Callable[[str], str]) -> bool:
+        """Whether the model alone gives the ids of words, tried on every letter and on all of them in one word."""
+        if any(WORD.fullmatch(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()):
+            return False
+        letters = [c for c in map(chr, range(0x180)) if WORD.fullmatch(c)]
+        words = [*letters, *[f"a{c}e" for c in letters], "".join(letters)]
+        if self.blanks:
+            words += [f" {word}" for word in words]
+        whole = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return self._by_model(words, fold) == [_packed(e.ids) for e in whole]
 
     def _together(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces without a mark in them."""
@@ -175,4 +255,4 @@ def encoder(path: str, blanks: bool) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return kept(f"encoder {path} {blanks}", lambda: Encoder(path, blanks))
+    return kept_by_worker(f"encoder {path} {blanks}", lambda: Encoder(path, blanks))

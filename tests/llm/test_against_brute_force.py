@@ -202,6 +202,58 @@ def test_encoder_equals_the_tokenizer(name, blanks):
         assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == want, repr(text)
 
 
+@pytest.mark.parametrize("name, blanks", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_new_words_go_straight_to_the_model(name, blanks):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary(name))
+    own, rng = Encoder(vocabulary(name), blanks), random.Random(4)
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha()]
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(2000)] + ["İ", "aİe", "ª", "ǅ"]
+
+    class Counting:
+        sent = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.sent += sum(map(len, texts))
+            return plain.encode_batch_fast(texts, **options)
+
+    own.tokenizer = counting = Counting()
+    text = " ".join(words)
+    want = [*plain.encode(text, add_special_tokens=False).ids, 1]
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == want
+    counting.sent = 0
+    text = " ".join("".join(rng.choices("etaoinäéñÖ", k=9)) + rng.choice(["", ",", "&&&"]) for _ in range(2000))
+    want = [*plain.encode(text, add_special_tokens=False).ids, 1]
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == want
+    assert counting.sent < len(text) / 50
+
+
+@pytest.mark.parametrize("name, blanks", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_cuts_beside_odd_letters_and_spaces(name, blanks):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary(name))
+    own, rng = Encoder(vocabulary(name), blanks), random.Random(5)
+    odd = ["İ", "İ!", "é", "é!", "×?", "÷", "e\u0301.", "don't", "'ll", "<\u0338", " ", " ", "\n", "\u00a0", "\u2003", "\u3000", "\u1680", "“a”", "あ", "ắ", "\x00", "x"]
+    texts = ["".join(rng.choices(odd, k=rng.randint(0, 12))) for _ in range(1500)]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        want = [*plain.encode(text, add_special_tokens=False).ids, 1]
+        assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
+
+
+def test_a_tokenizer_that_changes_words_gets_whole_texts(tmp_path):
+    import json
+
+    path = vocabulary("byte_bpe_50k.json")
+    changed = json.loads(open(path, encoding="utf-8").read())
+    changed["normalizer"] = {"type": "Replace", "pattern": {"String": "ä"}, "content": "ae"}
+    (tmp_path / "changed.json").write_text(json.dumps(changed), encoding="utf-8")
+    own = Encoder(str(tmp_path / "changed.json"), True)
+    text = "the läst häuser were blä, blä"
+    assert own.fold is None and own.encode([text]) == Encoder(path, True).encode([text.replace("ä", "ae")])
+
+
 def whole_ids(texts, name):
     from tokenizers import Tokenizer
 
