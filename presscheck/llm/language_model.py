@@ -109,11 +109,54 @@ def _pack_counts(counts: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u8").tobytes()
 
 
+def _pack(words: list[np.ndarray], counts: list[np.ndarray]) -> bytes:
+    """Columns of words and of counts, made small.
+
+    Words are numbered by how often they come, and bytes of equal weight lie together, so that
+    a frequent word takes few bits.
+    """
+    distinct, number, times = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(order), "<u4")
+    rank[order] = np.arange(len(order))
+    planes = np.ascontiguousarray(rank[number].view(np.uint8).reshape(-1, 4).T)
+    raw = b"".join([_six_bytes(distinct[order]), planes.tobytes(), *map(_pack_counts, counts)])
+    sizes = [len(raw), len(words), len(counts), len(distinct), *map(len, words), *map(len, counts)]
+    return np.array(sizes, "<i8").tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The columns of words and of counts."""
+    size, n_words, n_counts, n_distinct = np.frombuffer(packed, "<i8", 4).tolist()
+    lengths = np.frombuffer(packed, "<i8", n_words + n_counts, 32).tolist()
+    raw = pa.decompress(packed[32 + 8 * len(lengths) :], size, "zstd", asbytes=True)
+    distinct, at = _from_six_bytes(raw[: 6 * n_distinct]), 6 * n_distinct
+    total = sum(lengths[:n_words])
+    planes = np.frombuffer(raw, np.uint8, 4 * total, at).reshape(4, -1)
+    words = np.split(distinct[np.ascontiguousarray(planes.T).view("<u4").ravel()], np.cumsum(lengths[:n_words])[:-1])
+    at += 4 * total
+    counts = []
+    for n in lengths[n_words:]:
+        counts += [_unpack_counts([raw[at:]], [n])]
+        at += n + 8 * raw.count(b"\xff", at, at + n)
+    return words, counts
+
+
+def _columns(rows: list[dict]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The columns of words and of counts of all rows, which are taken off."""
+    parts = []
+    while rows:
+        parts.append(_unpack(rows.pop()["packed"]))
+    words, counts = zip(*parts)
+    return [np.concatenate(x) for x in zip(*words)], [np.concatenate(x) for x in zip(*counts)]
+
+
 def _unpack_counts(packed: list[bytes], sizes: list[int]) -> np.ndarray:
     out = []
     for data, n in zip(packed, sizes):
         counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
-        counts[counts == 255] = np.frombuffer(data, "<u8", offset=n)
+        large = counts == 255
+        counts[large] = np.frombuffer(data, "<u8", int(large.sum()), n)
         out.append(counts)
     return np.concatenate(out)
 
@@ -137,9 +180,9 @@ def _count_pairs(buckets: int):
         edges = np.searchsorted(_bucket_of_pair(_pair_hash(u, w), buckets), np.arange(buckets + 1))
         for bucket, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
             if b > a:
-                arrays = [pa.array([bucket], pa.int32())]
-                arrays += [pa.array([x], pa.binary()) for x in (_six_bytes(u[a:b]), _six_bytes(w[a:b]), _pack_counts(counts[a:b]))]
-                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "before", "token", "times"])
+                packed = _pack([u[a:b], w[a:b]], [counts[a:b]])
+                arrays = [pa.array([bucket], pa.int32()), pa.array([packed], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, before, size = [], [], 0
@@ -178,10 +221,10 @@ def _count_triples(buckets: int):
         for to, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
             if b > a:
                 head = a + np.flatnonzero(heads[a:b])
-                follow = np.diff(np.append(head, b)).astype(np.uint8)
-                packed = [_six_bytes(v[head]), _six_bytes(u[head]), follow.tobytes(), _six_bytes(w[a:b]), _pack_counts(counts[a:b])]
-                arrays = [pa.array([to], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
-                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "earlier", "before", "follow", "token", "times"])
+                follow = np.diff(np.append(head, b))
+                packed = _pack([v[head], u[head], w[a:b]], [follow, counts[a:b]])
+                arrays = [pa.array([to], pa.int32()), pa.array([packed], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
@@ -223,7 +266,8 @@ def _store(folder: str, name: str, values: np.ndarray) -> None:
 
 
 def _store_counts(folder: str, name: str, bucket: int, counts: np.ndarray) -> None:
-    """A byte for each count; those above 254 are in a list of their own."""
+    """A byte for each count, row by row; those above 254 are in a list of their own."""
+    counts = counts.ravel()
     large = np.flatnonzero(counts >= 255)
     _store(folder, f"{name}-{bucket}", np.minimum(counts, 255).astype(np.uint8))
     _store(folder, f"{name}-large-{bucket}", np.column_stack([large, counts[large]]).astype(np.int64))
@@ -241,11 +285,9 @@ def _seen(counts: np.ndarray) -> list[int]:
 def _sum_triples(folder: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_bucket(batches):
-            follow = np.frombuffer(b"".join(r["follow"] for r in rows), np.uint8)
-            v, u = (np.repeat(_from_six_bytes(b"".join(r[c] for r in rows)), follow) for c in ("earlier", "before"))
-            w = _from_six_bytes(b"".join(r["token"] for r in rows))
-            times = _unpack_counts([r["times"] for r in rows], [len(r["token"]) // 6 for r in rows])
-            rows.clear()
+            (v, u, w), (follow, times) = _columns(rows)
+            v, u = np.repeat(v, follow), np.repeat(u, follow)
+            del follow
             triples = _triple_hash(_pair_hash(v, u), w)
             order = np.argsort(triples, kind="stable")
             triples = triples[order]
@@ -262,7 +304,7 @@ def _sum_triples(folder: str, buckets: int):
             # Two tokens that occur together once have one triple.
             contexts, stands, *kinds = _summed(_pair_hash(v[whole], u[whole]), count[whole], *_kinds(count[whole]))
             _store(folder, f"contexts-{bucket}", contexts[stands > 1])
-            _store(folder, f"kinds-{bucket}", np.column_stack(kinds)[stands > 1].astype(np.int64))
+            _store_counts(folder, "kinds", bucket, np.column_stack(kinds)[stands > 1])
             del contexts, stands, kinds, v
             pairs = _pair_hash(u, w)
             order = np.argsort(pairs, kind="stable")
@@ -274,10 +316,9 @@ def _sum_triples(folder: str, buckets: int):
             edges = np.searchsorted(_bucket_of_pair(pairs, buckets), np.arange(buckets + 1))
             for to, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
                 if b > a:
-                    packed = [_six_bytes(u[a:b]), _six_bytes(w[a:b]), _pack_counts(count[a:b]), _pack_counts(lefts[a:b])]
-                    arrays = [pa.array([to], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
-                    arrays.append(pa.array([seen], pa.list_(pa.int64())))
-                    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "before", "token", "times", "lefts", "seen"])
+                    packed = _pack([u[a:b], w[a:b]], [count[a:b], lefts[a:b]])
+                    arrays = [pa.array([to], pa.int32()), pa.array([packed], pa.binary()), pa.array([seen], pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "packed", "seen"])
                     seen = [0, 0, 0, 0]
 
     return run
@@ -286,14 +327,11 @@ def _sum_triples(folder: str, buckets: int):
 def _sum_pairs(folder: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_bucket(batches):
-            u, w = (_from_six_bytes(b"".join(r[c] for r in rows)) for c in ("before", "token"))
-            sizes = [len(r["token"]) // 6 for r in rows]
-            times = _unpack_counts([r["times"] for r in rows], sizes)
-            triples = "lefts" in rows[0]
-            lefts = _unpack_counts([r["lefts"] for r in rows], sizes) if triples else np.zeros(len(times), np.int64)
+            triples = "seen" in rows[0]
             seen_triples = np.sum([r["seen"] for r in rows], axis=0).tolist() if triples else [0, 0, 0, 0]
+            (u, w), (times, *lefts) = _columns(rows)
+            lefts = lefts[0] if triples else np.zeros(len(times), np.int64)
             pairs = _pair_hash(u, w)
-            rows.clear()
             order = np.argsort(pairs, kind="stable")
             pairs = pairs[order]
             start = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
@@ -301,9 +339,7 @@ def _sum_pairs(folder: str, buckets: int):
             pairs, u, w = pairs[start], u[order][start], w[order][start]
             del order, times
             _store(folder, f"pairs-{bucket}", pairs)
-            _store_counts(folder, "times", bucket, count)
-            if triples:
-                _store_counts(folder, "lefts", bucket, lefts)
+            _store_counts(folder, "times", bucket, np.column_stack([count, lefts]) if triples else count)
             ones = np.ones(len(count), np.int64)
             of_token = _summed(w, count, ones)
             of_before = _summed(u, count, *_kinds(count), lefts, *_kinds(lefts))
@@ -334,7 +370,7 @@ def _sum_words(folder: str):
             fields = np.concatenate(parts, axis=1)
             words, *fields = _summed(words, *fields)
             _store(folder, f"words-{bucket}", words)
-            _store(folder, f"fields-{bucket}", np.column_stack(fields).astype(np.int64))
+            _store_counts(folder, "fields", bucket, np.column_stack(fields))
             occurs, after = fields[0], fields[1]
             totals = [int(occurs.sum()), int((occurs > 0).sum()), int(after.sum())]
             totals += [int((after == k).sum()) for k in (1, 2, 3, 4)] + [int((after > 2).sum())]
@@ -383,35 +419,19 @@ class Model:
                 at[at == len(stored)] = 0
                 yield bucket, part, at, stored[at] == keys[part]
 
-    def words(self, keys: np.ndarray) -> np.ndarray:
-        """The fields of each of the sorted words; zeros for unknown ones."""
-        out = np.zeros((len(keys), len(WORD_FIELDS)), np.int64)
-        for bucket, part, at, known in self._find("words", keys, _bucket_of_word(keys, self.buckets)):
-            stored = np.memmap(f"{self.folder}/fields-{bucket}", np.int64, "r").reshape(-1, len(WORD_FIELDS))
-            out[part][known] = stored[at[known]]
-        return out
-
-    def counts(self, kind: str, name: str, keys: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """The counts ``name`` of each of the keys, which are sorted in each bucket."""
-        out = np.zeros(len(keys), np.int64)
+    def counts(self, kind: str, name: str, width: int, keys: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The ``width`` counts ``name`` of each of the keys, which are sorted in each bucket; zeros for unknown ones."""
+        out = np.zeros((len(keys), width), np.int64)
         for bucket, part, at, known in self._find(kind, keys, place):
-            stored = np.memmap(f"{self.folder}/{name}-{bucket}", np.uint8, "r")
-            counts = np.where(known, stored[at], 0).astype(np.int64)
-            if (counts == 255).any():
+            stored = np.memmap(f"{self.folder}/{name}-{bucket}", np.uint8, "r").reshape(-1, width)
+            counts = np.where(known[:, None], stored[at], 0).astype(np.int64)
+            row, column = np.nonzero(counts == 255)
+            if len(row):
                 large = np.fromfile(f"{self.folder}/{name}-large-{bucket}", np.int64).reshape(-1, 2)
-                full = np.flatnonzero(counts == 255)
-                counts[full] = large[np.searchsorted(large[:, 0], at[full]), 1]
+                counts[row, column] = large[np.searchsorted(large[:, 0], at[row] * width + column), 1]
             out[part] = counts
         return out
 
-    def kinds(self, keys: np.ndarray) -> np.ndarray:
-        """How many triples of count 1, 2 and more follow each of the sorted pairs that occur more than once."""
-        out = np.zeros((len(keys), 3), np.int64)
-        for bucket, part, at, known in self._find("contexts", keys, _bucket_of_pair(keys, self.buckets)):
-            stored = np.memmap(f"{self.folder}/kinds-{bucket}", np.int64, "r").reshape(-1, 3)
-            out[part][known] = stored[at[known]]
-        return out
-
     def _triples(self, tokens, before, first, times, middle) -> np.ndarray:
         """Probabilities of order three, from the counts of the pairs and their probabilities at the middle level."""
         at = np.flatnonzero(before != START)
@@ -422,14 +442,14 @@ class Model:
         triples, place = _triple_hash(contexts, tokens[at]), _bucket_of_pair(contexts, self.buckets)
         order = np.lexsort((triples, place))
         count = np.empty(len(at), np.int64)
-        count[order] = self.counts("triples", "triple-times", triples[order], place[order])
+        count[order] = self.counts("triples", "triple-times", 1, triples[order], place[order])[:, 0]
         # The pair of the place before is the one that the triple begins with.
         stands = times[at - 1]
         kinds = np.zeros((len(at), 3), np.int64)
         kinds[stands == 1, 0] = 1
         often = np.flatnonzero(stands > 1)
         keys, of_key = np.unique(contexts[often], return_inverse=True)
-        kinds[often] = self.kinds(keys)[of_key]
+        kinds[often] = self.counts("contexts", "kinds", 3, keys, _bucket_of_pair(keys, self.buckets))[of_key]
         rest = np.where(stands > 0, kinds @ self.triple_discounts[1:] / np.maximum(stands, 1), 1.0)
         share = (count - self.triple_discounts[np.minimum(count, 3)]) / np.maximum(stands, 1)
         out[at] = share + rest * middle[at]
@@ -438,11 +458,12 @@ class Model:
     def score(self, data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
         tokens, before, first = _tokens(data, bounds)
         known_words, place = np.unique(np.concatenate([tokens, before]), return_inverse=True)
-        fields = self.words(known_words)
+        place_of_word = _bucket_of_word(known_words, self.buckets)
+        fields = self.counts("words", "fields", len(WORD_FIELDS), known_words, place_of_word)
         of_token, of_before = place[: len(tokens)], place[len(tokens) :]
         pairs, of_pair = np.unique(_pair_hash(before, tokens), return_inverse=True)
         place = _bucket_of_pair(pairs, self.buckets)
-        times = self.counts("pairs", "times", pairs, place)[of_pair]
+        times, *lefts = self.counts("pairs", "times", self.order - 1, pairs, place)[of_pair].T
         occurs, after = fields[:, 0], fields[:, 1]
         by_token = self.token_rest / (self.types + 1)
         if self.pair_types:
@@ -460,8 +481,7 @@ class Model:
         add = lambda x: np.add.reduceat(x, first[:-1]) if len(first) > 1 else np.zeros(0)
         pair_score = score = add(logs)
         if self.order == 3:
-            lefts = self.counts("pairs", "lefts", pairs, place)[of_pair]
-            middle = of_pairs(lefts, self.middle_discounts, 6)
+            middle = of_pairs(lefts[0], self.middle_discounts, 6)
             score = add(np.log10(self._triples(tokens, before, first, times, middle)))
         return {
             "n_tokens": np.diff(first),
@@ -493,13 +513,11 @@ def fit(texts: DataFrame, text: str = "text", folder: str | None = None, order:
     size = known.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
     buckets = max(1, -(-size // BUCKET_BYTES))
     if order == 2:
-        pairs = known.mapInArrow(_count_pairs(buckets), "bucket int, before binary, token binary, times binary")
+        pairs = known.mapInArrow(_count_pairs(buckets), "bucket int, packed binary")
     else:
-        fields = "bucket int, earlier binary, before binary, follow binary, token binary, times binary"
-        triples = known.mapInArrow(_count_triples(buckets), fields)
+        triples = known.mapInArrow(_count_triples(buckets), "bucket int, packed binary")
         triples = triples.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-        fields = "bucket int, before binary, token binary, times binary, lefts binary, seen array<long>"
-        pairs = triples.mapInArrow(_sum_triples(folder, buckets), fields)
+        pairs = triples.mapInArrow(_sum_triples(folder, buckets), "bucket int, packed binary, seen array<long>")
     pairs = pairs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     words = pairs.mapInArrow(_sum_pairs(folder, buckets), "bucket int, words binary, fields binary, seen array<long>")
     words = words.repartition(buckets, "bucket").sortWithinPartitions("bucket")

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from presscheck.llm import language_model
@@ -88,3 +89,28 @@ def test_counts_beyond_32_bits_survive():
 
     counts = np.array([1, 254, 255, 70_000, 5_000_000_000, 3])
     assert language_model._unpack_counts([language_model._pack_counts(counts)], [6]).tolist() == counts.tolist()
+
+
+def test_columns_of_words_and_counts_come_back_and_are_small():
+    rng = np.random.default_rng(6)
+    words = [rng.zipf(1.3, n).astype(np.uint64) * np.uint64(0x9E3779B97F4B) % np.uint64(1 << 48) for n in (30_000, 30_000, 50_000)]
+    counts = [rng.integers(1, 3, 30_000), np.where(rng.random(50_000) < 0.01, rng.integers(250, 1 << 40, 50_000), 1)]
+    packed = language_model._pack(words, counts)
+    found = language_model._unpack(packed)
+    for columns, want in zip(found, (words, counts), strict=True):
+        assert all((a == b).all() for a, b in zip(columns, want, strict=True))
+    # Six bytes a word before.
+    assert len(packed) < 3 * sum(map(len, words))
+    none = language_model._unpack(language_model._pack([np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]))
+    assert [len(x) for x in (*none[0], *none[1])] == [0, 0]
+
+
+def test_stored_counts_take_a_byte_each(tmp_path):
+    counts = np.array([[1, 255, 3], [254, 70_000, 0], [256, 1, 1 << 40]])
+    language_model._store(str(tmp_path), "contexts-0", np.array([5, 7, 9], np.uint64))
+    language_model._store_counts(str(tmp_path), "kinds", 0, counts)
+    assert (tmp_path / "kinds-0").stat().st_size == counts.size
+    model = language_model.Model(3, str(tmp_path), 1, *[0] * 8)
+    keys = np.array([4, 5, 7, 8, 9], np.uint64)
+    found = model.counts("contexts", "kinds", 3, keys, np.zeros(5, np.int64))
+    assert found.tolist() == [[0] * 3, counts[0].tolist(), counts[1].tolist(), [0] * 3, counts[2].tolist()]
