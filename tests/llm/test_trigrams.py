@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from presscheck.llm import language_model
@@ -114,3 +115,74 @@ def test_stored_counts_take_a_byte_each(tmp_path):
     keys = np.array([4, 5, 7, 8, 9], np.uint64)
     found = model.counts("contexts", "kinds", 3, keys, np.zeros(5, np.int64))
     assert found.tolist() == [[0] * 3, counts[0].tolist(), counts[1].tolist(), [0] * 3, counts[2].tolist()]
+
+
+def test_triples_take_few_bytes_on_the_way_and_in_the_model(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    words = rng.zipf(1.2, 400_000) % 30_000
+    texts = [" ".join(f"w{w}" for w in words[i : i + 400]) for i in range(0, len(words), 400)]
+    corpus = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    model = language_model.fit(corpus, folder=str(tmp_path))
+    tokens = [[*t.split(), 1] for t in texts]
+    triples = {x for t in tokens for x in zip([0, *t], t, t[1:])}
+    pairs = {x for t in tokens for x in zip([0, *t], t)}
+    # Eight bytes of hash and a count or two before.
+    assert sum(f.stat().st_size for f in tmp_path.iterdir()) < 0.75 * (9 * len(triples) + 10 * len(pairs))
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    for parts, most in ((model.buckets, 3.5), (40, 5)):
+        folder = str(tmp_path) if parts == model.buckets else str(tmp_path / "more")
+        if parts != model.buckets:
+            (tmp_path / "more").mkdir()
+            for row in (r for m in language_model._count_words(parts)(iter([batch])) for r in m.to_pylist()):
+                [*language_model._rank_words(folder, parts)(iter([pa.RecordBatch.from_pylist([row])]))]
+        found = [r for m in language_model._count_triples(folder, parts)(iter([batch])) for r in m.to_pylist()]
+        assert sum(len(r["packed"]) for r in found) < most * len(triples)
+        # Every token is the last of one.
+        assert sum(int(c[1].sum()) for c in (language_model._unpack(r["packed"])[1] for r in found)) == sum(map(len, tokens))
+
+
+def test_frequent_pairs_with_many_followers(spark):
+    texts = [f"of the x{i % 300} of the y{i % 7} end{i}" for i in range(900)] + ["of the", "the", "", None] * 3
+    train = spark.createDataFrame([*enumerate(texts)], COLUMNS)
+    p, *_ = plain_model([words_of(t) for t in texts])
+    asked = spark.createDataFrame([*enumerate([*texts[::50], "of the x299 of the nothing", "y3 of the y3"])], COLUMNS)
+    for r in language_model.score(asked, language_model.fit(train)).collect():
+        assert r.lm.score == pytest.approx(logs(p, words_of(r.text)))
+
+
+@pytest.mark.parametrize("size", [0, 1, 16, 17, 5_000])
+@pytest.mark.parametrize("bits", [20, 50, 64])
+def test_stored_keys_are_found(tmp_path, size, bits):
+    rng = np.random.default_rng(size + bits)
+    keys = np.unique(rng.integers(0, 1 << bits, size, np.uint64) if bits < 64 else rng.integers(0, (1 << 64) - 1, size, np.uint64))
+    language_model._store_keys(str(tmp_path), "pairs", 3, keys)
+    asked = np.unique(np.concatenate([keys, keys + np.uint64(1), rng.integers(0, (1 << 64) - 1, 300, np.uint64), np.array([0], np.uint64)]))
+    at, known = language_model._find(str(tmp_path), "pairs", 3, asked)
+    assert known.tolist() == np.isin(asked, keys).tolist()
+    assert (keys[at[known]] == asked[known]).all()
+
+
+def test_rows_of_numbers_are_sorted_beyond_64_bits_as_well():
+    rng = np.random.default_rng(9)
+    for top in (8, 1 << 20, 1 << 40):
+        rows = rng.integers(0, 8, (3, 2_000)).astype(np.uint64) * np.uint64(top // 8)
+        found, counts = language_model._distinct(*rows)
+        want = sorted(Counter(zip(*rows.tolist())).items())
+        assert [*zip(*(x.tolist() for x in found))] == [k for k, _ in want] and counts.tolist() == [n for _, n in want]
+        order = language_model._order(*rows)
+        assert [*zip(*rows[:, order].tolist())] == sorted(zip(*rows.tolist()))
+
+
+def test_where_triples_of_a_pair_begin(tmp_path):
+    rng = np.random.default_rng(10)
+    for size in (0, 1, 64, 1_000):
+        start = np.flatnonzero((rng.random(size) < 0.4) | (np.arange(size) % 500 == 0))
+        language_model._store_heads(str(tmp_path), size, start, size)
+        found = language_model._heads(str(tmp_path), size, np.arange(len(start) + 1), size)
+        assert found.tolist() == [*start.tolist(), size]
+
+
+def test_texts_that_change_while_they_are_counted_are_an_error(tmp_path):
+    batch = pa.RecordBatch.from_pydict({"text": ["a new word"]})
+    with pytest.raises(ValueError, match="changed"):
+        [*language_model._count_triples(str(tmp_path), 1)(iter([batch]))]
