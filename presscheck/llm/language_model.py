@@ -225,23 +225,24 @@ def _lots(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.nda
         yield tuple(np.concatenate(x) for x in zip(*kept))
 
 
-def _distinct(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The different rows of numbers, sorted, and how often each occurs."""
-    bits = max(int(x.max(initial=0)).bit_length() for x in columns)
-    if bits * len(columns) < 64:
-        key = np.zeros(len(columns[0]), np.uint64)
-        for x in columns:
-            key = key << np.uint64(bits) | x
+def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different rows of numbers, sorted, and how often each occurs. The columns are taken off."""
+    bits, size, width = max(int(x.max(initial=0)).bit_length() for x in columns), len(columns[0]), len(columns)
+    if bits * width < 64:
+        key = np.zeros(size, np.uint64)
+        while columns:
+            key <<= np.uint64(bits)
+            key |= columns.pop(0)
         key.sort()
         start = _starts(key)
         key, low = key[start], np.uint64((1 << bits) - 1)
-        rows = [key >> np.uint64(bits * k) & low for k in reversed(range(len(columns)))]
+        rows = [key >> np.uint64(bits * k) & low for k in reversed(range(width))]
     else:
         order = np.lexsort(columns[::-1])
-        rows = [x[order] for x in columns]
+        rows = [columns.pop(0)[order] for _ in range(width)]
         start = _starts(*rows)
         rows = [x[start] for x in rows]
-    return rows, np.diff(np.append(start, len(columns[0])))
+    return rows, np.diff(np.append(start, size))
 
 
 def _order(*columns: np.ndarray) -> np.ndarray:
@@ -266,14 +267,15 @@ def _grams(folder: str, buckets: int, tokens: np.ndarray, begins: np.ndarray, or
     rank = np.empty(len(numbers), np.uint64)
     rank[by_number] = np.arange(len(numbers))
     columns = [rank[place]]
+    del words, place
     for _ in range(order - 1):
         before = np.empty_like(columns[0])
         before[1:] = columns[0][:-1]
         before[begins] = rank[-1]
         columns.insert(0, before)
-    rows, counts = _distinct(*columns)
+    rows, counts = _distinct(columns)
     numbers = numbers[by_number]
-    return [numbers[x] for x in rows], counts
+    return [numbers[rows.pop(0)] for _ in range(order)], counts
 
 
 def _numbers(folder: str, buckets: int, words: np.ndarray) -> np.ndarray:
@@ -343,11 +345,18 @@ def _count_triples(folder: str, buckets: int):
         for tokens, begins in _lots(batches, _FLUSH_TRIPLES):
             (v, u, w), counts = _grams(folder, buckets, tokens, begins, 3)
             # First words have no triple; they are spread, apart from those that begin with the start and such a word.
-            place = np.where(u == START, mix(_pair_hash(u, w), 15), _pair_hash(v, u))
+            place, alone = _pair_hash(v, u), u == START
+            place[alone] = mix(_pair_hash(u[alone], w[alone]), 15)
             bucket = _bucket_of_pair(place, buckets)
+            del place, alone
             order = _by_place(bucket)
-            bucket, w, u, v, counts = (x[order] for x in (bucket, w, u, v, counts))
-            del order, place
+            # One after the other, so that fewer are held at once.
+            bucket = bucket[order]
+            w = w[order]
+            u = u[order]
+            v = v[order]
+            counts = counts[order]
+            del order
             for to, a, b in _parts(bucket, buckets):
                 # The first two tokens are sent once.
                 head = _starts(u[a:b], v[a:b])
@@ -583,14 +592,14 @@ def _sum_pairs(folder: str, buckets: int):
     return run
 
 
-def _sum_words(folder: str):
+def _sum_words(folder: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_bucket(batches):
             seen = np.sum([r["seen"] for r in rows], axis=0).tolist()
             (row,), fields = _columns(rows)
             row, *fields = _summed(row, *fields)
             # Every number has a row.
-            stored = np.zeros((int(row[-1]) + 1, len(WORD_FIELDS)), np.int64)
+            stored = np.zeros((size, len(WORD_FIELDS)), np.int64)
             stored[row.astype(np.int64)] = np.column_stack(fields)
             _store_counts(folder, "fields", bucket, stored)
             occurs, after = fields[0], fields[1]
@@ -760,7 +769,10 @@ def _local(path: str) -> str:
 
 
 def fit(texts: DataFrame, text: str = "text", folder: str | None = None, order: int = ORDER) -> Model:
-    """Counts all texts into a model of order two or three under ``folder``, a new one in the shared folder unless given."""
+    """Counts all texts into a model of order two or three under ``folder``, a new one in the shared folder unless given.
+
+    The texts are read more than once and must be the same each time; a word that has come up since is an error.
+    """
     if order not in (2, 3):
         raise ValueError(f"the order must be 2 or 3: {order}")
     spark = texts.sparkSession
@@ -783,7 +795,7 @@ def fit(texts: DataFrame, text: str = "text", folder: str | None = None, order:
     pairs = pairs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     words = pairs.mapInArrow(_sum_pairs(folder, buckets), "bucket int, packed binary, seen array<long>")
     words = words.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    totals = words.mapInArrow(_sum_words(folder), "totals array<long>")
+    totals = words.mapInArrow(_sum_words(folder, most + _FIRST), "totals array<long>")
     # One short row for each bucket.
     sums = np.sum([row.totals for row in totals.collect()] or [[0] * 20], axis=0).tolist()
     tokens, types, pair_types, one, two, three, four, more, *seen = sums

@@ -166,7 +166,7 @@ def test_rows_of_numbers_are_sorted_beyond_64_bits_as_well():
     rng = np.random.default_rng(9)
     for top in (8, 1 << 20, 1 << 40):
         rows = rng.integers(0, 8, (3, 2_000)).astype(np.uint64) * np.uint64(top // 8)
-        found, counts = language_model._distinct(*rows)
+        found, counts = language_model._distinct([*rows])
         want = sorted(Counter(zip(*rows.tolist())).items())
         assert [*zip(*(x.tolist() for x in found))] == [k for k, _ in want] and counts.tolist() == [n for _, n in want]
         order = language_model._order(*rows)
